@@ -22,8 +22,6 @@ from .suffixes import prefix_hash, suffix_array, window_hash
 LENGTH, GRAM = 400, 32
 #: Bytes of segments in a shard, on average; a single file above it is dealt over several shards.
 SHARD_BYTES = 4 << 20
-#: Most rows whose ids and marks are broadcast to a scan; more are joined by shuffle.
-BROADCAST_ROWS = 1 << 18
 
 
 def _least(h: np.ndarray, w: int) -> np.ndarray:
@@ -84,12 +82,6 @@ def _spans(hit: np.ndarray) -> list[int]:
     return x.tolist()
 
 
-def _joined(docs: DataFrame, marks: DataFrame, id_: str) -> DataFrame:
-    """docs with the marks of each: broadcast behind a check of their number, by shuffle beyond it."""
-    n = marks.count()
-    return docs.join(F.broadcast(marks) if n <= BROADCAST_ROWS else marks, id_)
-
-
 def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, spans) with the byte spans (start, end, start, end, ...) to remove, unmerged, of documents that have any.
 
@@ -127,7 +119,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
                             rows[k].append(v)
                 yield pa.RecordBatch.from_pydict(rows, schema=seg)
 
-    marked = _joined(docs.where(F.octet_length("text") >= length), marks, "doc_id").select("doc_id", "text", "seqs")
+    marked = docs.where(F.octet_length("text") >= length).join(marks, "doc_id").select("doc_id", "text", "seqs")
     found = staged(marked.mapInArrow(cut, "doc_id long, file long, digest binary, at long, starts int, inner int, bytes binary"), "repeat-segments")
     parts = staged(found.groupBy("file", "digest").agg(F.count(F.lit(1)).alias("copies"), F.max("inner").alias("inner"), F.first("starts").alias("starts"), F.first("bytes").alias("bytes")), "repeat-parts")
     # a file with one part needs no sorting unless the part repeats inside; then shards by file, large files dealt by digest
@@ -192,7 +184,4 @@ def removed(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
                     rows[k].append(v)
             yield pa.RecordBatch.from_pydict(rows, schema=out)
 
-    n = spans.count()
-    # whole documents need no Python: only those with spans do
-    all_ = plain.join(F.broadcast(spans) if n <= BROADCAST_ROWS // 8 else spans, "doc_id", "left")
-    return all_.select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return plain.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
