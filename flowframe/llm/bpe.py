@@ -21,9 +21,9 @@ from .common import map_blocks, ragged, span_hashes, texts
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens that a worker remembers before it starts anew; memory, not results, depends on it.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: Bytes of a block; many new pre-tokens at once share the work of each rank.
-BYTES = 16 << 20
+BYTES = 4 << 20
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 _WHITE = {*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}
 
