@@ -172,6 +172,6 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def joined_on_id(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join on doc_id, nulls equal."""
-    other = ids.select(F.col("doc_id").alias("__id"))
+    """Semi or anti join on doc_id, nulls equal; by sort and merge at every size, as ids grow with the documents."""
+    other = ids.select(F.col("doc_id").alias("__id")).hint("merge")
     return docs.join(other, docs["doc_id"].eqNullSafe(F.col("__id")), how)
