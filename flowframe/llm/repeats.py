@@ -98,8 +98,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
         return [ids.take(pa.array(doc)), cat[0].view(np.int64), ragged(np.zeros(len(n), np.int64), np.array(n)), np.minimum(cat[3], 2)]
 
     filed = staged(map_blocks(docs, file, "doc_id long, file long, seq int, times int", 1 << 20), "repeat-files")
+    # what joins here grows with the documents and has no bound, so nothing is broadcast: sort and merge at every size
     used = filed.groupBy("file").agg(F.sum("times").alias("n")).where("n > 1").select("file")
-    marks = staged(filed.join(used, "file").groupBy("doc_id").agg(F.sort_array(F.collect_list("seq")).alias("seqs")), "repeat-marks")
+    marks = staged(filed.join(used.hint("merge"), "file").groupBy("doc_id").agg(F.sort_array(F.collect_list("seq")).alias("seqs")), "repeat-marks")
 
     seg = pa.schema([("doc_id", pa.int64()), ("file", pa.int64()), ("digest", pa.binary()), ("at", pa.int64()), ("starts", pa.int32()), ("inner", pa.int32()), ("bytes", pa.binary())])
 
@@ -119,16 +120,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
                             rows[k].append(v)
                 yield pa.RecordBatch.from_pydict(rows, schema=seg)
 
-    marked = docs.where(F.octet_length("text") >= length).join(marks, "doc_id").select("doc_id", "text", "seqs")
+    marked = docs.where(F.octet_length("text") >= length).join(marks.hint("merge"), "doc_id").select("doc_id", "text", "seqs")
     found = staged(marked.mapInArrow(cut, "doc_id long, file long, digest binary, at long, starts int, inner int, bytes binary"), "repeat-segments")
     parts = staged(found.groupBy("file", "digest").agg(F.count(F.lit(1)).alias("copies"), F.max("inner").alias("inner"), F.first("starts").alias("starts"), F.first("bytes").alias("bytes")), "repeat-parts")
     # a file with one part needs no sorting unless the part repeats inside; then shards by file, large files dealt by digest
-    per = parts.groupBy("file").agg(F.count(F.lit(1)).alias("parts"), F.max("inner").alias("inside"), F.sum(F.length("bytes")).alias("size")).where("parts > 1 or inside > 0")
+    per = parts.groupBy("file").agg(F.count(F.lit(1)).alias("parts"), F.max("inner").alias("inside"), F.sum(F.col("starts") + F.lit(length - 1)).alias("size")).where("parts > 1 or inside > 0")
     total = per.agg(F.sum("size")).first()[0] or 0
     n = max(8, -(-total // shard_bytes))
     deal = F.when(F.col("size") > shard_bytes, F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / shard_bytes))).otherwise(F.lit(-1))
     shard = F.when(F.col("size") > shard_bytes, F.xxhash64("file", deal)).otherwise(F.pmod("file", F.lit(n)))
-    todo = parts.join(per, "file").select("file", "digest", "copies", "starts", "bytes", shard.alias("shard"), (F.col("size") > shard_bytes).alias("split"))
+    todo = parts.join(per.hint("merge"), "file").select("file", "digest", "copies", "starts", "bytes", shard.alias("shard"), (F.col("size") > shard_bytes).alias("split"))
 
     def settle(table: pa.Table) -> pa.Table:
         raw, starts, copies, split = (table.column(c).to_pylist() for c in ("bytes", "starts", "copies", "split"))
@@ -141,10 +142,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     # files dealt over shards: strings met in one shard only once may stand in another
     prints = settled.where("prints is not null").select("digest", "spans", F.posexplode("prints").alias("i", "p"))
     again = prints.groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("p")
-    late = prints.join(again, "p").groupBy("digest").agg(F.flatten(F.collect_list(F.array(F.col("i"), F.col("i") + 1))).alias("spans"))
-    whole = parts.join(per, "file", "left_anti").where("copies > 1").select("digest", F.array(F.lit(0), F.col("starts")).alias("spans"))
+    late = prints.join(again.hint("merge"), "p").groupBy("digest").agg(F.flatten(F.collect_list(F.array(F.col("i"), F.col("i") + 1))).alias("spans"))
+    whole = parts.join(per.hint("merge"), "file", "left_anti").where("copies > 1").select("digest", F.array(F.lit(0), F.col("starts")).alias("spans"))
     spans = settled.where(F.size("spans") > 0).select("digest", "spans").unionByName(late).unionByName(whole)
-    at = found.select("doc_id", "digest", "at").join(spans, "digest")
+    at = found.select("doc_id", "digest", "at").join(spans.hint("merge"), "digest")
     moved = F.transform("spans", lambda x, i: x.cast("long") + F.col("at") + F.when(i % 2 == 1, F.lit(length - 1)).otherwise(F.lit(0)))
     return at.select("doc_id", moved.alias("spans")).groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
@@ -184,4 +185,4 @@ def removed(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
                     rows[k].append(v)
             yield pa.RecordBatch.from_pydict(rows, schema=out)
 
-    return plain.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return plain.join(spans.hint("merge"), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
