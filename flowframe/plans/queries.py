@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import colour
-from ..operators import fields, geometry, indexing, masks, metrics, planning, rle
+from ..operators import fields, geometry, indexing, masks, metrics, planning, rle, splat
 from ..streaming import replay
 
 H, WIDTH = 4, 8
@@ -452,6 +452,13 @@ def cycle_check(t):
     return geometry.cycle_consistent(p, fields.rescaled(p, -0.9, -0.9), "vec_id", H, WIDTH)
 
 
+@query(""", s as (select vec_id, y * 8 + x as i, x + u as px, y + v as py, u, v from pix where x + u > 0 and x + u < 8 and y + v > 0 and y + v < 4),
+n as (select g.vec_id, g.y, g.x, s.u, s.v, row_number() over (partition by g.vec_id, g.y, g.x order by (px - g.x) * (px - g.x) + (py - g.y) * (py - g.y), i) as r from pix g left join s using (vec_id))
+select vec_id, y, x, round(coalesce(u, 0), 6) as u, round(coalesce(v, 0), 6) as v from n where r = 1""")
+def forward_splat_nn(t):
+    return splat.splatted(t.pix(), "vec_id", H, WIDTH)
+
+
 @query(", g as (select unnest(range(0, 4)) as y) select y, x from g, (select unnest(range(0, 8)) as x)")
 def coords_grid(t):
     one = t.spark.range(1)

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowframe.functions.colour import wheel_rows
-from flowframe.operators import fields, geometry, indexing, masks, metrics, planning, rle
+from flowframe.operators import fields, geometry, indexing, masks, metrics, planning, rle, splat
 from flowframe.plans.annotate import BlockMatching, annotate, motion_mask
 from flowframe.sources import codecs, readers
 
@@ -117,6 +117,15 @@ def test_homography_fit_removes_ego_motion():
     assert np.abs(a).max() < 1e-6 and np.abs(b).max() < 1e-6
 
 
+@pytest.mark.parametrize("n", [0, 1, 5, 200])
+def test_nearest_source_is_brute_force(n):
+    rng = np.random.default_rng(n)
+    px, py = np.round(rng.uniform(0.1, 11.9, n), 1), np.round(rng.uniform(0.1, 8.9, n), 1)
+    y, x = (a.ravel()[:, None] for a in np.mgrid[0:9, 0:12])
+    want = ((px - x) * (px - x) + (py - y) * (py - y)).argmin(axis=1) if n else np.full(108, -1)
+    assert splat.nearest_source(px, py, 9, 12).tolist() == want.tolist()
+
+
 def test_rotation_goldens(spark):
     lit = lambda *q: [F.lit(float(x)) for x in q]
     for q, want in (((0, 0, 0, 1), [1, 0, 0, 0, 1, 0, 0, 0, 1]), ((0, 0, 1, 0), [-1, 0, 0, 0, -1, 0, 0, 0, 1])):
