@@ -85,7 +85,8 @@ def _spans(hit: np.ndarray) -> list[int]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, spans) with the byte spans (start, end, start, end, ...) to remove, unmerged, of documents that have any.
 
-    ``docs`` is (doc_id, text) without nulls; doc_id names a document.
+    ``docs`` is (doc_id, text) without nulls; doc_id is binary and names a text (see ``_named``). Rows that repeat both are
+    documents of equal text, whose every string also starts elsewhere; they share one row of the result.
     """
 
     def file(ids, data, offs):
@@ -97,12 +98,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
         cat = [np.concatenate([x[i] for x in out]) for i in range(4)]
         return [ids.take(pa.array(doc)), cat[0].view(np.int64), ragged(np.zeros(len(n), np.int64), np.array(n)), np.minimum(cat[3], 2)]
 
-    filed = staged(map_blocks(docs, file, "doc_id long, file long, seq int, times int", 1 << 20), "repeat-files")
+    filed = staged(map_blocks(docs, file, "doc_id binary, file long, seq int, times int", 1 << 20), "repeat-files")
     # what joins here grows with the documents and has no bound, so nothing is broadcast: sort and merge at every size
     used = filed.groupBy("file").agg(F.sum("times").alias("n")).where("n > 1").select("file")
-    marks = staged(filed.join(used.hint("merge"), "file").groupBy("doc_id").agg(F.sort_array(F.collect_list("seq")).alias("seqs")), "repeat-marks")
+    marks = staged(filed.join(used.hint("merge"), "file").groupBy("doc_id").agg(F.sort_array(F.collect_set("seq")).alias("seqs")), "repeat-marks")
 
-    seg = pa.schema([("doc_id", pa.int64()), ("file", pa.int64()), ("digest", pa.binary()), ("at", pa.int64()), ("starts", pa.int32()), ("inner", pa.int32()), ("bytes", pa.binary())])
+    seg = pa.schema([("doc_id", pa.binary()), ("file", pa.int64()), ("digest", pa.binary()), ("at", pa.int64()), ("starts", pa.int32()), ("inner", pa.int32()), ("bytes", pa.binary())])
 
     def cut(batches):
         for batch in batches:
@@ -112,16 +113,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
                 for d in range(n):
                     doc = data[offs[d] : offs[d + 1]]
                     f, first, size, times = segments(doc, length)
-                    raw = doc.tobytes()
+                    raw, name = doc.tobytes(), batch.column(0)[row + d].as_py()
                     for s in seqs[row + d].as_py():
                         a, m = int(first[s]), int(size[s])
                         part = raw[a : a + m + length - 1]
-                        for k, v in zip(seg.names, (batch.column(0)[row + d].as_py(), int(f.view(np.int64)[s]), hashlib.blake2b(part, digest_size=16).digest(), a, m, int(times[s] > 1), part)):
+                        for k, v in zip(seg.names, (name, int(f.view(np.int64)[s]), hashlib.blake2b(part, digest_size=16).digest(), a, m, int(times[s] > 1), part)):
                             rows[k].append(v)
                 yield pa.RecordBatch.from_pydict(rows, schema=seg)
 
     marked = docs.where(F.octet_length("text") >= length).join(marks.hint("merge"), "doc_id").select("doc_id", "text", "seqs")
-    found = staged(marked.mapInArrow(cut, "doc_id long, file long, digest binary, at long, starts int, inner int, bytes binary"), "repeat-segments")
+    found = staged(marked.mapInArrow(cut, "doc_id binary, file long, digest binary, at long, starts int, inner int, bytes binary"), "repeat-segments")
     parts = staged(found.groupBy("file", "digest").agg(F.count(F.lit(1)).alias("copies"), F.max("inner").alias("inner"), F.first("starts").alias("starts"), F.first("bytes").alias("bytes")), "repeat-parts")
     # a file with one part needs no sorting unless the part repeats inside; then shards by file, large files dealt by digest
     per = parts.groupBy("file").agg(F.count(F.lit(1)).alias("parts"), F.max("inner").alias("inside"), F.sum(F.col("starts") + F.lit(length - 1)).alias("size")).where("parts > 1 or inside > 0")
@@ -147,12 +148,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     spans = settled.where(F.size("spans") > 0).select("digest", "spans").unionByName(late).unionByName(whole)
     at = found.select("doc_id", "digest", "at").join(spans.hint("merge"), "digest")
     moved = F.transform("spans", lambda x, i: x.cast("long") + F.col("at") + F.when(i % 2 == 1, F.lit(length - 1)).otherwise(F.lit(0)))
-    return at.select("doc_id", moved.alias("spans")).groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return at.select("doc_id", moved.alias("spans")).groupBy("doc_id").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 _SETTLED = pa.schema([("digest", pa.binary()), ("spans", pa.list_(pa.int32())), ("prints", pa.list_(pa.int64()))])
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with a binary ``name`` of id and text, so that a null or repeated id mixes no two texts."""
+    digits = lambda c: F.lpad(F.hex(c), 16, "0")
+    own = F.coalesce(F.col("doc_id"), F.xxhash64(F.lit(1), "text"))
+    return docs.withColumn("name", F.unhex(F.concat(digits(own), digits(F.xxhash64("text")))))
+
+
 def merged(spans: list[int]) -> list[tuple[int, int]]:
     """Overlapping and touching spans as maximal ones."""
     out: list[list[int]] = []
@@ -168,10 +176,11 @@ def removed(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
     """One row a document: n_bytes, n_removed, n_spans and kept_sha256 of what stays.
 
     Null text counts as empty; texts shorter than ``length`` lose nothing; copies of a text all lose what they share.
-    Rows that repeat a doc_id with the same text are one document to the search and both reported.
+    Every row is a document, also one that repeats another row or its doc_id, or has no doc_id.
     """
-    plain = texts(docs)
-    spans = staged(repeated_spans(plain.where(F.octet_length("text") >= length), length, shard_bytes), "repeat-spans")
+    plain = _named(texts(docs))
+    long_ = plain.where(F.octet_length("text") >= length).select(F.col("name").alias("doc_id"), "text")
+    spans = staged(repeated_spans(long_, length, shard_bytes).withColumnRenamed("doc_id", "name"), "repeat-spans")
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def take(batches):
@@ -185,4 +194,4 @@ def removed(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
                     rows[k].append(v)
             yield pa.RecordBatch.from_pydict(rows, schema=out)
 
-    return plain.join(spans.hint("merge"), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return plain.join(spans.hint("merge"), "name", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

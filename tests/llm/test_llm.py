@@ -120,6 +120,15 @@ def test_repeats(spark, docs, shard):
     assert got == _repeats(rows, 400)
 
 
+def test_repeats_without_names(spark):
+    """Null ids, repeated rows and ids that stand for several texts; an empty table."""
+    rows = [(1, LONG), (1, LONG), (1, LONG[3000:5000] + "z"), (2, "u" + LONG[4000:4700]), (2, "short"), (None, LONG[100:900]), (None, "v" * 399), (None, None), (3, "only " * 79 + "once"), (3, "only " * 79 + "once")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(i, *_repeats([(k, t) for k, (_, t) in enumerate(rows)], 400)[j]) for j, (i, _) in enumerate(rows)]
+    assert sorted(map(repr, (tuple(r) for r in repeats.removed(d).collect()))) == sorted(map(repr, want))
+    assert repeats.removed(d.limit(0)).count() == 0
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for _ in range(100):
