@@ -1,8 +1,9 @@
 """Secret scan with a recursive decoding worklist.
 
 Each text starts a worklist. A layer is scanned for secrets, then every encoding it holds (percent escapes, Unicode
-escapes, base64, and zlib or gzip below base64) is unwrapped into a new layer, until no layer is new. Layers already seen
-are not entered again, which ends cycles. Every character of a layer knows the span of the original text it came from.
+escapes, base64, and zlib or gzip below base64) is unwrapped into a new layer, until no layer is new. Within one base64 run
+a layer already seen is not entered again, which ends cycles; every run names the secrets below it, also where runs hold the
+same text. Every character of a layer knows the span of the original text it came from.
 """
 
 from __future__ import annotations
@@ -102,6 +103,7 @@ def _unpacked(raw: bytes) -> tuple[str, str] | None:
 
 
 def _base64(layer: Layer):
+    """(path, decoded text, start, end) of every base64 run of a layer."""
     for m in _BASE64.finditer(layer.text):
         s = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         try:
@@ -109,32 +111,62 @@ def _base64(layer: Layer):
         except (binascii.Error, ValueError):
             continue
         if got := _unpacked(raw):
-            name, text = got
-            a, b = layer.start[m.start()], layer.end[m.end() - 1]
-            yield Layer(text, name, [a] * len(text), [b] * len(text), None)
+            yield _path(layer.path, got[0]), got[1], layer.start[m.start()], layer.end[m.end() - 1]
 
 
-def spans(text: str) -> list[tuple[str, int, int]]:
-    """Every secret of a text: base kinds, and ``kind@encodings`` for those below an encoding; sorted and distinct."""
-    base = found(text)
-    more: set[tuple[str, int, int]] = set()
+def _path(*steps: str) -> str:
+    return ".".join(x for x in steps if x)
+
+
+def _opened(text: str) -> tuple[set[tuple[str, str, int, int]], dict[tuple[str, int, int], str]]:
+    """(kind, path, start, end) of the secrets below escapes, and the path of each (decoded text, start, end) of base64."""
+    more: set[tuple[str, str, int, int]] = set()
+    inner: dict[tuple[str, int, int], str] = {}
     seen = {text}
     work = [Layer(text, "", range(len(text)), range(1, len(text) + 1), None)]
     while work:
         layer = work.pop()
-        nested = [x for x in (_replaced(layer, "url", _PERCENT, _percent), _replaced(layer, "unicode", _ESCAPE, _escape)) if x]
-        for child in [*nested, *_base64(layer)]:
-            if child.text in seen:
+        for path, got, a, b in _base64(layer):
+            inner.setdefault((got, a, b), path)
+        for child in (_replaced(layer, "url", _PERCENT, _percent), _replaced(layer, "unicode", _ESCAPE, _escape)):
+            if child is None or child.text in seen:
                 continue
             seen.add(child.text)
-            for kind, a, b in found(child.text):
-                if child.new is None or any(child.new[a:b]):
-                    path = ".".join(x for x in (layer.path, child.path) if x)
-                    more.add((f"{kind}@{path}", child.start[a], child.end[b - 1]))
-            child.path = ".".join(x for x in (layer.path, child.path) if x)
+            child.path = _path(layer.path, child.path)
+            more |= {(kind, child.path, child.start[a], child.end[b - 1]) for kind, a, b in found(child.text) if any(child.new[a:b])}
             work.append(child)
+    return more, inner
+
+
+def _below(text: str) -> set[tuple[str, str]]:
+    """(kind, path) of every secret in or below a text decoded from base64: all of it stands at one place, so each text is entered once."""
+    out: set[tuple[str, str]] = set()
+    seen, work = {text}, [(text, "")]
+    while work:
+        at, path = work.pop()
+        more, inner = _opened(at)
+        out |= {(kind, path) for kind, *_ in found(at)} | {(kind, _path(path, step)) for kind, step, *_ in more}
+        for (got, *_), step in inner.items():
+            if got not in seen:
+                seen.add(got)
+                work.append((got, _path(path, step)))
+    return out
+
+
+def spans(text: str) -> list[tuple[str, int, int]]:
+    """Every secret of a text: base kinds, and ``kind@encodings`` for those below an encoding; sorted and distinct.
+
+    A text that several base64 runs decode to is searched once, and what it holds is named at each of them.
+    """
+    below, inner = _opened(text)
+    more = {(f"{kind}@{path}", a, b) for kind, path, a, b in below}
+    known: dict[str, set[tuple[str, str]]] = {}
+    for (got, a, b), path in inner.items():
+        if got not in known:
+            known[got] = _below(got)
+        more |= {(f"{kind}@{_path(path, step)}", a, b) for kind, step in known[got]}
     order = lambda x: (x[1], KINDS.index(x[0].split("@")[0]) + 3 * ("@" in x[0]), x[2], x[0])
-    return sorted([*base, *more], key=order)
+    return sorted([*found(text), *more], key=order)
 
 
 _RUN = np.zeros(256, bool)

@@ -152,6 +152,25 @@ def test_secrets():
     assert secrets.spans("%25252525") == []
 
 
+def test_secrets_names_every_place_of_a_repeated_payload():
+    import base64
+    import zlib
+
+    inner = "api_key=abcdefgh"
+    once = base64.b64encode(inner.encode()).decode()
+    packed = base64.b64encode(zlib.compress(inner.encode())).decode()
+    nested = base64.b64encode(once.encode()).decode()
+    for payload, kind in ((once, "assign@base64"), (packed, "assign@base64.zlib"), (nested, "assign@base64.base64")):
+        text, n = f"{payload} and\n{payload}\n{payload}", len(payload)
+        assert secrets.spans(text) == [(kind, a, a + n) for a in (0, n + 5, 2 * n + 6)]
+        assert secrets.redacted_text(text) == "[secret] and\n[secret]\n[secret]"
+    # one inner text under three encodings, and escaped inside a repeated payload
+    text = f"{once} {packed} {nested}"
+    assert secrets.redacted_text(text) == "[secret] [secret] [secret]"
+    escaped = base64.b64encode(b"api%5Fkey=abcdefgh").decode()
+    assert [k for k, *_ in secrets.spans(f"{escaped} {escaped}")] == ["assign@base64.url"] * 2
+
+
 def test_quality(docs):
     got = {r["doc_id"]: r for r in quality.measured(docs).collect()}
     for i, t in ROWS:
