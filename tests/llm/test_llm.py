@@ -40,6 +40,19 @@ def test_sharding(spark, docs):
     assert all(at[i] == at[i + 1] for i in range(0, 32, 2)) and set(Counter(at.values()).values()) == {40}
 
 
+@pytest.mark.parametrize(("copies", "n", "k"), [(2, 1600, 8), (5, 1600, 8), (3, 1000, 4)])
+def test_sharding_keeps_groups_whole_where_all_are_linked(spark, copies, n, k):
+    rows = spark.createDataFrame([(i, f"text {i // copies}") for i in range(n)], "doc_id long, text string")
+    at = {r["doc_id"]: r["shard"] for r in sharding.shard_documents(rows, k=k).collect()}
+    assert set(Counter(at.values()).values()) == {n // k}
+    groups = defaultdict(set)
+    for i, s in at.items():
+        groups[i // copies].add(s)
+    # 333 groups of three and one of one make 83 whole groups a shard and 1 place over: one group cannot be whole
+    fit = min(len(groups), k * (n // k // copies) + (n % copies > 0))
+    assert sum(len(g) == 1 for g in groups.values()) >= fit
+
+
 def test_token_counts(docs):
     from tokenizers import Tokenizer
 
