@@ -421,6 +421,12 @@ def sequence_loss(t):
     return metrics.sequence_loss(t.frames().withColumn("late", last).where("late"), "user_id", "idx", "value", 0.8)
 
 
+@query("select user_id, round(sum(pow(0.8::double, n - 1 - idx) * value), 6) as loss from frames join (select user_id, count(*) as n from frames group by 1) using (user_id) group by 1")
+def sequence_loss_all(t):
+    """Every frame of a user, where ``sequence_loss`` and its SQL take the last 12."""
+    return metrics.sequence_loss(t.frames(), "user_id", "idx", "value", 0.8)
+
+
 @query("select vec_id, y, x, round((exp(u) * v + exp(v) * u) / (exp(u) + exp(v)), 6) as heat from pix")
 def uncertainty_heat(t):
     u, v = F.col("u"), F.col("v")
