@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowframe.llm import bpe, decontamination, minhash, quality, secrets
 from flowframe.llm.common import joined_on_id, shared_dir, staged, table
@@ -16,9 +17,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each class stays; rows without a doc_id stay only if no other row has their text."""
-    classes = staged(minhash.near_duplicates(docs), "near-classes")
-    return joined_on_id(docs, classes.where("doc_id <=> class_id").select("doc_id").distinct(), "left_semi")
+    """One row of each class stays: that of the least doc_id, null last, then by text digest and row.
+
+    Where a doc_id is null or repeated, every row gets a number of its own first, so that classes are of rows.
+    """
+    n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n == ids:
+        classes = staged(minhash.near_duplicates(docs), "near-classes")
+        return joined_on_id(docs, classes.where("doc_id = class_id").select("doc_id"), "left_semi")
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    classes = staged(minhash.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text")), "near-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "__row")
+    named = classes.withColumnRenamed("doc_id", "__row").hint("merge").join(rows.select("__row", order.alias("order")), "__row")
+    first = named.groupBy("class_id").agg(F.min("order").alias("order")).select(F.col("order.__row").alias("__row"))
+    return rows.join(first.hint("merge"), "__row", "left_semi").select(*[rows[c] for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -261,3 +261,20 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
     assert kept == [[1, 2, 4, 5], [1, 4, 5], [1, 5], [1, 5]]
     assert "[secret]" in d.where("doc_id = 5").first()["text"]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 2
+
+
+def test_near_dedup_keeps_one_row_of_a_class_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    a, b, c, d, e, f = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcdef")
+    rows = [(None, a), (None, a), (None, b), (7, b), (1, c), (1, c), (2, d), (2, e), (3, d + " tail"), (None, f), (None, None), (4, "")]
+    for part in (rows, [(7, b), (None, b), (None, a), (9, c)], [(1, a), (1, a)], [(None, a), (None, b)]):
+        docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(part)], "doc_id long, text string, n int").repartition(3)
+        got = corpus_pipeline.near_dedup(spark, docs, "")
+        assert got.columns == docs.columns
+        want = {}
+        for i, t in part:
+            key = (t or "").removesuffix(" tail")
+            want[key] = min(want.get(key, (True, 0)), (i is None, i or 0))
+        kept = [((r["text"] or "").removesuffix(" tail"), (r["doc_id"] is None, r["doc_id"] or 0)) for r in got.collect()]
+        assert sorted(kept) == sorted(want.items())
