@@ -1,7 +1,7 @@
 """Secret scan with a recursive decoding worklist.
 
 Each text starts a worklist. A layer is scanned for secrets, then every encoding it holds (percent escapes, Unicode
-escapes, base64, and zlib or gzip below base64) is unwrapped into a new layer, until no layer is new. Within one base64 run
+escapes, base64 also over several lines, and zlib or gzip below base64 or percent escapes) is unwrapped into a new layer, until no layer is new. Within one such run
 a layer already seen is not entered again, which ends cycles; every run names the secrets below it, also where runs hold the
 same text. Every character of a layer knows the span of the original text it came from.
 """
@@ -13,6 +13,7 @@ import binascii
 import re
 import zlib
 from dataclasses import dataclass
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,9 @@ _LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST_HEX)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_BASE64)
+_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+" % LEAST_BASE64)
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_PACKED = re.compile(r"(?:%1[fF]%8[bB]|(?:x|%78)(?:%01|\^|%5[eE]|%9[cC]|%[dD][aA]))[A-Za-z0-9._~!*'()/+%-]+")
 
 
 def found(text: str) -> list[tuple[str, int, int]]:
@@ -81,37 +85,97 @@ def _escape(s: str) -> str | None:
     return units.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
+def _codec(raw: bytes) -> tuple[str, int]:
+    """(codec, length of the byte order mark): UTF-16 if a mark or a zero in half of all pairs says so, else UTF-8."""
+    for mark, name in ((b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be")):
+        if raw[:2] == mark:
+            return name, 2
+    half = len(raw) // 2
+    if half and len(raw) % 2 == 0:
+        for at, name in ((1, "utf-16-le"), (0, "utf-16-be")):
+            if raw[at::2].count(0) * 2 >= half:
+                return name, 0
+    return "utf-8", 0
+
+
 def _plain(raw: bytes) -> str | None:
-    """Text of decoded bytes if they are text: valid UTF-8 with hardly any control character."""
+    """Text of decoded bytes if they are text: valid UTF-16 or UTF-8 with hardly any control character."""
+    codec, skip = _codec(raw)
     try:
-        s = raw.decode()
+        s = raw[skip:].decode(codec)
     except UnicodeDecodeError:
         return None
     return s if s and sum(c < " " and c not in "\t\n\r" for c in s) * 20 <= len(s) else None
 
 
-def _unpacked(raw: bytes) -> tuple[str, str] | None:
-    name = "base64"
+def _unpacked(raw: bytes, name: str = "base64") -> tuple[str, str] | None:
+    path = name
     while raw[:2] in (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"):
         try:
             raw = zlib.decompress(raw, 47)
         except zlib.error:
             return None
-        name = "base64.zlib"
+        path = f"{name}.zlib"
     s = _plain(raw)
-    return (name, s) if s else None
+    return (path, s) if s else None
 
 
-def _base64(layer: Layer):
-    """(path, decoded text, start, end) of every base64 run of a layer."""
-    for m in _BASE64.finditer(layer.text):
-        s = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        try:
-            raw = base64.b64decode(s + "=" * (-len(s) % 4), validate=True)
-        except (binascii.Error, ValueError):
+def _bytes(s: str) -> bytes:
+    s = s.rstrip("=").replace("-", "+").replace("_", "/")
+    try:
+        return base64.b64decode(s + "=" * (-len(s) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return b""
+
+
+def _blocks(text: str):
+    """(lines, path, bytes, decoded text) of base64 that is broken into lines of one width, the last one possibly shorter."""
+    for block in _LINES.finditer(text):
+        lines = [(m.start() + block.start(), m.end() + block.start()) for m in _LINE.finditer(block[0])]
+        width = [b - a for a, b in lines]
+        i = 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and width[j] == width[i]:
+                j += 1
+            # the short line may also be the next word of the text
+            for end in ([j + 1] if j < len(lines) and width[j] < width[i] else []) + [j]:
+                if width[i] >= LEAST_BASE64 and end - i > 1:
+                    raw = _bytes("".join(text[a:b] for a, b in lines[i:end]))
+                    if got := _unpacked(raw):
+                        yield lines[i:end], *got, raw
+                        break
+            i = j
+
+
+def _wrapped(layer: Layer):
+    """A layer for every block that decodes to text without unpacking: each character stands at the lines it comes from."""
+    for lines, path, text, raw in _blocks(layer.text):
+        if path != "base64":
             continue
-        if got := _unpacked(raw):
-            yield _path(layer.path, got[0]), got[1], layer.start[m.start()], layer.end[m.end() - 1]
+        codec, skip = _codec(raw)
+        ends = skip + np.cumsum([len(c.encode(codec)) for c in text])
+        begins = np.append(skip, ends[:-1])
+        upto = np.cumsum([b - a for a, b in lines])
+        first, last = (np.searchsorted(upto, x, "right").tolist() for x in (begins * 8 // 6, (ends * 8 - 1) // 6))
+        yield Layer(text, "base64", [layer.start[lines[x][0]] for x in first], [layer.end[lines[x][1] - 1] for x in last], None)
+
+
+def _runs(layer: Layer):
+    """(path, decoded text, start, end) of every run that decodes as a whole: base64 of a line or unpacked, and escaped zlib or gzip."""
+    out = [(*got, *m.span()) for m in _BASE64.finditer(layer.text) if (got := _unpacked(_bytes(m[0])))]
+    for lines, path, text, _ in _blocks(layer.text):
+        # a first line that unpacks by itself ends there
+        if path != "base64" and not _unpacked(_bytes(layer.text[slice(*lines[0])])):
+            out.append((path, text, lines[0][0], lines[-1][1]))
+    for m in _PACKED.finditer(layer.text) if "%" in layer.text else []:
+        raw = m[0].encode()
+        for plus in (b"+", b" "):  # a plus is itself or a space
+            if (got := _unpacked(unquote_to_bytes(raw.replace(b"+", plus)), "url")) and got[0] != "url":
+                out.append((*got, *m.span()))
+                break
+    for path, text, a, b in out:
+        yield _path(layer.path, path), text, layer.start[a], layer.end[b - 1]
 
 
 def _path(*steps: str) -> str:
@@ -119,27 +183,27 @@ def _path(*steps: str) -> str:
 
 
 def _opened(text: str) -> tuple[set[tuple[str, str, int, int]], dict[tuple[str, int, int], str]]:
-    """(kind, path, start, end) of the secrets below escapes, and the path of each (decoded text, start, end) of base64."""
+    """(kind, path, start, end) of the secrets below escapes and wrapped base64, and the path of each (decoded text, start, end) of ``_runs``."""
     more: set[tuple[str, str, int, int]] = set()
     inner: dict[tuple[str, int, int], str] = {}
-    seen = {text}
+    seen = {(text, 0, len(text))}
     work = [Layer(text, "", range(len(text)), range(1, len(text) + 1), None)]
     while work:
         layer = work.pop()
-        for path, got, a, b in _base64(layer):
+        for path, got, a, b in _runs(layer):
             inner.setdefault((got, a, b), path)
-        for child in (_replaced(layer, "url", _PERCENT, _percent), _replaced(layer, "unicode", _ESCAPE, _escape)):
-            if child is None or child.text in seen:
+        for child in (_replaced(layer, "url", _PERCENT, _percent), _replaced(layer, "unicode", _ESCAPE, _escape), *_wrapped(layer)):
+            if child is None or (key := (child.text, child.start[0], child.end[-1])) in seen:
                 continue
-            seen.add(child.text)
+            seen.add(key)
             child.path = _path(layer.path, child.path)
-            more |= {(kind, child.path, child.start[a], child.end[b - 1]) for kind, a, b in found(child.text) if any(child.new[a:b])}
+            more |= {(kind, child.path, child.start[a], child.end[b - 1]) for kind, a, b in found(child.text) if child.new is None or any(child.new[a:b])}
             work.append(child)
     return more, inner
 
 
 def _below(text: str) -> set[tuple[str, str]]:
-    """(kind, path) of every secret in or below a text decoded from base64: all of it stands at one place, so each text is entered once."""
+    """(kind, path) of every secret in or below a text that a run decodes to: all of it stands at one place, so each text is entered once."""
     out: set[tuple[str, str]] = set()
     seen, work = {text}, [(text, "")]
     while work:
@@ -156,7 +220,7 @@ def _below(text: str) -> set[tuple[str, str]]:
 def spans(text: str) -> list[tuple[str, int, int]]:
     """Every secret of a text: base kinds, and ``kind@encodings`` for those below an encoding; sorted and distinct.
 
-    A text that several base64 runs decode to is searched once, and what it holds is named at each of them.
+    A text that several runs decode to is searched once, and what it holds is named at each of them.
     """
     below, inner = _opened(text)
     more = {(f"{kind}@{path}", a, b) for kind, path, a, b in below}

@@ -184,6 +184,41 @@ def test_secrets_names_every_place_of_a_repeated_payload():
     assert [k for k, *_ in secrets.spans(f"{escaped} {escaped}")] == ["assign@base64.url"] * 2
 
 
+def test_secrets_below_wrapped_utf16_and_escaped_bytes():
+    import base64
+    import gzip
+    import random
+    import textwrap
+    import zlib
+    from urllib.parse import quote, quote_plus
+
+    rng = random.Random(0)
+    pad = " ".join("".join(rng.choices("bcdfghjk", k=6)) for _ in range(60))
+    long_ = f"{pad} password=hunter2hunter2 {pad}"
+    for raw, path in ((long_.encode(), "base64"), (zlib.compress(long_.encode()), "base64.zlib"), (gzip.compress(long_.encode()), "base64.zlib")):
+        code = base64.b64encode(raw).decode().rstrip("=")
+        for width in (64, 76, 30):
+            for end in ("\n", "\r\n", "\n  "):
+                block = end.join(textwrap.wrap(code, width))
+                text = f"see:\n{block}\nplain words"
+                hit = [x for x in secrets.spans(text) if x[0] == f"assign@{path}"]
+                if path == "base64":  # the lines that hold it
+                    a, b = (len(code[: (long_.index(w) + n) * 8 // 6]) // width for w, n in (("password", 0), ("hunter2hunter2", 13)))
+                    rows, at = block.split("\n"), [i for i, c in enumerate("\n" + block) if c == "\n"]
+                    assert max(hit, key=lambda x: x[2] - x[1])[1:] == (5 + at[a] + len(rows[a]) - len(rows[a].lstrip()), 5 + at[b] + len(rows[b].rstrip()))
+                else:
+                    assert hit == [(f"assign@{path}", 5, 5 + len(block))]
+                    assert secrets.redacted_text(text) == "see:\n[secret]\nplain words"
+    for code in ("utf-16", "utf-16-le", "utf-16-be"):
+        assert [k for k, *_ in secrets.spans(base64.b64encode("password=hunter22 é".encode(code)).decode())] == ["assign@base64"]
+    for raw in (zlib.compress(long_.encode()), gzip.compress(long_.encode())):
+        for text in (quote(raw), quote(raw, safe=""), quote_plus(raw), "".join(f"%{x:02x}" for x in raw)):
+            assert secrets.redacted_text(f"q={text}&b=1") == "q=[secret]&b=1"
+            assert ("assign@url.zlib", 2, 2 + len(text)) in secrets.spans(f"q={text}&b=1")
+    words = "\n".join(["internationalization"] * 3 + ["word"])
+    assert secrets.spans(words) == [] and secrets.redacted_text(words) == words
+
+
 def test_quality(docs):
     got = {r["doc_id"]: r for r in quality.measured(docs).collect()}
     for i, t in ROWS:
