@@ -50,6 +50,18 @@ def sequence_loss(df: DataFrame, key: str, order: str, loss: str, gamma: float)
     return df.select(key, (F.pow(F.lit(gamma), back) * F.col(loss)).alias("l")).groupBy(key).agg(F.sum("l").alias("loss"))
 
 
+def masked_mean(df: DataFrame, keys: list[str], loss: str, max_flow: float = 40000.0) -> DataFrame:
+    """(keys, loss): mean of the finite losses of valid pixels whose true magnitude is below ``max_flow``; 0 without any."""
+    x, g = F.col(loss).cast("double"), F.sqrt(F.col("gu") * F.col("gu") + F.col("gv") * F.col("gv"))
+    ok = (F.col("valid").cast("double") >= 0.5) & (g < max_flow) & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    return df.groupBy(*keys).agg(F.coalesce(F.avg(F.when(ok, x)), F.lit(0.0)).alias("loss"))
+
+
+def masked_sequence_loss(df: DataFrame, key: str, order: str, loss: str, gamma: float, max_flow: float = 40000.0) -> DataFrame:
+    """(key, loss): ``sequence_loss`` over the masked mean of each prediction ``order``."""
+    return sequence_loss(masked_mean(df, [key, order], loss, max_flow), key, order, "loss", gamma)
+
+
 def running_meter(df: DataFrame, key: str, order: list[str], value: str, weight: str, every: int) -> DataFrame:
     """Weighted running mean that starts anew every ``every`` rows."""
     i = df.withColumn("step", F.row_number().over(W.partitionBy(key).orderBy(*order)) - 1).withColumn("part", (F.col("step") / every).cast("int"))

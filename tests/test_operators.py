@@ -69,6 +69,17 @@ def test_sequence_loss_golden(spark):
     assert metrics.sequence_loss(d, "k", "i", "l", 0.5).first()["loss"] == 2.75
 
 
+def test_masked_sequence_loss(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(1, 0, 4.0, 1.0, 3.0, 4.0), (1, 0, 2.0, 0.5, 3.0, 4.0), (1, 1, 1.0, 1.0, 0.0, 39999.0)]
+    out = [(1, 0, nan, 1.0, 0.0, 0.0), (1, 0, inf, 1.0, 0.0, 0.0), (1, 0, -inf, 1.0, 0.0, 0.0), (1, 0, 9.0, 0.4, 0.0, 0.0), (1, 1, 9.0, 1.0, 40000.0, 0.0), (1, 1, 9.0, 1.0, nan, 0.0), (1, 1, None, 1.0, 0.0, 0.0)]
+    # an empty prediction counts as one that lost nothing
+    empty = [(1, 2, nan, 1.0, 0.0, 0.0), (2, 0, 5.0, 0.0, 0.0, 0.0)]
+    d = spark.createDataFrame(good + out + empty, "k int, i int, l double, valid double, gu double, gv double")
+    got = {r["k"]: r["loss"] for r in metrics.masked_sequence_loss(d, "k", "i", "l", 0.5).collect()}
+    assert got == {1: 0.25 * 3.0 + 0.5 * 1.0, 2: 0.0}
+
+
 def test_wheel_and_pads(spark):
     w = wheel_rows()
     assert len(w) == 55 and w[0][1:] == (255, 0, 0) and w[1][1:] == (255, 17, 0) and w[15][1:] == (255, 255, 0)
