@@ -1,27 +1,34 @@
 """Removal of every byte that lies in a string of ``LENGTH`` bytes which also starts elsewhere.
 
-Equal strings hold the same least gram, so a string is filed under the least hash of its grams, and neighbours filed alike
-make one segment. Only segments whose file is used more than once go on (an exact filter); equal segments become one. The
-segments of a file lie in one shard, whose suffixes are put in order by induced sorting; a start is repeated if its
-neighbour in that order shares ``LENGTH`` bytes with it. A file too large for a shard is dealt over several; strings that
-repeat inside one of them are settled there, and the rest of such files is settled by grouping fingerprints of the strings.
+Strings that share their first ``LEAST`` bytes hold the same least gram there, so a start is filed under the least hash of
+the grams behind it, and neighbours filed alike make one segment. Only segments whose file is used more than once go on (an
+exact filter); equal segments become one. The segments of a file lie in one shard, whose suffixes are put in order by
+external induced sorting (``suffixes``); the common prefixes that come with the order give each start the longest string
+that starts elsewhere too. A file of more bytes than a shard, as a very common passage makes it, is not sorted in one task:
+the 128-bit fingerprints of its strings are counted over all tasks instead.
 """
 
 from __future__ import annotations
 
 import hashlib
+import tempfile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, map_blocks, mix, ragged, staged, texts
-from .suffixes import prefix_hash, suffix_array, window_hash
+from .common import blocks, discard, eights, map_blocks, mix, powers, ragged, small_batches, space_words, staged, texts
+from .suffixes import MEMORY, longest_repeats, scratch
 
-LENGTH, GRAM = 400, 32
-#: Bytes of segments in a shard, on average; a single file above it is dealt over several shards.
-SHARD_BYTES = 4 << 20
+#: Strings of LENGTH bytes are removed; shorter repeats are known from LEAST bytes on.
+LENGTH, LEAST, GRAM = 400, 200, 32
+#: Words of a passage.
+WORDS = 51
+#: Bytes of segments in a shard, on average; a file above it is settled by fingerprints.
+SHARD_BYTES = 2 << 20
+_END = b"\xff"  # in no UTF-8 text
+_GRAM_KEYS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
 def _least(h: np.ndarray, w: int) -> np.ndarray:
@@ -34,124 +41,177 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[:n], left[w - 1 : w - 1 + n])
 
 
-def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(file, first start, number of starts) of a document's segments; none if it is shorter than ``length``."""
-    n = len(data)
-    if n < length:
-        z = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), z, z, z
-    grams = np.arange(n - gram + 1)
-    h = window_hash(prefix_hash(data), grams, grams + gram)
-    least = _least(h, length - gram + 1)
-    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    size = np.diff(np.append(first, len(least)))
-    # places of the least gram in reach of the segment: two of them can repeat a string inside it
-    reach = size + length - gram
-    same = h[ragged(first, reach)] == np.repeat(least[first], reach)
-    times = np.add.reduceat(same, np.cumsum(reach) - reach)
-    return least[first], first, size, times
-
-
-def repeated_starts(parts: list[np.ndarray], starts: list[int], length: int = LENGTH):
-    """For each part, which of its first ``starts`` positions begin a string that the parts hold at another place too.
-
-    The second result holds a fingerprint of the string at each start.
-    """
-    size = np.array([len(p) for p in parts])
-    text = np.zeros(int(size.sum()) + len(parts), np.int16)
-    at = np.cumsum(size + 1) - size - 1
-    for p, a in zip(parts, at.tolist()):
-        text[a : a + len(p)] = p.astype(np.int16) + 1
-    order = suffix_array(text, length)
-    begins = np.zeros(len(text), bool)
-    begins[ragged(at, np.array(starts))] = True
-    order = order[begins[order]]
-    key = window_hash(prefix_hash(text), order, order + length)
-    same = key[1:] == key[:-1]
-    hit = np.zeros(len(text), bool)
-    hit[order[1:][same]] = True
-    hit[order[:-1][same]] = True
-    print_ = np.zeros(len(text), np.uint64)
-    print_[order] = key
-    return [hit[a : a + n] for a, n in zip(at.tolist(), starts)], [print_[a : a + n] for a, n in zip(at.tolist(), starts)]
-
-
-def _spans(hit: np.ndarray) -> list[int]:
-    """Maximal runs of true as start, end, start, end."""
-    x = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-    return x.tolist()
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, spans) with the byte spans (start, end, start, end, ...) to remove, unmerged, of documents that have any.
+def _grams(data: np.ndarray) -> np.ndarray:
+    """A hash of the GRAM = 32 bytes from each position on."""
+    e, m = eights(data), len(data) - GRAM + 1
+    a, b, c = _GRAM_KEYS
+    return mix(mix(e[:m] + e[8 : m + 8] * a) + mix(e[16 : m + 16] * b + e[24 : m + 24] * c))
+
+
+def segments(data: np.ndarray, offs: np.ndarray, least: int = LEAST):
+    """(document, file, first start in the block, number of starts, 2 if the file's gram stands twice in reach else 1)."""
+    size = np.diff(offs)
+    z = np.empty(0, np.int64)
+    if len(data) < least or size.max() < least:
+        return z, np.empty(0, np.uint64), z, z, z
+    h = _grams(data)
+    width = least - GRAM + 1
+    low = _least(h, width)
+    long_ = size >= least
+    at = ragged(offs[:-1][long_], size[long_] - least + 1)
+    file = low[at]
+    new = np.append(True, (file[1:] != file[:-1]) | (at[1:] != at[:-1] + 1))
+    i = np.flatnonzero(new)
+    first, file, starts = at[i], file[i], np.diff(np.append(i, len(at)))
+    # places that are the least of some window around them; two of a segment's file in its reach can repeat a string inside it
+    top = ~_least(~np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)]), width)
+    place = np.flatnonzero(h == top[: len(h)])
+    a, b = np.searchsorted(place, first), np.searchsorted(place, first + starts + least - GRAM)
+    held = np.append(0, np.cumsum(h[place[ragged(a, b - a)]] == np.repeat(file, b - a)))
+    end = np.cumsum(b - a)
+    times = held[end] - held[end - (b - a)]
+    return np.searchsorted(offs, first, "right") - 1, file, first, starts, np.minimum(times, 2)
+
+
+def spans_of(common: np.ndarray, least: int, length: int) -> list[int]:
+    """Runs (first start, last start, reach) of starts with a common prefix of ``least`` bytes or more; reach is -1 for the
+    starts of a repeated string of ``length`` bytes, else where the repeated strings end that start there."""
+    reach = np.where(common >= length, -1, np.arange(len(common)) + common)
+    i = np.flatnonzero(common >= least)
+    if not len(i):
+        return []
+    new = np.append(True, (i[1:] != i[:-1] + 1) | (reach[i[1:]] != reach[i[:-1]]))
+    first = np.flatnonzero(new)
+    return np.stack([i[first], i[np.append(first[1:], len(i)) - 1], reach[i[first]]], axis=1).ravel().tolist()
+
+
+def prints(part: np.ndarray, starts: int, length: int, words: int):
+    """(start, end, fingerprint, second fingerprint) of the strings of ``length`` bytes and of ``words`` words at each start."""
+    tail = np.arange(len(part))
+    own = eights(part)  # sums over every eight bytes, scrambled, so that no pattern of single bytes cancels
+    n = max(0, min(starts, len(part) - length + 1))
+    a, b = tail[:n], tail[:n] + length
+    s, e, _ = space_words(part, np.array([0, len(part)]))
+    if len(s) >= words:
+        at = s[: len(s) - words + 1]
+        ok = at < starts
+        a, b = np.append(a, at[ok]), np.append(b, e[words - 1 :][ok])
+    p, q = powers(len(part) + 1)
+    out = []
+    for key in _GRAM_KEYS[1:]:
+        c = np.append(np.uint64(0), np.cumsum(mix(own[: len(part)] ^ key) * p[: len(part)]))
+        out.append(mix((c[b - 7] - c[a]) * q[a] + (b - a).astype(np.uint64)).view(np.int64))
+    return a, b, *out
+
+
+_SETTLED = pa.schema([("digest", pa.binary()), ("spans", pa.list_(pa.int32()))])
+
+
+def _settled(batches, least: int, length: int, memory: int):
+    """Shard by shard, the spans of each part; rows (shard, digest, copies, starts, bytes) come in order of shard."""
+    held = None
+
+    def result():
+        digest, copies, starts, size, file = held[1:]
+        size, at = np.array(size), np.append(0, np.cumsum(np.array(size) + 1))
+        text = np.memmap(file, np.uint8, "r", shape=(int(at[-1]),))
+        begins = scratch(len(text), bool)
+        for a, n in zip(at.tolist(), starts):
+            begins[a : a + n] = True
+        best = longest_repeats(text, begins, length, memory)
+        spans = []
+        for a, n, m, c in zip(at.tolist(), starts, size.tolist(), copies):
+            room = np.minimum(m - np.arange(n), length)
+            spans.append(spans_of(room if c > 1 else np.minimum(best[a : a + n], room), least, length))
+        return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(spans, pa.list_(pa.int32()))], schema=_SETTLED)
+
+    for batch in batches:
+        for shard, digest, copies, starts, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if held is None or held[0] != shard:
+                if held is not None:
+                    yield result()
+                held = (shard, [], [], [], [], tempfile.TemporaryFile())
+            for x, v in zip(held[1:], (digest, copies, starts, len(raw))):
+                x.append(v)
+            held[5].write(raw + _END)
+            held[5].flush()
+    if held is not None:
+        yield result()
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, least: int = LEAST, words: int = WORDS, memory: int = MEMORY) -> DataFrame:
+    """(doc_id, spans): runs of starts as ``spans_of`` has them, in bytes of the text, of documents that have any.
 
     ``docs`` is (doc_id, text) without nulls; doc_id is binary and names a text (see ``_named``). Rows that repeat both are
     documents of equal text, whose every string also starts elsewhere; they share one row of the result.
     """
 
     def file(ids, data, offs):
-        out = [segments(data[a:b], length) for a, b in zip(offs, offs[1:])]
-        n = [len(x[0]) for x in out]
-        if not sum(n):
+        doc, file, _, _, times = segments(data, offs, least)
+        if not len(doc):
             return None
-        doc = np.repeat(np.arange(len(n)), n)
-        cat = [np.concatenate([x[i] for x in out]) for i in range(4)]
-        return [ids.take(pa.array(doc)), cat[0].view(np.int64), ragged(np.zeros(len(n), np.int64), np.array(n)), np.minimum(cat[3], 2)]
+        count = np.bincount(doc, minlength=len(offs) - 1)
+        return [ids.take(pa.array(doc)), file.view(np.int64), ragged(np.zeros(len(count), np.int64), count), times]
 
-    filed = staged(map_blocks(docs, file, "doc_id binary, file long, seq int, times int", 1 << 20), "repeat-files")
+    filed = staged(map_blocks(docs, file, "doc_id binary, file long, seq int, times int"), "repeat-files")
     # what joins here grows with the documents and has no bound, so nothing is broadcast: sort and merge at every size
     used = filed.groupBy("file").agg(F.sum("times").alias("n")).where("n > 1").select("file")
     marks = staged(filed.join(used.hint("merge"), "file").groupBy("doc_id").agg(F.sort_array(F.collect_set("seq")).alias("seqs")), "repeat-marks")
+    discard(filed)
 
     seg = pa.schema([("doc_id", pa.binary()), ("file", pa.int64()), ("digest", pa.binary()), ("at", pa.int64()), ("starts", pa.int32()), ("inner", pa.int32()), ("bytes", pa.binary())])
 
     def cut(batches):
         for batch in batches:
             seqs = batch.column(2)
-            for row, n, data, offs in blocks(batch, 1 << 20):
+            for row, n, data, offs in blocks(batch):
                 rows: dict = {k: [] for k in seg.names}
+                doc, file, first, starts, times = segments(data, offs, least)
+                begin, raw, file = np.searchsorted(doc, np.arange(n)).tolist(), data.tobytes(), file.view(np.int64)
                 for d in range(n):
-                    doc = data[offs[d] : offs[d + 1]]
-                    f, first, size, times = segments(doc, length)
-                    raw, name = doc.tobytes(), batch.column(0)[row + d].as_py()
+                    name, end = batch.column(0)[row + d].as_py(), int(offs[d + 1])
                     for s in seqs[row + d].as_py():
-                        a, m = int(first[s]), int(size[s])
-                        part = raw[a : a + m + length - 1]
-                        for k, v in zip(seg.names, (name, int(f.view(np.int64)[s]), hashlib.blake2b(part, digest_size=16).digest(), a, m, int(times[s] > 1), part)):
+                        i = begin[d] + s
+                        a, m = int(first[i]), int(starts[i])
+                        part = raw[a : min(end, a + m + length - 1)]
+                        for k, v in zip(seg.names, (name, int(file[i]), hashlib.blake2b(part, digest_size=16).digest(), a - int(offs[d]), m, int(times[i] > 1), part)):
                             rows[k].append(v)
                 yield pa.RecordBatch.from_pydict(rows, schema=seg)
 
-    marked = docs.where(F.octet_length("text") >= length).join(marks.hint("merge"), "doc_id").select("doc_id", "text", "seqs")
+    small_batches(docs.sparkSession)
+    marked = docs.where(F.octet_length("text") >= least).join(marks.hint("merge"), "doc_id").select("doc_id", "text", "seqs")
     found = staged(marked.mapInArrow(cut, "doc_id binary, file long, digest binary, at long, starts int, inner int, bytes binary"), "repeat-segments")
+    discard(marks)
     parts = staged(found.groupBy("file", "digest").agg(F.count(F.lit(1)).alias("copies"), F.max("inner").alias("inner"), F.first("starts").alias("starts"), F.first("bytes").alias("bytes")), "repeat-parts")
-    # a file with one part needs no sorting unless the part repeats inside; then shards by file, large files dealt by digest
-    per = parts.groupBy("file").agg(F.count(F.lit(1)).alias("parts"), F.max("inner").alias("inside"), F.sum(F.col("starts") + F.lit(length - 1)).alias("size")).where("parts > 1 or inside > 0")
-    total = per.agg(F.sum("size")).first()[0] or 0
-    n = max(8, -(-total // shard_bytes))
-    deal = F.when(F.col("size") > shard_bytes, F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / shard_bytes))).otherwise(F.lit(-1))
-    shard = F.when(F.col("size") > shard_bytes, F.xxhash64("file", deal)).otherwise(F.pmod("file", F.lit(n)))
-    todo = parts.join(per.hint("merge"), "file").select("file", "digest", "copies", "starts", "bytes", shard.alias("shard"), (F.col("size") > shard_bytes).alias("split"))
-
-    def settle(table: pa.Table) -> pa.Table:
-        raw, starts, copies, split = (table.column(c).to_pylist() for c in ("bytes", "starts", "copies", "split"))
-        hit, key = repeated_starts([np.frombuffer(x, np.uint8) for x in raw], starts, length)
-        hit = [np.ones_like(h) if c > 1 else h for h, c in zip(hit, copies)]
-        prints = [mix(k).view(np.int64) if s else None for k, s in zip(key, split)]
-        return pa.table({"digest": table.column("digest"), "spans": [_spans(h) for h in hit], "prints": prints}, _SETTLED)
-
-    settled = staged(todo.groupBy("shard").applyInArrow(settle, "digest binary, spans array<int>, prints array<long>"), "repeat-settled")
-    # files dealt over shards: strings met in one shard only once may stand in another
-    prints = settled.where("prints is not null").select("digest", "spans", F.posexplode("prints").alias("i", "p"))
-    again = prints.groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("p")
-    late = prints.join(again.hint("merge"), "p").groupBy("digest").agg(F.flatten(F.collect_list(F.array(F.col("i"), F.col("i") + 1))).alias("spans"))
-    whole = parts.join(per.hint("merge"), "file", "left_anti").where("copies > 1").select("digest", F.array(F.lit(0), F.col("starts")).alias("spans"))
-    spans = settled.where(F.size("spans") > 0).select("digest", "spans").unionByName(late).unionByName(whole)
+    # a file with one part needs no sorting unless the part repeats inside
+    per = parts.groupBy("file").agg(F.count(F.lit(1)).alias("parts"), F.max("inner").alias("inside"), F.sum(F.octet_length("bytes") + F.lit(1)).alias("size")).where("parts > 1 or inside > 0")
+    per = staged(per, "repeat-per-file")
+    total = per.where(F.col("size") <= shard_bytes).agg(F.sum("size")).first()[0] or 0
+    todo = parts.join(per.hint("merge"), "file").select(F.pmod("file", F.lit(max(8, -(-total // shard_bytes)))).alias("shard"), "digest", "copies", "starts", "bytes", (F.col("size") > shard_bytes).alias("hot"))
+    sorted_ = todo.where("not hot").drop("hot").repartition("shard").sortWithinPartitions("shard")
+    settled = staged(sorted_.mapInArrow(lambda b: _settled(b, least, length, memory), "digest binary, spans array<int>"), "repeat-settled")
+
+    def fingers(batches):
+        for batch in batches:
+            for digest, starts, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                a, b, one, two = prints(np.frombuffer(raw, np.uint8), starts, length, words)
+                yield pa.RecordBatch.from_arrays([pa.array([digest] * len(a), pa.binary()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(one), pa.array(two)], ["digest", "a", "b", "p", "q"])
+
+    hot = staged(todo.where("hot").select("digest", "starts", "bytes").mapInArrow(fingers, "digest binary, a int, b int, p long, q long"), "repeat-prints")
+    again = hot.groupBy("p", "q").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("p", "q")
+    run = F.array("a", "a", F.when(F.col("b") - F.col("a") >= length, F.lit(-1)).otherwise(F.col("b")))
+    late = hot.join(again.hint("merge"), ["p", "q"]).groupBy("digest").agg(F.flatten(F.collect_list(run)).alias("spans"))
+    # every start of a part with copies stands elsewhere, as far as the part goes
+    size, last = F.octet_length("bytes"), F.col("starts") - 1
+    full = F.when(size >= length, F.array(F.lit(0), F.least(last, size - length), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    rest = F.when(last > size - length, F.array(F.greatest(F.lit(0), size - length + 1), last, size)).otherwise(F.array().cast("array<int>"))
+    whole = parts.where("copies > 1").join(per.where(F.col("size") <= shard_bytes).select("file").hint("merge"), "file", "left_anti").select("digest", F.concat(full, rest).alias("spans"))
+    spans = settled.where(F.size("spans") > 0).unionByName(late).unionByName(whole)
     at = found.select("doc_id", "digest", "at").join(spans.hint("merge"), "digest")
-    moved = F.transform("spans", lambda x, i: x.cast("long") + F.col("at") + F.when(i % 2 == 1, F.lit(length - 1)).otherwise(F.lit(0)))
-    return at.select("doc_id", moved.alias("spans")).groupBy("doc_id").agg(F.flatten(F.collect_set("spans")).alias("spans"))
-
-
-_SETTLED = pa.schema([("digest", pa.binary()), ("spans", pa.list_(pa.int32())), ("prints", pa.list_(pa.int64()))])
+    moved = F.transform("spans", lambda x: F.when(x < 0, F.lit(-1).cast("long")).otherwise(x.cast("long") + F.col("at")))
+    out = staged(at.select("doc_id", moved.alias("spans")).groupBy("doc_id").agg(F.flatten(F.collect_set("spans")).alias("spans")), "repeat-spans")
+    discard(found, parts, per, settled, hot)
+    return out
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -161,37 +221,68 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.withColumn("name", F.unhex(F.concat(digits(own), digits(F.xxhash64("text")))))
 
 
-def merged(spans: list[int]) -> list[tuple[int, int]]:
-    """Overlapping and touching spans as maximal ones."""
-    out: list[list[int]] = []
-    for a, b in sorted(zip(spans[::2], spans[1::2])):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
-
-
-def removed(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row a document: n_bytes, n_removed, n_spans and kept_sha256 of what stays.
-
-    Null text counts as empty; texts shorter than ``length`` lose nothing; copies of a text all lose what they share.
-    Every row is a document, also one that repeats another row or its doc_id, or has no doc_id.
+def merged(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Overlapping and touching spans (first ascending) as rows (start, end) of maximal ones."""
+    if not len(first):
+        return np.empty((0, 2), np.int64)
+    far = np.maximum.accumulate(end)
+    new = np.append(True, first[1:] > far[:-1])
+    i = np.flatnonzero(new)
+    return np.stack([first[i], far[np.append(i[1:], len(first)) - 1]], axis=1)
+
+
+def passage_words(raw: bytes, runs: np.ndarray, gone: np.ndarray, words: int) -> int:
+    """Words in stretches of ``words`` words that lie whole in a repeated string, or in a removed run."""
+    data = np.frombuffer(raw, np.uint8)
+    s, e, _ = space_words(data, np.array([0, len(data)]))
+    if len(s) < words or not len(runs):
+        return 0
+    head, end = s[: len(s) - words + 1], e[words - 1 :]
+    # of runs that cover a start, the farthest reach counts
+    order = np.argsort(runs[:, 0], kind="stable")
+    runs = runs[order]
+    i = np.searchsorted(runs[:, 0], head, "right") - 1
+    hit = np.zeros(len(head), bool)
+    for back in range(4):  # a start has one run, or three where fingerprints give it
+        j = i - back
+        ok = (j >= 0) & (head <= runs[np.maximum(j, 0), 1])
+        hit |= ok & (runs[np.maximum(j, 0), 2] >= end)
+    if len(gone):
+        j = np.searchsorted(gone[:, 0], head, "right") - 1
+        hit |= (j >= 0) & (gone[np.maximum(j, 0), 1] >= end)
+    change = np.zeros(len(s) + 1, np.int64)
+    at = np.flatnonzero(hit)
+    np.add.at(change, at, 1)
+    np.add.at(change, at + words, -1)
+    return int((np.cumsum(change) > 0).sum())
+
+
+def removed(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, least: int = LEAST, words: int = WORDS, memory: int = MEMORY) -> DataFrame:
+    """One row a document: n_bytes, n_removed, n_spans, kept_sha256 of what stays, and n_passage_words.
+
+    ``n_passage_words`` counts the words of passages of ``words`` words or more that repeat and hold ``least`` bytes, which may
+    be shorter than what is removed. Null text counts as empty; texts shorter than ``length`` lose nothing; copies of a text
+    all lose what they share. Every row is a document, also one that repeats another row or its doc_id, or has no doc_id.
     """
     plain = _named(texts(docs))
-    long_ = plain.where(F.octet_length("text") >= length).select(F.col("name").alias("doc_id"), "text")
-    spans = staged(repeated_spans(long_, length, shard_bytes).withColumnRenamed("doc_id", "name"), "repeat-spans")
-    out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+    long_ = plain.where(F.octet_length("text") >= least).select(F.col("name").alias("doc_id"), "text")
+    spans = repeated_spans(long_, length, shard_bytes, least, words, memory).withColumnRenamed("doc_id", "name")
+    out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passage_words", pa.int64())])
 
     def take(batches):
         for batch in batches:
             rows: dict = {k: [] for k in out.names}
             for doc, text, marks in zip(*(batch.column(i) for i in range(3))):
-                raw, runs = (text.as_py() or "").encode(), merged(marks.as_py() or [])
-                edges = [0, *[x for r in runs for x in r], len(raw)]
+                raw = (text.as_py() or "").encode()
+                runs = np.array(marks.as_py() or [], np.int64).reshape(-1, 3)
+                hits = runs[runs[:, 2] < 0]
+                hits = hits[np.argsort(hits[:, 0], kind="stable")]
+                gone = merged(hits[:, 0], hits[:, 1] + length)
+                edges = [0, *gone.ravel().tolist(), len(raw)]
                 kept = hashlib.sha256(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))).hexdigest()
-                for k, v in zip(out.names, (doc.as_py(), len(raw), sum(b - a for a, b in runs), len(runs), kept)):
+                for k, v in zip(out.names, (doc.as_py(), len(raw), int((gone[:, 1] - gone[:, 0]).sum()), len(gone), kept, passage_words(raw, runs, gone, words))):
                     rows[k].append(v)
             yield pa.RecordBatch.from_pydict(rows, schema=out)
 
-    return plain.join(spans.hint("merge"), "name", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    small_batches(docs.sparkSession)
+    return plain.join(spans.hint("merge"), "name", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long")
