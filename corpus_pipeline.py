@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.llm import bpe, decontamination, minhash, quality, secrets
-from flowframe.llm.common import joined_on_id, shared_dir, staged, table
+from flowframe.llm.common import free_name, joined_on_id, remove, shared_dir, staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,32 +19,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class stays: that of the least doc_id, null last, then by text digest and row.
 
-    Where a doc_id is null or repeated, every row gets a number of its own first, so that classes are of rows.
+    Where a doc_id is null or repeated, every row gets a number of its own first, so that classes are of rows. Null and
+    empty texts are one class.
     """
     n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if n == ids:
-        classes = staged(minhash.near_duplicates(docs), "near-classes")
+        classes = minhash.row_classes(docs)
         return joined_on_id(docs, classes.where("doc_id = class_id").select("doc_id"), "left_semi")
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
-    classes = staged(minhash.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text")), "near-classes")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "__row")
-    named = classes.withColumnRenamed("doc_id", "__row").hint("merge").join(rows.select("__row", order.alias("order")), "__row")
-    first = named.groupBy("class_id").agg(F.min("order").alias("order")).select(F.col("order.__row").alias("__row"))
-    return rows.join(first.hint("merge"), "__row", "left_semi").select(*[rows[c] for c in docs.columns])
+    row = free_name(docs, "row")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    classes = minhash.row_classes(rows.select(F.col(row).alias("doc_id"), "text"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), F.col(row).alias("row"))
+    named = classes.withColumnRenamed("doc_id", row).hint("merge").join(rows.select(row, order.alias("order")), row)
+    first = named.groupBy("class_id").agg(F.min("order").alias("order")).select(F.col("order.row").alias(row))
+    return rows.join(first.hint("merge"), row, "left_semi").select(*[rows[c] for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; null and empty texts hold none, equal rows are judged alike."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret, plain or encoded, is replaced by a mark."""
+    """Every secret, plain or encoded, is replaced by a mark; every row stays, a null or empty text as it is."""
     return secrets.redacted(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, with count and digests."""
+    """Token ids of what is left, with count and digests; one row for each row, none for a null or empty text's tokens."""
     return bpe.digests(docs)
 
 
@@ -63,7 +65,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
+        if before:
+            remove(spark, before)  # only the last stage's table is read from here on
+        before = f"{base}/{name}"
     return docs

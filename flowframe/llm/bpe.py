@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_blocks, ragged, span_hashes, texts
+from .common import map_blocks, ragged, span_equal, span_hashes, texts
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens that a worker remembers before it starts anew; memory, not results, depends on it.
@@ -105,6 +105,8 @@ class Encoder:
         self.known = np.empty(0, np.uint64)
         self.at = np.empty(0, np.int64)
         self.count = np.empty(0, np.int64)
+        self.bytes = np.empty(0, np.uint8)
+        self.begin = self.size = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint16 if len(self.lengths) <= 1 << 16 else np.uint32)
 
     # -- pre-tokens
@@ -210,22 +212,26 @@ class Encoder:
             index(np.concatenate([before, pos]))
         return sym[:n][alive], np.searchsorted(word[alive], np.arange(len(offs)))
 
-    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> None:
-        """Encode the pre-tokens that are not known; ``h`` are distinct and sorted."""
+    def learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Places among the known pre-tokens of new and old ones; ``h`` are distinct and sorted."""
         if len(self.known) > REMEMBERED:
             self.forget()
         at = np.minimum(np.searchsorted(self.known, h), max(0, len(self.known) - 1))
         new = np.flatnonzero(self.known[at] != h) if len(self.known) else np.arange(len(h))
-        if not len(new):
-            return
-        size = ends[new] - starts[new]
-        ids, offs = self.merge(self.of_byte[data[ragged(starts[new], size)]], np.append(0, np.cumsum(size)))
-        known = np.concatenate([self.known, h[new]])
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.at = np.concatenate([self.at, len(self.ids) + offs[:-1]])[order]
-        self.count = np.concatenate([self.count, np.diff(offs)])[order]
-        self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
+        if len(new):
+            size = ends[new] - starts[new]
+            piece = data[ragged(starts[new], size)]
+            ids, offs = self.merge(self.of_byte[piece], np.append(0, np.cumsum(size)))
+            known = np.concatenate([self.known, h[new]])
+            order = np.argsort(known, kind="stable")
+            self.known = known[order]
+            self.at = np.concatenate([self.at, len(self.ids) + offs[:-1]])[order]
+            self.count = np.concatenate([self.count, np.diff(offs)])[order]
+            self.begin = np.concatenate([self.begin, len(self.bytes) + np.cumsum(size) - size])[order]
+            self.size = np.concatenate([self.size, size])[order]
+            self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
+            self.bytes = np.concatenate([self.bytes, piece])
+        return np.searchsorted(self.known, h)
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a block of documents and their offsets; special tokens in a text count as themselves."""
@@ -252,13 +258,26 @@ class Encoder:
         order = np.argsort(h)
         ordered = h[order]
         fresh = np.append(True, ordered[1:] != ordered[:-1])
-        first = order[fresh]
-        self.learn(data, starts[first], ends[first], ordered[fresh])
-        at = np.empty(len(h), np.int64)
-        at[order] = np.searchsorted(self.known, ordered[fresh])[np.cumsum(fresh) - 1]
+        first, which = order[fresh], np.empty(len(h), np.int64)
+        which[order] = np.cumsum(fresh) - 1
+        place = self.learn(data, starts[first], ends[first], ordered[fresh])
+        # a hash names a pre-token only as long as the bytes agree, here and with what the worker remembers
+        same = span_equal(data, starts, ends, data, starts[first[which]], ends[first[which]]).all()
+        if not same or not span_equal(data, starts[first], ends[first], self.bytes, self.begin[place], self.begin[place] + self.size[place]).all():
+            return self._by_bytes(data, starts, ends, owner)
+        at = place[which]
         count = self.count[at]
         return self.ids[ragged(self.at[at], count)].astype(np.uint32), np.append(0, np.cumsum(count))[owner]
 
+    def _by_bytes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``plain``, with pre-tokens told apart by their bytes alone, for a block in which two hashes are equal."""
+        raw, names = data.tobytes(), {}
+        at = np.array([names.setdefault(raw[a:b], len(names)) for a, b in zip(starts.tolist(), ends.tolist())])
+        offs = np.append(0, np.cumsum([len(w) for w in names]))
+        ids, cut = self.merge(self.of_byte[np.frombuffer(b"".join(names), np.uint8)], offs)
+        count = np.diff(cut)[at]
+        return ids[ragged(cut[:-1][at], count)].astype(np.uint32), np.append(0, np.cumsum(count))[owner]
+
     def _with_special(self, raw: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         parts, ends = [], [0]
         for d in range(len(offs) - 1):
@@ -317,7 +336,11 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, hashed where they are made."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, hashed where they are made.
+
+    Null and empty texts have no token and the digests of nothing; repeated rows, also of one doc_id, give a row each;
+    a text of any length is encoded whole.
+    """
     path = path or vocabulary_path()
 
     def run(ids, data, offs):
@@ -328,5 +351,3 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         return [ids, np.diff(at), [sha(r.astype("<u4").tobytes()) for r in rows], [sha(enc.decode(r).encode()) for r in rows]]
 
     return map_blocks(texts(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", BYTES)
-
-

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,11 +18,15 @@ def components(edges: DataFrame) -> DataFrame:
     labels = staged(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")), "cc-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("m"))
-        low = labels.join(near, "node", "left").select("node", F.col("label").alias("was"), F.least("label", F.coalesce("m", "label")).alias("label"))
+        low = labels.select("node", "label").join(near, "node", "left").select("node", F.col("label").alias("was"), F.least("label", F.coalesce("m", "label")).alias("label"))
         up = low.select(F.col("node").alias("label"), F.col("label").alias("top"))
         jumped = low.join(up, "label", "left").select("node", "was", F.least(F.col("label"), F.coalesce("top", "label")).alias("label"))
         found = staged(jumped, "cc-labels")
         changed = found.where("was <> label").limit(1).count()
-        labels = found.select("node", "label")
+        discard(labels)
         if not changed:
-            return labels
+            discard(both)
+            out = found.select("node", "label")
+            out.staged_at = found.staged_at
+            return out
+        labels = found

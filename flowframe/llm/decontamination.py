@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import blocks, lower, map_blocks, mix, span_hashes, texts
+from .common import blocks, lower, map_blocks, mix, small_batches, span_hashes, texts
 from .licenses import license_words
 
 RATE = 0.2
@@ -88,7 +88,12 @@ class Items:
                 for i, o in owners[t]:
                     k = self.words[i][2]
                     a = max(int(first[d]), w - o - k)
-                    windows[d, i].append((a, min(int(first[d + 1]), w - o + len(self.words[i][1]) + k)))
+                    b = min(int(first[d + 1]), w - o + len(self.words[i][1]) + k)
+                    spans = windows[d, i]
+                    if spans and spans[-1][0] <= a <= spans[-1][1]:  # hits come in order, so a window mostly widens the last one
+                        spans[-1] = (spans[-1][0], max(spans[-1][1], b))
+                    else:
+                        spans.append((a, b))
         out = []
         for (d, i), spans in sorted(windows.items()):
             item, words, k = self.words[i]
@@ -148,7 +153,12 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, all columns kept, without a shuffle."""
+    """The rows of ``docs`` in which no item is found, all columns kept, without a shuffle.
+
+    Null and empty texts hold nothing and stay; each of several equal rows, and of rows that share a doc_id, is judged by
+    its own text; a text of any length is searched whole.
+    """
+    small_batches(docs.sparkSession)
     for one in passes(items, rate):
 
         def keep(batches, one=one):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower, map_blocks, mix, ragged, space_words, span_hashes, staged, texts
+from .common import discard, lower, map_blocks, mix, ragged, space_words, span_hashes, staged, texts
 from .components import components
 
 SHINGLE = 5
@@ -74,7 +74,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
     who, top = doc[at], weight[at].astype(float)
     seed = mix(element[at] + level.astype(np.uint64) * _CELL)
     time = np.zeros(len(at))
-    sig = np.full(n * m, np.inf)
+    sig, late = np.full(n * m, np.inf), np.full(n, np.inf)
     while len(seed):
         seed = mix(seed + _GOLD)
         time = time - np.log(((seed >> np.uint64(11)) + np.uint64(1)).astype(float) * 2.0**-53) / (m * size)
@@ -83,7 +83,8 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
         seen = place < top
         slot = who * m + (pick & np.uint64(0xFFFFFFFF)).astype(np.int64) % m
         np.minimum.at(sig, slot[seen], time[seen])
-        late = sig.reshape(n, m).max(axis=1)
+        open_ = np.flatnonzero(np.bincount(who, minlength=n))
+        late[open_] = sig.reshape(n, m)[open_].max(axis=1)
         go = time < late[who]
         seed, time, low, size, who, top = (x[go] for x in (seed, time, low, size, who, top))
     return sig.reshape(n, m)
@@ -111,7 +112,7 @@ def signed(docs: DataFrame) -> DataFrame:
         text = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(offs, offs[1:])]
         return [ids, pa.array(text, pa.binary()), size, pa.array([k if s else [] for k, s in zip(key, size)], pa.list_(pa.int64()))]
 
-    return map_blocks(texts(docs), run, "doc_id long, key binary, size long, bands array<long>", 8 << 20)
+    return map_blocks(texts(docs), run, "doc_id long, key binary, size long, bands array<long>", 2 << 20)
 
 
 def elements(docs: DataFrame) -> DataFrame:
@@ -135,8 +136,9 @@ def verified(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
     return both.where(met >= F.lit(threshold) * (F.size("x") + F.size("y") - met)).select("a", "b")
 
 
-def across(left: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs (a, b) of different labels among ``left`` (rep, size, label), by an exact prefix join.
+def across(left: DataFrame, bag: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of different labels among ``left`` (rep, size, label), by an exact prefix join; and the
+    staged table that they are read from.
 
     Elements are ordered by how many of these bags hold them, rarest first. Bags that reach the threshold share one of
     their first size - ceil(threshold * size) + 1 elements, at places that leave enough of both behind (prefix, length
@@ -156,24 +158,36 @@ def across(left: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
     fits = (F.col("size") >= F.lit(threshold) * F.col("size2")) & (F.col("size2") >= F.lit(threshold) * F.col("size"))
     enough = (F.col("size") - F.col("i") >= need) & (F.col("size2") - F.col("i2") >= need)
     pairs = one.join(two, "e").where((F.col("rep") < F.col("rep2")) & (F.col("label") != F.col("label2")) & fits & enough)
-    return pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+    return pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct(), prefix
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id) of every document: the least doc_id of its class of linked documents.
+    """(doc_id, class_id) of every row: the least doc_id of its class of linked documents.
 
     Links are weighted Jaccard similarities of at least ``threshold`` between bags of 5-shingles; texts that are equal are
-    one class, also where they have no word; null counts as empty. doc_id names a document; rows without one belong to
-    the class of their text.
+    one class, also where they have no word; null counts as empty. Rows that repeat a doc_id, with the same text or another
+    one, and rows without one are documents of their own; class_id is null only where the whole class has no doc_id.
     """
+    n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n == ids:
+        return row_classes(texts(docs), threshold)
+    rows = staged(texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), "text"), "near-rows")
+    named = row_classes(rows.select(F.col("row").alias("doc_id"), "text"), threshold).withColumnRenamed("doc_id", "row")
+    named = named.hint("merge").join(rows.select("row", "doc_id"), "row")
+    least = named.groupBy("class_id").agg(F.min("doc_id").alias("least"))
+    return named.join(least.hint("merge"), "class_id").select("doc_id", F.col("least").alias("class_id"))
+
+
+def row_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``near_duplicates`` of rows (doc_id, text) whose doc_id is unique and not null."""
     rows = staged(signed(docs), "near-signed")
     reps = staged(rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")), "near-reps")
-    flat = reps.where("rep is not null").select("rep", "size", F.explode("bands").alias("band"))
+    flat = reps.select("rep", "size", F.explode("bands").alias("band"))
     full = flat.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     shared = staged(flat.join(full, "band"), "near-shared")
     ids = staged(shared.select(F.col("rep").alias("doc_id")).distinct(), "near-ids")
     picked = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    bag = staged(elements(texts(docs).join(picked, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "near-bags")
+    bag = staged(elements(texts(docs).join(picked, "doc_id", "left_semi")), "near-bags")
 
     small, large = F.least("size", "c.size"), F.greatest("size", "c.size")
     fits = small >= F.lit(threshold) * large
@@ -187,9 +201,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     named = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", "size", F.coalesce("label", "rep").alias("label"))
     open_ = named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi and n > 2").select("band")
     left = staged(named.join(open_, "band", "left_semi").select("rep", "size", "label").distinct(), "near-open")
-    rest = across(left, bag, threshold).join(star, ["a", "b"], "left_anti")
-    more = staged(verified(staged(rest, "near-rest"), bag, threshold), "near-links")
+    rest, prefix = across(left, bag, threshold)
+    rest = staged(rest.join(star, ["a", "b"], "left_anti"), "near-rest")
+    more = staged(verified(rest, bag, threshold), "near-links")
     if more.limit(1).count():
-        labels = components(links.unionByName(more))
+        old, labels = labels, components(links.unionByName(more))
+        discard(old)
     classes = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("label", "rep").alias("class_id"))
-    return rows.select("doc_id", "key").join(classes, "key").select("doc_id", "class_id")
+    out = staged(rows.select("doc_id", "key").join(classes, "key").select("doc_id", "class_id"), "near-classes")
+    discard(rows, reps, shared, ids, bag, star, links, left, rest, prefix, more, labels)
+    return out

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import staged
+from .common import discard, staged
 
 K = 8
 _UNIT = 1 << 20
@@ -90,6 +90,7 @@ def propagate(members: DataFrame, k: int = K, cap: int | None = None, rounds: in
         near = sum(r["own"] for r in demand)
         demand = [r for r in demand if r["want"] is not None]
         if not demand or near <= last:
+            discard(moves)
             break
         last = near
         share = _quotas(demand, load, cap, k)
@@ -97,8 +98,10 @@ def propagate(members: DataFrame, k: int = K, cap: int | None = None, rounds: in
         quota = spark.createDataFrame(rows, "shard int, want int, cls int, upto long")
         # whole hubs go or stay where the hub is small against the quota; members of a large hub are drawn one by one
         draw = F.when(F.col("cls") >= int(math.log2(max(2, cap))) - 4, _unit("node", F.lit(step))).otherwise(_unit("hub", F.lit(step)))
+        old = state
         moved = moves.join(F.broadcast(quota), ["shard", "want", "cls"], "left")  # at most k*k*64 rows
         state = staged(moved.select("node", "hub", "hubs", "cls", F.when(draw < F.col("upto"), F.col("want")).otherwise(F.col("shard")).alias("shard")), "shard-state")
+        discard(old, moves)
     return state
 
 
@@ -196,8 +199,8 @@ def _ranks(df: DataFrame, by: list[str]) -> DataFrame:
 def shard_documents(docs: DataFrame, k: int = K, rounds: int | None = None) -> DataFrame:
     """Documents in k shards by the ``rows`` law; documents of equal text are linked.
 
-    Null text counts as empty, and empty texts are equal to each other. doc_id names a document: rows that repeat one
-    are separate nodes only if their text differs; a null doc_id is a node like any other.
+    Null text counts as empty, and empty texts are equal to each other. Every row is a node, also one that repeats
+    another row or its doc_id, or has no doc_id; equal ones differ in a copy number. Ties are broken by node.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("hub"))

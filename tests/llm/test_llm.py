@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 
 from flowframe.llm import bpe, decontamination, licenses, lm, minhash, quality, repeats, secrets, sharding, token_counts
-from flowframe.llm.suffixes import suffix_array
 
 LONG = " ".join(f"word{i % 977} x{i}" for i in range(3000))
 ROWS = [(1, None), (2, ""), (3, "a b"), (4, LONG), (5, LONG), (6, LONG + " tail"), (7, "plain words only, nothing else here at all"), (8, ""), (9, "#### $$$$ |||| " * 9), (10, "Ünïcode ñ 日本 <|endoftext|> it's\n\nlines")]
@@ -128,25 +127,74 @@ def _repeats(rows, n):
 @pytest.mark.parametrize("shard", [1 << 20, 2000])
 def test_repeats(spark, docs, shard):
     rows = ROWS + [(20, "a" * 1500), (21, "xy" * 700), (22, LONG[100:900] + "Q" + LONG[500:1000])]
+    flip = str.maketrans("ab", "ba")
+    t = "a"
+    for _ in range(12):  # a Thue-Morse word and its complement
+        t += t.translate(flip)
+    rows += [(23, t), (24, t.translate(flip) + "c"), (25, t[:1024] + "d" + t[:1024].translate(flip))]
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: tuple(r)[1:] for r in repeats.removed(d, 400, shard).collect()}
+    got = {r["doc_id"]: tuple(r)[1:5] for r in repeats.removed(d, 400, shard).collect()}
     assert got == _repeats(rows, 400)
 
 
+@pytest.mark.parametrize("shard", [1 << 20, 1500])
+def test_repeated_passages_shorter_than_what_is_removed(spark, shard):
+    import random
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("bcdfghklmnprst", k=5))
+    some = lambda n: [word() for _ in range(n)]
+    passage, brief = some(55), some(45)
+    rows = [(i, " ".join([*some(60 + i), *(passage if i % 2 else brief), *some(40)])) for i in range(8)]
+    rows += [(8, " ".join(some(300))), (9, None), (10, " ".join(passage))]
+    got = {r["doc_id"]: (r["n_removed"], r["n_passage_words"]) for r in repeats.removed(spark.createDataFrame(rows, "doc_id long, text string"), 400, shard).collect()}
+    assert got == {i: (0, 55 if i in (1, 3, 5, 7, 10) else 0) for i in range(11)}
+
+
+def test_a_shard_far_larger_than_memory():
+    from flowframe.llm import suffixes
+
+    rng = np.random.default_rng(4)
+    part = rng.integers(97, 101, 6000).astype(np.uint8)
+    text = np.concatenate([part, rng.integers(97, 123, 3000).astype(np.uint8), part[1000:5000], np.full(900, 97, np.uint8), part[2000:4500]])
+    memory = 1 << 9  # the text alone is 30 times as large
+    queues, made = [], suffixes.Queues.__init__
+    suffixes.Queues.__init__ = lambda self, *a: (queues.append(self), made(self, *a))[1]
+    try:
+        best = suffixes.longest_repeats(text, np.ones(len(text), bool), 400, memory)
+    finally:
+        suffixes.Queues.__init__ = made
+    assert sum(q.spills > 0 for q in queues) >= 6  # also those of the strings of names
+    seen, raw = defaultdict(int), text.tobytes()
+    for n in (400, 50, 8):
+        seen.clear()
+        for p in range(len(raw) - n + 1):
+            seen[raw[p : p + n]] += 1
+        assert [bool(b >= n) for b in best[: len(raw) - n + 1]] == [seen[raw[p : p + n]] > 1 for p in range(len(raw) - n + 1)]
+
+
 def test_repeats_without_names(spark):
     """Null ids, repeated rows and ids that stand for several texts; an empty table."""
     rows = [(1, LONG), (1, LONG), (1, LONG[3000:5000] + "z"), (2, "u" + LONG[4000:4700]), (2, "short"), (None, LONG[100:900]), (None, "v" * 399), (None, None), (3, "only " * 79 + "once"), (3, "only " * 79 + "once")]
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = [(i, *_repeats([(k, t) for k, (_, t) in enumerate(rows)], 400)[j]) for j, (i, _) in enumerate(rows)]
-    assert sorted(map(repr, (tuple(r) for r in repeats.removed(d).collect()))) == sorted(map(repr, want))
+    assert sorted(map(repr, (tuple(r)[:5] for r in repeats.removed(d).collect()))) == sorted(map(repr, want))
     assert repeats.removed(d.limit(0)).count() == 0
 
 
-def test_suffix_array():
+@pytest.mark.parametrize("memory", [1 << 20, 4096, 256])
+def test_suffix_order_and_common_prefixes(memory):
+    from flowframe.llm.suffixes import suffix_order
+
     rng = np.random.default_rng(1)
-    for _ in range(100):
-        x = rng.integers(0, rng.integers(1, 5) + 1, rng.integers(1, 90)).astype(np.int16)
-        assert suffix_array(x, 1000).tolist() == sorted(range(len(x)), key=lambda i: x[i:].tolist())
+    for k in range(60):
+        x = np.tile(rng.integers(0, rng.integers(1, 5) + 1, rng.integers(1, 90)).astype(np.uint8), 1 + k % 4 * 3)
+        got = np.concatenate(list(suffix_order(x, 1000, memory)))[::-1]
+        raw = x.tobytes()
+        at = sorted(range(len(x)), key=lambda i: raw[i:])
+        assert got["at"].tolist() == at
+        same = lambda a, b: next((i for i, (p, q) in enumerate(zip(raw[a:], raw[b:])) if p != q), len(raw) - max(a, b))  # noqa: B023, E731
+        assert got["common"].tolist()[:-1] == [same(a, b) for a, b in zip(at, at[1:])]
 
 
 def test_secrets():
