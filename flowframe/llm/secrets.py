@@ -3,15 +3,19 @@
 Each text starts a worklist. A layer is scanned for secrets, then every encoding it holds (percent escapes, Unicode
 escapes, base64 also over several lines, and zlib or gzip below base64 or percent escapes) is unwrapped into a new layer, until no layer is new. Within one such run
 a layer already seen is not entered again, which ends cycles; every run names the secrets below it, also where runs hold the
-same text. Every character of a layer knows the span of the original text it came from.
+same text. A run that does not decode as a whole is searched at all four alignments for what it holds behind a prefix. What
+is packed is unpacked in overlapping windows, so a small payload that unpacks to gigabytes takes no more memory than any
+other. Every character of a layer knows the span of the original text it came from, by runs of characters.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from urllib.parse import unquote_to_bytes
 
@@ -34,6 +38,13 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_BASE64)
 _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+" % LEAST_BASE64)
+MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+_MAGIC = re.compile(b"|".join(re.escape(x) for x in MAGIC))
+_PLAIN = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){%d,}" % (LEAST_BASE64 * 3 // 4))
+_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
+#: Characters of a window of unpacked text; windows overlap by OVERLAP, or by the run that they end in, up to LONGEST.
+PIECE, OVERLAP, LONGEST = 1 << 18, 4096, 1 << 24
+_BREAK = re.compile(r"[^A-Za-z0-9+/_=%.~\\&#;-]")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _PACKED = re.compile(r"(?:%1[fF]%8[bB]|(?:x|%78)(?:%01|\^|%5[eE]|%9[cC]|%[dD][aA]))[A-Za-z0-9._~!*'()/+%-]+")
 
@@ -45,32 +56,66 @@ def found(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", m.start(), m.end()) for m in _LONG_HEX.finditer(text)]
 
 
+class Places:
+    """Where the characters of a layer come from, in runs: ``at`` the first character of each run, ``a`` its start in the
+    original text, and ``b`` the end there of what all characters of the run come from; -1 where each is itself."""
+
+    def __init__(self, at: list[int], a: list[int], b: list[int]):
+        self.at, self.a, self.b = at, a, b
+
+    def start(self, i: int) -> int:
+        j = bisect_right(self.at, i) - 1
+        return self.a[j] + (i - self.at[j] if self.b[j] < 0 else 0)
+
+    def end(self, i: int) -> int:
+        """The end of character i."""
+        j = bisect_right(self.at, i) - 1
+        return self.a[j] + i - self.at[j] + 1 if self.b[j] < 0 else self.b[j]
+
+    def copy(self, lo: int, hi: int, to: "Places", at: int) -> None:
+        """Append the runs of characters lo to hi to another layer's, from its character ``at`` on."""
+        j = bisect_right(self.at, lo) - 1
+        while lo < hi:
+            end = min(hi, self.at[j + 1] if j + 1 < len(self.at) else hi)
+            to.at.append(at)
+            to.a.append(self.start(lo))
+            to.b.append(self.b[j])
+            at, lo, j = at + end - lo, end, j + 1
+
+
 @dataclass
 class Layer:
-    """``start``/``end``: the span of the original text of each character; ``new``: whether the last step decoded it."""
+    """``new``: starts and ends, in turn, of what the last step decoded; None for all of it."""
 
     text: str
     path: str
-    start: list[int] | range
-    end: list[int] | range
-    new: list[bool] | None
+    places: Places
+    new: list[int] | None
+
+    def decoded(self, a: int, b: int) -> bool:
+        """Whether the last step decoded any of the characters a to b."""
+        return self.new is None or bisect_right(self.new, a) % 2 == 1 or bisect_right(self.new, a) < bisect_left(self.new, b)
 
 
 def _replaced(layer: Layer, name: str, pattern: re.Pattern, decode) -> Layer | None:
-    text, start, end, new, at = [], [], [], [], 0
+    text, new, at, size, places = [], [], 0, 0, Places([], [], [])
     for m in pattern.finditer(layer.text):
         got = decode(m[0])
-        if got is None:
+        if not got:
             continue
         a, b = m.span()
+        layer.places.copy(at, a, places, size)
+        size += a - at
         text += [layer.text[at:a], got]
-        start += [*layer.start[at:a], *[layer.start[a]] * len(got)]
-        end += [*layer.end[at:a], *[layer.end[b - 1]] * len(got)]
-        new += [False] * (a - at) + [True] * len(got)
-        at = b
+        places.at.append(size)
+        places.a.append(layer.places.start(a))
+        places.b.append(layer.places.end(b - 1))
+        new += [size, size + len(got)]
+        size, at = size + len(got), b
     if not at:
         return None
-    return Layer("".join([*text, layer.text[at:]]), name, [*start, *layer.start[at:]], [*end, *layer.end[at:]], new + [False] * (len(layer.text) - at))
+    layer.places.copy(at, len(layer.text), places, size)
+    return Layer("".join([*text, layer.text[at:]]), name, places, new)
 
 
 def _percent(s: str) -> str:
@@ -98,26 +143,75 @@ def _codec(raw: bytes) -> tuple[str, int]:
     return "utf-8", 0
 
 
-def _plain(raw: bytes) -> str | None:
-    """Text of decoded bytes if they are text: valid UTF-16 or UTF-8 with hardly any control character."""
-    codec, skip = _codec(raw)
+def _is_plain(s: str) -> bool:
+    """Hardly any control character."""
+    return bool(s) and len(_CONTROL.findall(s)) * 20 <= len(s)
+
+
+def _inflated(source, first: bytes):
+    """The bytes below zlib or gzip in pieces of bounded size, however many there are; raises zlib.error on other bytes."""
+    z, rest = zlib.decompressobj(47), first
+    while True:
+        while rest:
+            out = z.decompress(rest, PIECE)
+            rest = z.unconsumed_tail
+            if out:
+                yield out
+            if z.eof:
+                return
+        if (rest := next(source, b"")) == b"":
+            raise zlib.error("cut short")
+
+
+def _joined(source, least: int) -> bytes:
+    """At least ``least`` bytes of a source, fewer only at its end."""
+    out = b""
+    while len(out) < least and (more := next(source, b"")):
+        out += more
+    return out
+
+
+def windows(raw: bytes, name: str = "base64"):
+    """(path, text) of the text in decoded bytes, below any number of zlib or gzip layers, in windows of about ``PIECE``
+    characters that overlap by a run, so that memory does not grow with what a small payload unpacks to.
+
+    A payload of one window counts only if it unpacks to its end and is text; a longer one ends where it stops being so.
+    """
+    source, path, seen = iter([raw]), name, set()
     try:
-        s = raw[skip:].decode(codec)
-    except UnicodeDecodeError:
-        return None
-    return s if s and sum(c < " " and c not in "\t\n\r" for c in s) * 20 <= len(s) else None
+        head = next(source, b"")
+        while head[:2] in MAGIC:
+            path = f"{name}.zlib"
+            source = _inflated(source, head)
+            head = _joined(source, 64)
+            if (mark := hash(head)) in seen:  # what unpacks to itself
+                return
+            seen.add(mark)
+        codec, skip = _codec(head)
+        decoder = codecs.getincrementaldecoder(codec)()
+        parts, need = [decoder.decode(head[skip:])], PIECE
+        while True:
+            more = next(source, b"")
+            parts.append(decoder.decode(more, not more))
+            if more and sum(map(len, parts)) < need:
+                continue
+            text = "".join(parts)
+            if not _is_plain(text):
+                return
+            yield path, text
+            if not more:
+                return
+            # what follows may belong to a run of characters that began here
+            run = _BREAK.search(text[: -LONGEST - 1 : -1])
+            parts = [text[-max(OVERLAP, run.start() if run else 0) :]]
+            need = max(PIECE, 2 * len(parts[0]))
+    except (zlib.error, UnicodeDecodeError):
+        return
 
 
 def _unpacked(raw: bytes, name: str = "base64") -> tuple[str, str] | None:
-    path = name
-    while raw[:2] in (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda"):
-        try:
-            raw = zlib.decompress(raw, 47)
-        except zlib.error:
-            return None
-        path = f"{name}.zlib"
-    s = _plain(raw)
-    return (path, s) if s else None
+    """(path, first window) of what is in decoded bytes, if it is text."""
+    return next(windows(raw, name), None)
 
 
 def _bytes(s: str) -> bytes:
@@ -154,66 +248,102 @@ def _wrapped(layer: Layer):
         if path != "base64":
             continue
         codec, skip = _codec(raw)
-        ends = skip + np.cumsum([len(c.encode(codec)) for c in text])
+        text = raw[skip:].decode(codec)
+        width = np.array([len(c.encode(codec)) for c in sorted(set(text))])
+        number = {c: i for i, c in enumerate(sorted(set(text)))}
+        ends = skip + np.cumsum(width[[number[c] for c in text]])
         begins = np.append(skip, ends[:-1])
         upto = np.cumsum([b - a for a, b in lines])
-        first, last = (np.searchsorted(upto, x, "right").tolist() for x in (begins * 8 // 6, (ends * 8 - 1) // 6))
-        yield Layer(text, "base64", [layer.start[lines[x][0]] for x in first], [layer.end[lines[x][1] - 1] for x in last], None)
+        first, last = (np.searchsorted(upto, x, "right") for x in (begins * 8 // 6, (ends * 8 - 1) // 6))
+        at = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (last[1:] != last[:-1])))
+        a = [layer.places.start(lines[x][0]) for x in first[at].tolist()]
+        b = [layer.places.end(lines[x][1] - 1) for x in last[at].tolist()]
+        yield Layer(text, "base64", Places(at.tolist(), a, b), None)
+
+
+def _inside(run: str):
+    """(raw bytes, start, end) of what a run of base64 characters holds besides others: text or packed bytes that begin
+    behind a prefix or end before other characters, at each of the four ways to read the run."""
+    bare = run.rstrip("=")
+    for k in range(4):
+        raw = _bytes(bare[k : len(bare) - ((len(bare) - k) % 4 == 1)])
+        to = lambda i, j: (k + i * 4 // 3, len(run) if j == len(raw) else k - (-j * 4 // 3))  # noqa: B023, E731
+        for m in _PLAIN.finditer(raw):
+            yield m[0], *to(*m.span())
+        for m in _MAGIC.finditer(raw):
+            z = zlib.decompressobj(47)
+            try:
+                if len(z.decompress(raw[m.start() :], 64)) >= LEAST_BASE64 // 2 or z.eof:
+                    yield raw[m.start() :], *to(m.start(), len(raw))
+            except zlib.error:
+                continue
 
 
 def _runs(layer: Layer):
-    """(path, decoded text, start, end) of every run that decodes as a whole: base64 of a line or unpacked, and escaped zlib or gzip."""
-    out = [(*got, *m.span()) for m in _BASE64.finditer(layer.text) if (got := _unpacked(_bytes(m[0])))]
-    for lines, path, text, _ in _blocks(layer.text):
+    """(name, bytes, start, end) of every run that decodes as a whole or in part: base64 of a line, of lines if it unpacks,
+    and escaped zlib or gzip."""
+    out = []
+    for m in _BASE64.finditer(layer.text):
+        raw = _bytes(m[0])
+        if _unpacked(raw):
+            out.append(("base64", raw, *m.span()))
+        else:
+            # a packed run that goes on in the next line is read as a block
+            out += [("base64", x, m.start() + a, m.start() + b) for x, a, b in _inside(m[0]) if _unpacked(x)]
+    for lines, path, text, raw in _blocks(layer.text):
         # a first line that unpacks by itself ends there
         if path != "base64" and not _unpacked(_bytes(layer.text[slice(*lines[0])])):
-            out.append((path, text, lines[0][0], lines[-1][1]))
+            out.append(("base64", raw, lines[0][0], lines[-1][1]))
     for m in _PACKED.finditer(layer.text) if "%" in layer.text else []:
-        raw = m[0].encode()
+        escaped = m[0].encode()
         for plus in (b"+", b" "):  # a plus is itself or a space
-            if (got := _unpacked(unquote_to_bytes(raw.replace(b"+", plus)), "url")) and got[0] != "url":
-                out.append((*got, *m.span()))
+            raw = unquote_to_bytes(escaped.replace(b"+", plus))
+            if (got := _unpacked(raw, "url")) and got[0] != "url":
+                out.append(("url", raw, *m.span()))
                 break
-    for path, text, a, b in out:
-        yield _path(layer.path, path), text, layer.start[a], layer.end[b - 1]
+    for name, raw, a, b in out:
+        yield _path(layer.path, name), raw, layer.places.start(a), layer.places.end(b - 1)
 
 
 def _path(*steps: str) -> str:
     return ".".join(x for x in steps if x)
 
 
-def _opened(text: str) -> tuple[set[tuple[str, str, int, int]], dict[tuple[str, int, int], str]]:
-    """(kind, path, start, end) of the secrets below escapes and wrapped base64, and the path of each (decoded text, start, end) of ``_runs``."""
+def _opened(text: str) -> tuple[set[tuple[str, str, int, int]], dict[tuple[bytes, int, int], str]]:
+    """(kind, path, start, end) of the secrets below escapes and wrapped base64, and the path of each (bytes, start, end) of ``_runs``."""
     more: set[tuple[str, str, int, int]] = set()
-    inner: dict[tuple[str, int, int], str] = {}
-    seen = {(text, 0, len(text))}
-    work = [Layer(text, "", range(len(text)), range(1, len(text) + 1), None)]
+    inner: dict[tuple[bytes, int, int], str] = {}
+    seen = {(hash(text), 0, len(text))}
+    work = [Layer(text, "", Places([0], [0], [-1]), None)]
     while work:
         layer = work.pop()
-        for path, got, a, b in _runs(layer):
-            inner.setdefault((got, a, b), path)
+        for path, raw, a, b in _runs(layer):
+            inner.setdefault((raw, a, b), path)
         for child in (_replaced(layer, "url", _PERCENT, _percent), _replaced(layer, "unicode", _ESCAPE, _escape), *_wrapped(layer)):
-            if child is None or (key := (child.text, child.start[0], child.end[-1])) in seen:
+            if child is None or (key := (hash(child.text), child.places.start(0), child.places.end(len(child.text) - 1))) in seen:
                 continue
             seen.add(key)
             child.path = _path(layer.path, child.path)
-            more |= {(kind, child.path, child.start[a], child.end[b - 1]) for kind, a, b in found(child.text) if child.new is None or any(child.new[a:b])}
+            more |= {(kind, child.path, child.places.start(a), child.places.end(b - 1)) for kind, a, b in found(child.text) if child.decoded(a, b)}
             work.append(child)
     return more, inner
 
 
-def _below(text: str) -> set[tuple[str, str]]:
-    """(kind, path) of every secret in or below a text that a run decodes to: all of it stands at one place, so each text is entered once."""
+def _below(raw: bytes, name: str) -> set[tuple[str, str]]:
+    """(kind, path) of every secret in or below decoded bytes: all of it stands at one place, so each payload is entered once."""
     out: set[tuple[str, str]] = set()
-    seen, work = {text}, [(text, "")]
+    seen, work = {raw}, [(raw, "", name)]
     while work:
-        at, path = work.pop()
-        more, inner = _opened(at)
-        out |= {(kind, path) for kind, *_ in found(at)} | {(kind, _path(path, step)) for kind, step, *_ in more}
-        for (got, *_), step in inner.items():
-            if got not in seen:
-                seen.add(got)
-                work.append((got, _path(path, step)))
+        at, above, name = work.pop()
+        for path, text in windows(at, name):
+            path = _path(above, path)
+            more, inner = _opened(text)
+            out |= {(kind, path) for kind, *_ in found(text)} | {(kind, _path(path, step)) for kind, step, *_ in more}
+            for (got, *_), step in inner.items():
+                if got not in seen:
+                    seen.add(got)
+                    lead, _, last = step.rpartition(".")
+                    work.append((got, _path(path, lead), last))
     return out
 
 
@@ -224,11 +354,12 @@ def spans(text: str) -> list[tuple[str, int, int]]:
     """
     below, inner = _opened(text)
     more = {(f"{kind}@{path}", a, b) for kind, path, a, b in below}
-    known: dict[str, set[tuple[str, str]]] = {}
-    for (got, a, b), path in inner.items():
-        if got not in known:
-            known[got] = _below(got)
-        more |= {(f"{kind}@{_path(path, step)}", a, b) for kind, step in known[got]}
+    known: dict[tuple[bytes, str], set[tuple[str, str]]] = {}
+    for (raw, a, b), path in inner.items():
+        lead, _, name = path.rpartition(".")
+        if (raw, name) not in known:
+            known[raw, name] = _below(raw, name)
+        more |= {(f"{kind}@{_path(lead, step)}", a, b) for kind, step in known[raw, name]}
     order = lambda x: (x[1], KINDS.index(x[0].split("@")[0]) + 3 * ("@" in x[0]), x[2], x[0])
     return sorted([*found(text), *more], key=order)
 
