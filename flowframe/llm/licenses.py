@@ -1,7 +1,8 @@
 """License scan as an exact set-similarity join of templates against text blocks.
 
-A template is a set of words. A text block is ``BLOCK_WORDS`` consecutive words of a document, one every ``STEP`` words,
-so each passage of up to ``BLOCK_WORDS - STEP`` words lies whole in a block. A block meets a template if it holds at least
+A template is a set of words. A text block is twice a template's step of consecutive words of a document, one every step;
+the step is the template's length, and ``STEP`` words at least, so each passage as long as the template lies whole in a
+block. A block meets a template if it holds at least
 ``threshold`` of the template's distinct words. Words are ordered by their frequency over all documents, rarest first;
 a block can only meet a template if it holds one of the template's first |T| - need + 1 words (prefix filter), has enough
 words (length filter), and enough words are left behind the shared one on both sides (positional filter). Survivors are
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import lower, map_blocks, runs, span_hashes, texts
 
-BLOCK_WORDS, STEP = 64, 32
+STEP = 32
 THRESHOLD = 0.8
 
 # fixed values: base phrases and their labels
@@ -37,6 +38,24 @@ TEMPLATES = {
     "mpl": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
+# fixed values: whole licenses, in the words of their public texts
+FULL = {
+    "isc": """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+        provided that the above copyright notice and this permission notice appear in all copies the software is provided as is
+        and the author disclaims all warranties with regard to this software including all implied warranties of merchantability
+        and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages
+        whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action
+        arising out of or in connection with the use or performance of this software""",
+    "mit": """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the rights to
+        use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the
+        software is furnished to do so subject to the following conditions the above copyright notice and this permission notice
+        shall be included in all copies or substantial portions of the software the software is provided as is without warranty
+        of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular
+        purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other
+        liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or
+        the use or other dealings in the software""",
+}
 
 _WORD = np.zeros(256, bool)
 _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
@@ -62,13 +81,17 @@ class Template:
     threshold: float
     consecutive: bool
 
+    @property
+    def step(self) -> int:
+        return max(STEP, len(self.words))
+
     @property
     def need(self) -> int:
         return max(1, math.ceil(self.threshold * len(set(self.words)) - 1e-9))
 
 
 def templates(threshold: float = THRESHOLD) -> list[Template]:
-    return [Template(v, tuple(k.split()), 1.0, True) for k, v in PHRASES.items()] + [Template(k, tuple(v.split()), threshold, False) for k, v in TEMPLATES.items()]
+    return [Template(v, tuple(k.split()), 1.0, True) for k, v in PHRASES.items()] + [Template(k, tuple(v.split()), threshold, False) for some in (TEMPLATES, FULL) for k, v in some.items()]
 
 
 class Vocabulary:
@@ -101,7 +124,7 @@ def frequencies(docs: DataFrame, ts: list[Template]) -> dict[str, int]:
 
 
 def scan(docs: DataFrame, ts: list[Template] | None = None) -> DataFrame:
-    """One row a document: n_words, and of the matches: phrase places, labels, best containment and met blocks.
+    """One row a document: n_words, and of the matches: phrase places, labels, best containment and first words of met blocks.
 
     Null and empty text give zero words and no match; a repeated row or doc_id is scanned again; text of any length is
     cut into blocks. Labels are distinct and sorted.
@@ -146,18 +169,25 @@ def scan(docs: DataFrame, ts: list[Template] | None = None) -> DataFrame:
 
     def match(where: np.ndarray, what: np.ndarray):
         candidates: set[tuple[int, int]] = set()
+        blocks: dict[tuple[int, int], np.ndarray] = {}
+
+        def block(start: int, words: int) -> np.ndarray:
+            if (start, words) not in blocks:
+                blocks[start, words] = np.unique(what[np.searchsorted(where, start) : np.searchsorted(where, start + words)])
+            return blocks[start, words]
+
         for p, t in zip(where[in_prefix[what]].tolist(), what[in_prefix[what]].tolist()):
-            for x in {p // STEP, p // STEP - 1} - {-1}:
-                held = np.unique(what[np.searchsorted(where, x * STEP) : np.searchsorted(where, x * STEP + BLOCK_WORDS)])
-                j = int(np.searchsorted(held, t))
-                for k, i in prefix[t]:
-                    need = ts[k].need
+            for k, i in prefix[t]:
+                step, need = ts[k].step, ts[k].need
+                for x in {p // step, p // step - 1} - {-1}:
+                    held = block(x * step, 2 * step)
+                    j = int(np.searchsorted(held, t))
                     if len(held) >= need and 1 + min(len(sets[k]) - i - 1, len(held) - j - 1) >= need:
-                        candidates.add((k, x))
+                        candidates.add((k, x * step))
         places, found, best = set(), set(), 0.0
         position = dict(zip(where.tolist(), what.tolist()))
         for k, x in candidates:
-            a, b = np.searchsorted(where, [x * STEP, x * STEP + BLOCK_WORDS])
+            a, b = np.searchsorted(where, [x, x + 2 * ts[k].step])
             share = len(set(what[a:b].tolist()) & set(sets[k])) / len(sets[k])
             if share * len(sets[k]) < ts[k].need:
                 continue

@@ -108,6 +108,19 @@ def test_licenses(spark):
     assert got[4]["labels"] == "bsd" and got[4]["score"] == 1.0 and got[1]["score"] == 0.0
 
 
+def test_licenses_longer_than_a_block(spark):
+    words = [f"w{i}" for i in range(120)]
+    long_ = licenses.Template("long", tuple(words), 0.8, False)
+    pad = " ".join(["pad"] * 77)
+    cut = " ".join(w for i, w in enumerate(words) if i % 6)
+    rows = [(1, f"{pad} {' '.join(words)} {pad}"), (2, f"{pad} {cut} {pad}"), (3, " ".join(words[:90])), (4, licenses.FULL["mit"]), (5, licenses.FULL["isc"].upper()), (None, " ".join(words)), (1, None)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, blocks int")
+    got = [(r["doc_id"], r["labels"], round(r["score"], 6)) for r in licenses.scan(docs, [*licenses.templates(), long_]).collect()]
+    want = [(1, "long", 1.0), (2, "long", round(100 / 120, 6)), (3, "", 0.0), (4, "mit", 1.0), (5, "isc", 1.0), (None, "long", 1.0), (1, "", 0.0)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
 def _repeats(rows, n):
     seen, out = defaultdict(int), {}
     for _, t in rows:
