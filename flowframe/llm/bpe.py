@@ -21,7 +21,7 @@ from .common import map_blocks, ragged, span_equal, span_hashes, texts
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens that a worker remembers before it starts anew; memory, not results, depends on it.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Bytes of a block; many new pre-tokens at once share the work of each rank.
 BYTES = 4 << 20
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3

@@ -6,6 +6,7 @@ the memory of a Python worker is set by the block (or by the longest document),
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -101,6 +102,26 @@ def gathered(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.R
         yield held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def tidy(run: Callable) -> Callable:
+    """A function of batches for ``mapInArrow`` that gives free memory back when its task ends: workers outlive tasks."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold but do not use to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def map_blocks(df: DataFrame, fn: Callable, schema: str, max_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``fn(ids, data, offs) -> list of Arrow arrays or None`` over every block of (doc_id, text)."""
     out = pa.schema(_arrow(df.sparkSession, schema))
@@ -114,7 +135,7 @@ def map_blocks(df: DataFrame, fn: Callable, schema: str, max_bytes: int = BLOCK_
                 if cols is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c.cast(f.type) for c, f in zip(cols, out)], schema=out)
 
-    return df.select("doc_id", "text").mapInArrow(run, schema)
+    return df.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def _arrow(spark: SparkSession, ddl: str):

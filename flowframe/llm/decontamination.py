@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import blocks, lower, map_blocks, mix, small_batches, span_hashes, texts
+from .common import blocks, lower, map_blocks, mix, small_batches, span_hashes, texts, tidy
 from .licenses import license_words
 
 RATE = 0.2
@@ -171,5 +171,5 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
                         bad[row + d] = True
                 yield batch.filter(pa.array(~bad))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(tidy(keep), docs.schema)
     return docs

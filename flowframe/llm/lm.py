@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower, mix, small_batches, space_words, span_hashes, staged
+from .common import give_back, lower, mix, small_batches, space_words, span_hashes, staged
 
 STRENGTH, ORDER = 1.0, 2
 #: Bytes of text in a block, on average and at least, and bytes of text for each message.
@@ -194,6 +194,7 @@ def scores(docs: DataFrame, folds: int = 5, held: int = 1, strength: float = STR
                     for k, x in zip(_ASKED.names, (table.column("block")[0].as_py(), kind, part, _packed(keys[a:b]), more, zlib.compress(count[a:b].astype("<u4").tobytes(), 1), 0)):
                         out[k].append(x)
         out["docs"][0] = int(learned.sum())
+        give_back()
         return pa.table(out, _ASKED)
 
     def answer(table: pa.Table) -> pa.Table:
@@ -220,6 +221,7 @@ def scores(docs: DataFrame, folds: int = 5, held: int = 1, strength: float = STR
         root, arcs = walk(g, counts, n_docs, n, v, strength, lane)
         total = lambda x: np.add.reduceat(x, g.begin)
         found = total(arcs)
+        give_back()
         return pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("fold").to_numpy() == held, "n_tokens": g.size, "n_known": total((counts[0][g.at[0]] > 0).astype(np.int64)), "train_tokens": np.full(len(g.size), n), "base_score": total(root), "score": found, "score_per_token": found / g.size}, _SCORED)
 
     return rows.groupBy("block").cogroup(answered.select("block", "kind", "part", "counts").groupBy("block")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, score_per_token double")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, discard, eights, map_blocks, mix, powers, ragged, small_batches, space_words, staged, texts
+from .common import blocks, discard, eights, map_blocks, mix, powers, ragged, small_batches, space_words, staged, texts, tidy
 from .suffixes import MEMORY, longest_repeats, scratch
 
 #: Strings of LENGTH bytes are removed; shorter repeats are known from LEAST bytes on.
@@ -180,7 +180,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
 
     small_batches(docs.sparkSession)
     marked = docs.where(F.octet_length("text") >= least).join(marks.hint("merge"), "doc_id").select("doc_id", "text", "seqs")
-    found = staged(marked.mapInArrow(cut, "doc_id binary, file long, digest binary, at long, starts int, inner int, bytes binary"), "repeat-segments")
+    found = staged(marked.mapInArrow(tidy(cut), "doc_id binary, file long, digest binary, at long, starts int, inner int, bytes binary"), "repeat-segments")
     discard(marks)
     parts = staged(found.groupBy("file", "digest").agg(F.count(F.lit(1)).alias("copies"), F.max("inner").alias("inner"), F.first("starts").alias("starts"), F.first("bytes").alias("bytes")), "repeat-parts")
     # a file with one part needs no sorting unless the part repeats inside
@@ -189,7 +189,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     total = per.where(F.col("size") <= shard_bytes).agg(F.sum("size")).first()[0] or 0
     todo = parts.join(per.hint("merge"), "file").select(F.pmod("file", F.lit(max(8, -(-total // shard_bytes)))).alias("shard"), "digest", "copies", "starts", "bytes", (F.col("size") > shard_bytes).alias("hot"))
     sorted_ = todo.where("not hot").drop("hot").repartition("shard").sortWithinPartitions("shard")
-    settled = staged(sorted_.mapInArrow(lambda b: _settled(b, least, length, memory), "digest binary, spans array<int>"), "repeat-settled")
+    settled = staged(sorted_.mapInArrow(tidy(lambda b: _settled(b, least, length, memory)), "digest binary, spans array<int>"), "repeat-settled")
 
     def fingers(batches):
         for batch in batches:
@@ -197,7 +197,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
                 a, b, one, two = prints(np.frombuffer(raw, np.uint8), starts, length, words)
                 yield pa.RecordBatch.from_arrays([pa.array([digest] * len(a), pa.binary()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(one), pa.array(two)], ["digest", "a", "b", "p", "q"])
 
-    hot = staged(todo.where("hot").select("digest", "starts", "bytes").mapInArrow(fingers, "digest binary, a int, b int, p long, q long"), "repeat-prints")
+    hot = staged(todo.where("hot").select("digest", "starts", "bytes").mapInArrow(tidy(fingers), "digest binary, a int, b int, p long, q long"), "repeat-prints")
     again = hot.groupBy("p", "q").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("p", "q")
     run = F.array("a", "a", F.when(F.col("b") - F.col("a") >= length, F.lit(-1)).otherwise(F.col("b")))
     late = hot.join(again.hint("merge"), ["p", "q"]).groupBy("digest").agg(F.flatten(F.collect_list(run)).alias("spans"))
@@ -285,4 +285,4 @@ def removed(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTE
             yield pa.RecordBatch.from_pydict(rows, schema=out)
 
     small_batches(docs.sparkSession)
-    return plain.join(spans.hint("merge"), "name", "left").select("doc_id", "text", "spans").mapInArrow(take, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long")
+    return plain.join(spans.hint("merge"), "name", "left").select("doc_id", "text", "spans").mapInArrow(tidy(take), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long")

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import blocks, lower, map_blocks, runs, small_batches, texts
+from .common import blocks, lower, map_blocks, runs, small_batches, texts, tidy
 
 # fixed values: the kinds and their patterns
 KINDS = ("assign", "access", "hex")
@@ -443,4 +443,4 @@ def redacted(docs: DataFrame) -> DataFrame:
     import pyarrow.compute  # noqa: F401  pa.compute is used in the worker
 
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

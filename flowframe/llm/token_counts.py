@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 
 from .bpe import BYTES, encoder, vocabulary_path
 from .common import blocks as text_blocks
-from .common import staged, texts
+from .common import gathered, small_batches, staged, texts, tidy
 
 END = 50256
 BLOCK_TOKENS = 1 << 16
@@ -42,7 +42,7 @@ def scan(blocks: DataFrame, end: int = END, width: int = 4) -> DataFrame:
                     rows[k].append(x)
             yield pa.RecordBatch.from_pydict(rows, schema=out)
 
-    found = blocks.select("file", "block", "tokens").mapInArrow(search, "file string, block long, n long, last long, ends array<long>")
+    found = blocks.select("file", "block", "tokens").mapInArrow(tidy(search), "file string, block long, n long, last long, ends array<long>")
     # one row a block from here on; the lists of separators stay behind the prefix scan
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     base = found.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -78,7 +78,7 @@ def token_stream(docs: DataFrame, path: str | None = None, block_tokens: int = B
 
         file, enc = f"{TaskContext.get().partitionId():08d}", encoder(path)
         rest, block, ordinal = np.empty(0, "<u4"), 0, 0
-        for batch in batches:
+        for batch in gathered(batches, BYTES):
             for at, n, data, offs in text_blocks(batch, BYTES):
                 ids, cuts = enc.plain(data, offs)
                 flat = np.full(len(ids) + n, END, "<u4")
@@ -93,7 +93,8 @@ def token_stream(docs: DataFrame, path: str | None = None, block_tokens: int = B
         if len(rest):
             yield pa.RecordBatch.from_pydict(dict(zip(out.names, zip((file, block, rest.tobytes(), None)))), schema=out)
 
-    return texts(docs).mapInArrow(run, "file string, block long, tokens binary, ids array<long>")
+    small_batches(docs.sparkSession)
+    return texts(docs).mapInArrow(tidy(run), "file string, block long, tokens binary, ids array<long>")
 
 
 def counts(docs: DataFrame, path: str | None = None) -> DataFrame:
