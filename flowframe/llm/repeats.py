@@ -1,8 +1,8 @@
 """Removal of every byte that lies in a string of ``LENGTH`` bytes which also starts elsewhere.
 
 Strings that share their first ``LEAST`` bytes hold the same least gram there, so a start is filed under the least hash of
-the grams behind it, and neighbours filed alike make one segment. Only segments whose file is used more than once go on (an
-exact filter); equal segments become one. The segments of a file lie in one shard, whose suffixes are put in order by
+the grams behind it, and neighbours filed alike make one segment. Only segments go on whose gram stands elsewhere with the same
+bytes before it or behind it, for half of what is left of ``LEAST`` (an exact filter); equal segments become one. The segments of a file lie in one shard, whose suffixes are put in order by
 external induced sorting (``suffixes``); the common prefixes that come with the order give each start the longest string
 that starts elsewhere too. A file of more bytes than a shard, as a very common passage makes it, is not sorted in one task:
 the 128-bit fingerprints of its strings are counted over all tasks instead.
@@ -22,7 +22,7 @@ from .common import blocks, discard, eights, map_blocks, mix, powers, ragged, sm
 from .suffixes import MEMORY, longest_repeats, scratch
 
 #: Strings of LENGTH bytes are removed; shorter repeats are known from LEAST bytes on.
-LENGTH, LEAST, GRAM = 400, 200, 32
+LENGTH, LEAST, GRAM = 400, 256, 32
 #: Words of a passage.
 WORDS = 51
 #: Bytes of segments in a shard, on average; a file above it is settled by fingerprints.
@@ -49,11 +49,12 @@ def _grams(data: np.ndarray) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offs: np.ndarray, least: int = LEAST):
-    """(document, file, first start in the block, number of starts, 2 if the file's gram stands twice in reach else 1)."""
+    """(document, file, first start in the block, number of starts, 2 if the file's gram stands twice in reach else 1) of
+    each segment; then (segment, key) of what a string of ``least`` bytes that starts there must share with its like."""
     size = np.diff(offs)
     z = np.empty(0, np.int64)
     if len(data) < least or size.max() < least:
-        return z, np.empty(0, np.uint64), z, z, z
+        return z, np.empty(0, np.uint64), z, z, z, z, z
     h = _grams(data)
     width = least - GRAM + 1
     low = _least(h, width)
@@ -67,10 +68,30 @@ def segments(data: np.ndarray, offs: np.ndarray, least: int = LEAST):
     top = ~_least(~np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)]), width)
     place = np.flatnonzero(h == top[: len(h)])
     a, b = np.searchsorted(place, first), np.searchsorted(place, first + starts + least - GRAM)
-    held = np.append(0, np.cumsum(h[place[ragged(a, b - a)]] == np.repeat(file, b - a)))
-    end = np.cumsum(b - a)
-    times = held[end] - held[end - (b - a)]
-    return np.searchsorted(offs, first, "right") - 1, file, first, starts, np.minimum(times, 2)
+    p, segment = place[ragged(a, b - a)], np.repeat(np.arange(len(file)), b - a)
+    own = h[p] == file[segment]
+    p, segment = p[own], segment[own]
+    times = np.bincount(segment, minlength=len(file))
+    doc = np.searchsorted(offs, first, "right") - 1
+    # a string has half of its other bytes before the gram or behind it, so one of two longer stretches repeats with it
+    half = (least - GRAM) // 2
+    steps = sorted({*range(GRAM, half, GRAM), half})
+    keys, owner = [], []
+    for side, wanted, fits in (
+        (1, p - (first + starts)[segment] < half, p + half + GRAM <= offs[1:][doc[segment]]),
+        (-1, p - first[segment] > half, p - half >= offs[:-1][doc[segment]]),
+    ):
+        q = p[wanted & fits]
+        key = h[q] + np.uint64(side + 1)
+        for step in steps:
+            key = mix(key) + h[q + side * step]
+        keys.append(mix(key))
+        owner.append(segment[wanted & fits])
+    both = np.stack([np.concatenate(owner).astype(np.uint64), np.concatenate(keys)])
+    order = np.lexsort(both[::-1])
+    both = both[:, order]
+    new = np.append(True, (both[:, 1:] != both[:, :-1]).any(axis=0))[: both.shape[1]]
+    return doc, file, first, starts, np.minimum(times, 2), both[0, new].astype(np.int64), both[1, new].view(np.int64)
 
 
 def spans_of(common: np.ndarray, least: int, length: int) -> list[int]:
@@ -147,16 +168,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
     """
 
     def file(ids, data, offs):
-        doc, file, _, _, times = segments(data, offs, least)
-        if not len(doc):
+        doc, _, _, _, times, segment, key = segments(data, offs, least)
+        if not len(key):
             return None
-        count = np.bincount(doc, minlength=len(offs) - 1)
-        return [ids.take(pa.array(doc)), file.view(np.int64), ragged(np.zeros(len(count), np.int64), count), times]
+        seq = np.arange(len(doc)) - np.searchsorted(doc, doc)
+        return [ids.take(pa.array(doc[segment])), key, seq[segment], times[segment]]
 
-    filed = staged(map_blocks(docs, file, "doc_id binary, file long, seq int, times int"), "repeat-files")
+    filed = staged(map_blocks(docs, file, "doc_id binary, key long, seq int, times int"), "repeat-files")
     # what joins here grows with the documents and has no bound, so nothing is broadcast: sort and merge at every size
-    used = filed.groupBy("file").agg(F.sum("times").alias("n")).where("n > 1").select("file")
-    marks = staged(filed.join(used.hint("merge"), "file").groupBy("doc_id").agg(F.sort_array(F.collect_set("seq")).alias("seqs")), "repeat-marks")
+    used = filed.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key")
+    marks = staged(filed.join(used.hint("merge"), "key").groupBy("doc_id").agg(F.sort_array(F.collect_set("seq")).alias("seqs")), "repeat-marks")
     discard(filed)
 
     seg = pa.schema([("doc_id", pa.binary()), ("file", pa.int64()), ("digest", pa.binary()), ("at", pa.int64()), ("starts", pa.int32()), ("inner", pa.int32()), ("bytes", pa.binary())])
@@ -166,7 +187,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHA
             seqs = batch.column(2)
             for row, n, data, offs in blocks(batch):
                 rows: dict = {k: [] for k in seg.names}
-                doc, file, first, starts, times = segments(data, offs, least)
+                doc, file, first, starts, times, _, _ = segments(data, offs, least)
                 begin, raw, file = np.searchsorted(doc, np.arange(n)).tolist(), data.tobytes(), file.view(np.int64)
                 for d in range(n):
                     name, end = batch.column(0)[row + d].as_py(), int(offs[d + 1])

@@ -51,8 +51,9 @@ class Queues:
         """Tuples in order of arrival, each to the queue of its symbol."""
         if not len(tuples):
             return
-        order = np.argsort(symbols, kind="stable")
-        symbols, tuples = symbols[order], tuples[order]
+        if (symbols[1:] < symbols[:-1]).any():
+            order = np.argsort(symbols, kind="stable")
+            symbols, tuples = symbols[order], tuples[order]
         first = np.append(0, np.flatnonzero(symbols[1:] != symbols[:-1]) + 1)
         for c, a, b in zip(symbols[first].tolist(), first.tolist(), [*first[1:].tolist(), len(tuples)]):
             self.put(c, tuples[a:b])
@@ -262,20 +263,27 @@ def _induced(s: String, seeds: np.ndarray, common: np.ndarray | None, clip: int
 
 
 def _by_doubling(names: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of a string of names by their first ``depth`` symbols at least, in memory."""
-    rank, k, n = np.asarray(names, np.int64), 1, len(names)
-    order = np.argsort(rank, kind="stable")
+    """Order of the suffixes of a string of names by their first ``depth`` symbols at least, in memory.
+
+    The rank of a suffix is the first place of its group of equals; only groups of two and more are sorted again.
+    """
+    names, n, k = np.asarray(names, np.int64), len(names), 1
+    order = np.argsort(names)
+    slots, y = np.arange(n), names[order]
+    rank = np.empty(n, np.int64)
     while True:
-        y = rank[order]
-        if k >= depth or np.all(y[1:] != y[:-1]):
+        new = np.append(True, y[1:] != y[:-1])
+        head = np.flatnonzero(new)
+        rank[order[slots]] = slots[head[np.cumsum(new) - 1]]
+        many = np.repeat(np.diff(np.append(head, len(y))) > 1, np.diff(np.append(head, len(y))))
+        slots = slots[many]
+        if k >= depth or not len(slots):
             return order
-        after = np.zeros(n, np.int64)
-        after[: n - k] = rank[k:] + 1
-        key = rank * (int(rank.max()) + 2) + after
-        order = np.argsort(key, kind="stable")
-        z = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.append(0, z[1:] != z[:-1]))
+        at = order[slots]
+        after = np.where(at + k < n, rank[np.minimum(at + k, n - 1)] + 1, 0)
+        y = rank[at] * (n + 1) + after
+        again = np.argsort(y)
+        order[slots], y = at[again], y[again]
         k *= 2
 
 

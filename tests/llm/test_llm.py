@@ -157,7 +157,7 @@ def test_repeated_passages_shorter_than_what_is_removed(spark, shard):
     rng = random.Random(5)
     word = lambda: "".join(rng.choices("bcdfghklmnprst", k=5))
     some = lambda n: [word() for _ in range(n)]
-    passage, brief = some(55), some(45)
+    passage, brief = some(55), some(41)
     rows = [(i, " ".join([*some(60 + i), *(passage if i % 2 else brief), *some(40)])) for i in range(8)]
     rows += [(8, " ".join(some(300))), (9, None), (10, " ".join(passage))]
     got = {r["doc_id"]: (r["n_removed"], r["n_passage_words"]) for r in repeats.removed(spark.createDataFrame(rows, "doc_id long, text string"), 400, shard).collect()}
