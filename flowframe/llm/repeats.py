@@ -28,24 +28,29 @@ WORDS = 51
 #: Bytes of segments in a shard, on average; a file above it is settled by fingerprints.
 SHARD_BYTES = 2 << 20
 _END = b"\xff"  # in no UTF-8 text
-_GRAM_KEYS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_GRAM_KEYS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
 def _least(h: np.ndarray, w: int) -> np.ndarray:
     """Least of each w consecutive values, by block prefixes and suffixes."""
     n = len(h) - w + 1
     pad = -len(h) % w
-    x = np.append(h, np.full(pad, np.iinfo(np.uint64).max, np.uint64)).reshape(-1, w)
-    left = np.minimum.accumulate(x, axis=1).ravel()
-    right = np.minimum.accumulate(x[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(right[:n], left[w - 1 : w - 1 + n])
+    x = np.append(h, np.full(pad, np.iinfo(np.uint64).max, np.uint64)).reshape(-1, w).T.copy()
+    left, right = x.copy(), x
+    for i in range(1, w):  # a row holds one place of every block
+        np.minimum(left[i], left[i - 1], out=left[i])
+        np.minimum(right[w - 1 - i], right[w - i], out=right[w - 1 - i])
+    return np.minimum(right.T.ravel()[:n], left.T.ravel()[w - 1 : w - 1 + n])
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
     """A hash of the GRAM = 32 bytes from each position on."""
     e, m = eights(data), len(data) - GRAM + 1
-    a, b, c = _GRAM_KEYS
-    return mix(mix(e[:m] + e[8 : m + 8] * a) + mix(e[16 : m + 16] * b + e[24 : m + 24] * c))
+    out, step = np.empty(m, np.uint64), 1 << 15  # a stretch at a time stays in cache
+    for i in range(0, m, step):
+        n = min(step, m - i)
+        out[i : i + n] = mix(sum(e[i + 8 * k : i + 8 * k + n] * _GRAM_KEYS[k] for k in range(GRAM // 8)))
+    return out
 
 
 def segments(data: np.ndarray, offs: np.ndarray, least: int = LEAST):
@@ -59,11 +64,14 @@ def segments(data: np.ndarray, offs: np.ndarray, least: int = LEAST):
     width = least - GRAM + 1
     low = _least(h, width)
     long_ = size >= least
-    at = ragged(offs[:-1][long_], size[long_] - least + 1)
-    file = low[at]
-    new = np.append(True, (file[1:] != file[:-1]) | (at[1:] != at[:-1] + 1))
-    i = np.flatnonzero(new)
-    first, file, starts = at[i], file[i], np.diff(np.append(i, len(at)))
+    begin, end = offs[:-1][long_], offs[1:][long_] - least + 1
+    new = np.append(True, low[1:] != low[:-1])
+    new[begin] = True
+    first = np.flatnonzero(new)
+    stop = end[np.searchsorted(begin, first, "right") - 1]  # where the starts of the document end
+    keep = (first < stop) & (first >= begin[0])
+    first, stop = first[keep], stop[keep]
+    file, starts = low[first], np.minimum(np.append(first[1:], len(low)), stop) - first
     # places that are the least of some window around them; two of a segment's file in its reach can repeat a string inside it
     top = ~_least(~np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)]), width)
     place = np.flatnonzero(h == top[: len(h)])
@@ -119,7 +127,7 @@ def prints(part: np.ndarray, starts: int, length: int, words: int):
         a, b = np.append(a, at[ok]), np.append(b, e[words - 1 :][ok])
     p, q = powers(len(part) + 1)
     out = []
-    for key in _GRAM_KEYS[1:]:
+    for key in _GRAM_KEYS[1:3]:
         c = np.append(np.uint64(0), np.cumsum(mix(own[: len(part)] ^ key) * p[: len(part)]))
         out.append(mix((c[b - 7] - c[a]) * q[a] + (b - a).astype(np.uint64)).view(np.int64))
     return a, b, *out

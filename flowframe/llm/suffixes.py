@@ -345,7 +345,7 @@ def suffix_order(text: np.ndarray, clip: int, memory: int = MEMORY) -> Iterator[
     if not s.n:
         return
     lms = s.lms()
-    seeds = _ordered_lms(s, lms, clip) if len(lms) else lms
+    seeds = _ordered_lms(s, lms, clip // 2 + 1) if len(lms) else lms  # LMS suffixes are two bytes apart at least
     common = scratch(len(seeds), np.int16)
     for a in range(0, len(seeds), s.step):
         x = np.asarray(seeds[max(0, a - 1) : a + s.step], np.int64)
