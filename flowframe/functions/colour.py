@@ -26,14 +26,21 @@ def wheel(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(wheel_rows(), "row int, r int, g int, b int")
 
 
-def coloured(df: DataFrame, key: str) -> DataFrame:
-    """(key, y, x, r, g, b) of (key, y, x, u, v): hue by angle, saturation by length over the field's longest."""
+def coloured(df: DataFrame, key: str, clip: float | None = None) -> DataFrame:
+    """(key, y, x, r, g, b) of (key, y, x, u, v): hue by angle, saturation by length over the field's longest.
+
+    ``clip`` holds both components between 0 and itself first.
+    """
+    if clip is not None:
+        df = df.withColumns({c: F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(float(clip))) for c in ("u", "v")})
     rows = wheel_rows()
     n = len(rows)
     top = df.groupBy(key).agg(F.max(F.sqrt(F.col("u") * F.col("u") + F.col("v") * F.col("v"))).alias("top"))
     d = df.join(top, key).select(key, "y", "x", *[(F.col(c) / (F.col("top") + F.lit(1e-5))).alias(c) for c in ("u", "v")])
     rad = F.sqrt(F.col("u") * F.col("u") + F.col("v") * F.col("v"))
-    at = (F.atan2(-F.col("v"), -F.col("u")) / F.pi() + 1) / 2 * (n - 1)
+    # straight to the right is -pi, the begin of the wheel: atan2 drops the sign of a negative zero
+    turn = F.when((F.col("v") == 0) & (F.col("u") >= 0), -F.pi()).otherwise(F.atan2(-F.col("v"), -F.col("u")))
+    at = (turn / F.pi() + 1) / 2 * (n - 1)
     d = d.select(key, "y", "x", rad.alias("rad"), F.floor(at).cast("int").alias("k0"), (at - F.floor(at)).alias("f"))
     table = [F.array(*[F.lit(float(r[i])) for r in rows]) for i in (1, 2, 3)]
     k1 = F.when(F.col("k0") + 1 == n, F.lit(0)).otherwise(F.col("k0") + 1)

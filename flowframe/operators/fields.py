@@ -70,6 +70,57 @@ def resized_area(df: DataFrame, id_: str, factor: int) -> DataFrame:
     return out.agg((F.avg("u") / factor).alias("u"), (F.avg("v") / factor).alias("v"))
 
 
+def resized_linear(df: DataFrame, id_: str, parts: list[str], h: int, w: int, to_h: int, to_w: int, aligned: bool = False) -> DataFrame:
+    """(id, y, x, parts) of packed row-major arrays ``parts``, sampled from the four source pixels around each target pixel.
+
+    ``aligned`` maps corner pixels on corner pixels; otherwise pixels are areas, and what lies beyond the last centres takes
+    their value. Arrays are read in place, so nothing is shuffled.
+    """
+    out = df.select(id_, *parts, F.explode(F.sequence(F.lit(0), F.lit(to_h * to_w - 1))).alias("q"))
+    out = out.select(id_, *parts, F.floor(F.col("q") / to_w).cast("int").alias("y"), (F.col("q") % to_w).alias("x"))
+
+    def source(t: str, n: int, m: int) -> Column:
+        if aligned:
+            return F.col(t) * ((n - 1) / (m - 1) if m > 1 else 0.0)
+        return F.least(F.greatest((F.col(t) + 0.5) * (n / m) - 0.5, F.lit(0.0)), F.lit(n - 1.0))
+
+    out = out.withColumns({"sy": source("y", h, to_h), "sx": source("x", w, to_w)})
+    y0, x0 = F.least(F.floor("sy").cast("int"), F.lit(h - 1)), F.least(F.floor("sx").cast("int"), F.lit(w - 1))
+    out = out.withColumns({"y0": y0, "x0": x0, "fy": F.col("sy") - y0, "fx": F.col("sx") - x0})
+    y1, x1 = F.least(F.col("y0") + 1, F.lit(h - 1)), F.least(F.col("x0") + 1, F.lit(w - 1))
+    fy, fx = F.col("fy"), F.col("fx")
+
+    def value(a: str) -> Column:
+        at = lambda y, x: F.get(F.col(a), y * w + x).cast("double")
+        return (1 - fy) * ((1 - fx) * at(F.col("y0"), F.col("x0")) + fx * at(F.col("y0"), x1)) + fy * ((1 - fx) * at(y1, F.col("x0")) + fx * at(y1, x1))
+
+    return out.select(id_, "y", "x", *[value(a).alias(a) for a in parts])
+
+
+def packed(df: DataFrame, id_: str, parts: list[str]) -> DataFrame:
+    """Pixels (id, y, x, parts) as one row an image with row-major arrays; an image must fit a row."""
+    s = F.sort_array(F.collect_list(F.struct("y", "x", *parts)))
+    return df.groupBy(id_).agg(s.alias("s")).select(id_, *[F.col(f"s.{p}").alias(p) for p in parts])
+
+
+def mask_share(c: Column) -> Column:
+    """Validity of a mask in percent of what is hidden."""
+    return 1 - c / 100
+
+
+def three_channels(channels: Column) -> Column:
+    """Gray as three equal channels; colours without alpha."""
+    return F.when(F.size(channels) == 1, F.array_repeat(F.get(channels, F.lit(0)), 3)).otherwise(F.slice(channels, 1, 3))
+
+
+# fixed values: means and deviations of the ImageNet channels
+MEANS, DEVIATIONS = (0.485, 0.456, 0.406), (0.229, 0.224, 0.225)
+
+
+def image_normalised(c: Column, channel: int) -> Column:
+    return (c / 255 - MEANS[channel]) / DEVIATIONS[channel]
+
+
 def min_max(c: str, key: str) -> Column:
     """(c - min) / (max - min) within the key; 0 where the key holds one value."""
     w = W.partitionBy(key)

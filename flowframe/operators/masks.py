@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -89,19 +89,30 @@ def labels(mask: np.ndarray) -> np.ndarray:
 
 
 def large_components(df: DataFrame, key: str, h: int, w: int, min_area: int) -> DataFrame:
-    """(key, y, x, label, area) of the pixels in components of more than ``min_area`` pixels; one image at a time."""
-    kind = df.schema[key].dataType.simpleString()
+    """(key, y, x, label, area) of the pixels in components of more than ``min_area`` pixels.
 
-    def run(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = np.zeros((h, w), np.uint8)
-        mask[pdf.y, pdf.x] = pdf["mask"]
-        lab = labels(mask)
-        y, x = np.nonzero(lab)
-        area = np.bincount(lab.ravel())[lab[y, x]]
-        ok = area > min_area
-        return pd.DataFrame({key: k[0], "y": y[ok], "x": x[ok], "label": lab[y, x][ok], "area": area[ok]})
+    The set pixels of an image are packed into one row, and many images go to Python in one batch.
+    """
+    kind = df.schema[key].dataType.simpleString()
 
-    return df.select(key, "y", "x", "mask").groupBy(key).applyInPandas(run, f"{key} {kind}, y int, x int, label int, area int")
+    def run(batches):
+        for batch in batches:
+            keys, out = [], [np.empty((0, 4), np.int32)]
+            for n, on in enumerate(batch.column(1)):
+                mask = np.zeros(h * w, np.uint8)
+                mask[on.values.to_numpy()] = 1
+                lab = labels(mask.reshape(h, w)).ravel()
+                at = np.flatnonzero(lab)
+                area = np.bincount(lab)[lab[at]]
+                at, area = at[area > min_area], area[area > min_area]
+                keys.append(np.full(len(at), n))
+                out.append(np.stack([at // w, at % w, lab[at], area], axis=1).astype(np.int32))
+            cols = np.concatenate(out)
+            names = batch.column(0).take(pa.array(np.concatenate(keys).astype(np.int64) if keys else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([names, *(pa.array(np.ascontiguousarray(c)) for c in cols.T)], [key, "y", "x", "label", "area"])
+
+    on = df.where("mask > 0").groupBy(key).agg(F.collect_list((F.col("y") * w + F.col("x")).cast("int")).alias("on"))
+    return on.mapInArrow(run, f"{key} {kind}, y int, x int, label int, area int")
 
 
 def united(*masks: DataFrame, on: list[str]) -> DataFrame:

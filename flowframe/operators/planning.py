@@ -33,11 +33,14 @@ def offsets(fps: Column, step: Column, long_s: float, short_s: float) -> tuple[C
 
 
 def triplets(frames: DataFrame, key: list[str], step: int, long_: int, short: int) -> DataFrame:
-    """(key, src, tgt_long, tgt_short) over every ``step``-th frame; the short target precedes the long one."""
+    """(key, src, tgt_long, tgt_short) over every ``step``-th frame; the short target precedes the long one by ``short``.
+
+    Where the short offset is the longer one, the short target lies before the source, at the first frame at least.
+    """
     w = W.partitionBy(*key).orderBy("idx")
     sampled = frames.where(F.col("idx") % step == 0)
-    back = max(0, long_ - short)
-    out = sampled.select(*key, F.col("idx").alias("src"), F.lead("idx", long_).over(w).alias("tgt_long"), F.lead("idx", back).over(w).alias("tgt_short"))
+    near = F.lead("idx", long_ - short).over(w) if long_ >= short else F.coalesce(F.lag("idx", short - long_).over(w), F.first("idx").over(w))
+    out = sampled.select(*key, F.col("idx").alias("src"), F.lead("idx", long_).over(w).alias("tgt_long"), near.alias("tgt_short"))
     return out.where("tgt_long is not null")
 
 
@@ -93,6 +96,21 @@ def pad_plan(x: Column, factor: int = 32) -> Column:
     return ((F.floor((x + 8) / factor) + 1) * factor - x).cast("int")
 
 
+def pad_split(h: Column, w: Column, factor: int = 32, centred: bool = True) -> Column:
+    """Struct (top, bottom, left, right) of the padder: centred, or all of the height's padding at the bottom."""
+    ph, pw = pad_plan(h, factor), pad_plan(w, factor)
+    half = lambda p: F.floor(p / 2).cast("int")
+    top = half(ph) if centred else F.lit(0)
+    return F.struct(top.alias("top"), (ph - top).alias("bottom"), half(pw).alias("left"), (pw - half(pw)).alias("right"))
+
+
+def train_pad(h: Column, w: Column, train_h: int, train_w: int) -> Column:
+    """Struct (top, bottom, left, right): centred zero padding up to the training size."""
+    ph, pw = F.greatest(F.lit(train_h) - h, F.lit(0)), F.greatest(F.lit(train_w) - w, F.lit(0))
+    half = lambda p: F.floor(p / 2).cast("int")
+    return F.struct(half(ph).alias("top"), (ph - half(ph)).alias("bottom"), half(pw).alias("left"), (pw - half(pw)).alias("right"))
+
+
 def tile_origins(h: int, w: int, tile_h: int, tile_w: int, df: DataFrame) -> DataFrame:
     """Distinct (y, x) of overlapping tiles, the last ones moved inside; ``df`` is any one-row table."""
     side = lambda n, t: F.transform(F.sequence(F.lit(0), F.lit(n - 1), F.lit(max(1, t // 4 * 3))), lambda i: F.least(i, F.lit(n - t)))

@@ -21,20 +21,28 @@ def packed(df: DataFrame, key: str, order: list[str], bit: str = "bit") -> DataF
     return df.groupBy(key).agg(F.transform(s, lambda x: x["bit"]).alias("bits"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` made once a row, also where the body uses it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def padded(bits: Column) -> Column:
     """Counts of runs, zeros first, with a zero before and after; all-zero is [n], all-one [0, n], without padding."""
     n = F.size(bits)
-    b = F.concat(F.array(F.lit(0)), bits, F.array(F.lit(0)))
-    edges = F.filter(F.sequence(F.lit(1), F.size(b) - 1), lambda i: F.get(b, i) != F.get(b, i - 1))
-    ends = F.concat(edges, F.array(F.size(b)))
-    counts = F.transform(ends, lambda e, i: e - F.when(i > 0, F.get(ends, i - 1)).otherwise(0))
+
+    def counted(b: Column) -> Column:
+        edges = F.filter(F.sequence(F.lit(1), F.size(b) - 1), lambda i: F.get(b, i) != F.get(b, i - 1))
+        ends = F.concat(edges, F.array(F.size(b)))
+        return _let(ends, lambda e: F.transform(e, lambda x, i: x - F.when(i > 0, F.get(e, i - 1)).otherwise(0)))
+
+    counts = _let(F.concat(F.array(F.lit(0)), bits, F.array(F.lit(0))), counted)
     return F.when(F.forall(bits, lambda x: x == 0), F.array(n)).when(F.forall(bits, lambda x: x == 1), F.array(F.lit(0), n)).otherwise(counts)
 
 
 def unpadded(counts: Column, n: Column) -> Column:
     """Bits of a padded code; a code whose counts sum to n holds no padding."""
     flat = F.flatten(F.transform(counts, lambda c, i: F.array_repeat((i % 2).cast("int"), c)))
-    return F.when(F.size(flat) == n + 2, F.slice(flat, F.lit(2), n)).otherwise(F.slice(flat, F.lit(1), n))
+    return _let(flat, lambda f: F.slice(f, F.when(F.size(f) == n + 2, F.lit(2)).otherwise(F.lit(1)), n))
 
 
 def coco(bits: list[int], h: int, w: int) -> str:

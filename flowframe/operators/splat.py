@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def nearest_source(px: np.ndarray, py: np.ndarray, h: int, w: int) -> np.ndarray:
@@ -58,14 +59,26 @@ def forward_splat(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def splatted(df: DataFrame, id_: str, h: int, w: int) -> DataFrame:
-    """(id, y, x, u, v): ``forward_splat`` of each field of pixels, one image at a time; absent pixels have left."""
+    """(id, y, x, u, v): ``forward_splat`` of each field of pixels; absent pixels have left.
+
+    The pixels of an image are packed into one row, and many images go to Python in one batch.
+    """
     kind = df.schema[id_].dataType.simpleString()
+    y, x = (a.ravel().astype(np.int32) for a in np.mgrid[0:h, 0:w])
 
-    def run(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        u, v = np.full((2, h, w), np.nan)
-        u[pdf.y, pdf.x], v[pdf.y, pdf.x] = pdf.u, pdf.v
-        a, b = forward_splat(u, v)
-        y, x = np.mgrid[0:h, 0:w]
-        return pd.DataFrame({id_: k[0], "y": y.ravel(), "x": x.ravel(), "u": a.ravel(), "v": b.ravel()})
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.column(1):
+                part = row.values
+                field = np.full((2, h * w), np.nan)
+                at = part.field("p").to_numpy()
+                field[0, at], field[1, at] = (part.field(c).to_numpy(zero_copy_only=False) for c in "uv")
+                out.append(np.stack([a.ravel() for a in forward_splat(*field.reshape(2, h, w))]))
+            n = len(out)
+            u, v = np.concatenate(out, axis=1) if n else np.empty((2, 0))
+            ids = batch.column(0).take(pa.array(np.repeat(np.arange(n), h * w)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.tile(y, n)), pa.array(np.tile(x, n)), pa.array(u), pa.array(v)], [id_, "y", "x", "u", "v"])
 
-    return df.select(id_, "y", "x", "u", "v").groupBy(id_).applyInPandas(run, f"{id_} {kind}, y int, x int, u double, v double")
+    rows = df.groupBy(id_).agg(F.collect_list(F.struct((F.col("y") * w + F.col("x")).cast("int").alias("p"), "u", "v")).alias("s"))
+    return rows.mapInArrow(run, f"{id_} {kind}, y int, x int, u double, v double")

@@ -430,7 +430,8 @@ def sequence_loss_all(t):
 @query("select vec_id, y, x, round((exp(u) * v + exp(v) * u) / (exp(u) + exp(v)), 6) as heat from pix")
 def uncertainty_heat(t):
     u, v = F.col("u"), F.col("v")
-    return t.pix().select("vec_id", "y", "x", ((F.exp(u) * v + F.exp(v) * u) / (F.exp(u) + F.exp(v))).alias("heat"))
+    top = F.greatest(u, v)  # taken off both exponents, so that none overflows
+    return t.pix().select("vec_id", "y", "x", ((F.exp(u - top) * v + F.exp(v - top) * u) / (F.exp(u - top) + F.exp(v - top))).alias("heat"))
 
 
 @query("select vec_id, round(avg(u), 6) as u, round(avg(v), 6) as v from pix group by 1")
@@ -686,3 +687,112 @@ def ext_dispatch(t):
 @query("select event_id, 'user' || user_id || '/frame' || lpad(cast(idx + 1 as varchar), 4, '0') || '.flo' as path from frames")
 def submission_paths(t):
     return t.frames().select("event_id", F.format_string("user%d/frame%04d.flo", F.col("user_id"), F.col("idx") + 1).alias("path"))
+
+
+# -- resizing, padding and channels
+
+
+def _linear(h: int, w: int, to_h: int, to_w: int, aligned: bool, src: str, parts: dict[str, str]) -> str:
+    """SQL of a linear resize of the lists ``parts`` of ``src`` (vec_id, lists)."""
+    at = lambda t, n, m: f"({t} * {(n - 1) / (m - 1)!r}::double)" if aligned else f"least(greatest(({t} + 0.5) * {n / m!r}::double - 0.5, 0), {n - 1})"
+    value = lambda a: f"(1 - fy) * ((1 - fx) * {a}[y0 * {w} + x0 + 1] + fx * {a}[y0 * {w} + x1 + 1]) + fy * ((1 - fx) * {a}[y1 * {w} + x0 + 1] + fx * {a}[y1 * {w} + x1 + 1])"
+    return f"""(select vec_id, y, x, {', '.join(f'{value(a)} as {b}' for a, b in parts.items())} from (
+  select *, sy - y0 as fy, sx - x0 as fx, least(y0 + 1, {h - 1}) as y1, least(x0 + 1, {w - 1}) as x1 from (
+  select *, cast(floor(sy) as int) as y0, cast(floor(sx) as int) as x0 from (
+  select *, {at('y', h, to_h)} as sy, {at('x', w, to_w)} as sx from (
+  select *, q // {to_w} as y, q % {to_w} as x from (select *, unnest(range(0, {to_h * to_w})) as q from {src}))))))"""
+
+
+_UV = "(select vec_id, list_transform(embedding[1:32], lambda e: cast(e as double) * 10) as u, list_transform(embedding[33:64], lambda e: cast(e as double) * 10) as v from embeddings)"
+
+
+def _lists(t) -> DataFrame:
+    ten = lambda a: F.transform(a, lambda e: e.cast("double") * 10)
+    return t.embeddings.select("vec_id", ten(F.slice("embedding", 1, 32)).alias("u"), ten(F.slice("embedding", 33, 32)).alias("v"))
+
+
+@query(f"select vec_id, y, x, round(u * 1.5, 6) as u, round(v * 1.5, 6) as v from {_linear(4, 8, 6, 12, False, _UV, {'u': 'u', 'v': 'v'})}")
+def resize_linear(t):
+    """Field and components to 6 x 12."""
+    return fields.rescaled(fields.resized_linear(_lists(t), "vec_id", ["u", "v"], H, WIDTH, 6, 12), 1.5, 1.5)
+
+
+@query(f"select vec_id, y, x, round(u * 8, 6) as u, round(v * 8, 6) as v from {_linear(4, 8, 32, 64, True, _UV, {'u': 'u', 'v': 'v'})}")
+def upsample_8x(t):
+    return fields.rescaled(fields.resized_linear(_lists(t), "vec_id", ["u", "v"], H, WIDTH, 8 * H, 8 * WIDTH, aligned=True), 8.0, 8.0)
+
+
+_TWICE = f"twice as (select vec_id, list(u order by y, x) as u, list(v order by y, x) as v from {_linear(4, 8, 8, 16, True, _UV, {'u': 'u', 'v': 'v'})} group by 1)"
+
+
+@query(f", {_TWICE} select vec_id, y, x, round(u * 0.5, 6) as u, round(v * 0.5, 6) as v from {_linear(8, 16, 4, 8, True, 'twice', {'u': 'u', 'v': 'v'})}")
+def scale_in_out(t):
+    """Twice as large before the estimate, half as large and half the displacement after it."""
+    twice = fields.packed(fields.resized_linear(_lists(t), "vec_id", ["u", "v"], H, WIDTH, 2 * H, 2 * WIDTH, aligned=True), "vec_id", ["u", "v"])
+    return fields.rescaled(fields.resized_linear(twice, "vec_id", ["u", "v"], 2 * H, 2 * WIDTH, H, WIDTH, aligned=True), 0.5, 0.5)
+
+
+_SIZES = "sz as (select p_partkey, 100 + p_partkey % 381 as h, 90 + p_partkey % 457 as w from part)"
+
+
+def _sizes(t):
+    key = F.col("p_partkey")
+    return t.part.select("p_partkey", (F.lit(100) + key % 381).cast("int").alias("h"), (F.lit(90) + key % 457).cast("int").alias("w"))
+
+
+@query(f""", {_SIZES}, pd as (select *, ((h + 8) // 32 + 1) * 32 - h as ph, ((w + 8) // 32 + 1) * 32 - w as pw from sz)
+select p_partkey, ph // 2 as top, ph - ph // 2 as bottom, pw // 2 as "left", pw - pw // 2 as "right", ph as low from pd""")
+def pad_shift(t):
+    """The centred padding, and (low) the bottom padding of the other mode."""
+    h, w = F.col("h"), F.col("w")
+    return _sizes(t).select("p_partkey", planning.pad_split(h, w).alias("p"), planning.pad_split(h, w, centred=False)["bottom"].alias("low")).select("p_partkey", "p.*", "low")
+
+
+@query(f""", {_SIZES}, pd as (select *, greatest(360 - h, 0) as ph, greatest(480 - w, 0) as pw from sz)
+select p_partkey, ph // 2 as top, ph - ph // 2 as bottom, pw // 2 as "left", pw - pw // 2 as "right" from pd""")
+def train_padding(t):
+    return _sizes(t).select("p_partkey", planning.train_pad(F.col("h"), F.col("w"), 360, 480).alias("p")).select("p_partkey", "p.*")
+
+
+@query("""select vec_id, embedding[1] as r, case when vec_id % 3 = 0 then embedding[1] else embedding[2] end as g, case when vec_id % 3 = 0 then embedding[1] else embedding[3] end as b from embeddings""")
+def gray_to_rgb(t):
+    """Images of one, three and four channels."""
+    n = F.element_at(F.array(F.lit(1), F.lit(3), F.lit(4)), (F.col("vec_id") % 3 + 1).cast("int"))
+    c = t.embeddings.select("vec_id", fields.three_channels(F.slice("embedding", F.lit(1), n)).alias("c"))
+    return c.select("vec_id", *[F.get("c", F.lit(i)).alias(x) for i, x in enumerate("rgb")])
+
+
+@query("select vec_id, y, x, " + ", ".join(f"round((abs(u) * 20 / 255 - {m}::double) / {d}::double, 6) as {c}" for c, m, d in zip("rgb", fields.MEANS, fields.DEVIATIONS)) + " from pix")
+def image_normalise(t):
+    return t.pix().select("vec_id", "y", "x", *[fields.image_normalised(F.abs("u") * 20, i).alias(c) for i, c in enumerate("rgb")])
+
+
+@query("select event_id, round(1 - value / 100, 6) as valid from events")
+def mask_rescale(t):
+    return t.events.select("event_id", fields.mask_share(F.col("value")).alias("valid"))
+
+
+@query("select vec_id, round(coalesce(avg(case when valid and sqrt(gu * gu + gv * gv) < 8 then abs(u - gu) end), 0), 6) as loss from truth group by 1")
+def masked_mean_loss(t):
+    """Mean of the losses of valid pixels whose true displacement is below 8."""
+    return metrics.masked_mean(t.truth().withColumn("loss", F.abs(F.col("u") - F.col("gu"))), ["vec_id"], "loss", 8.0)
+
+
+_FLOWS = """fl as (select page_id, 'd/train/flows/s' || page_id % 7 || '/data/data_' || lpad(cast(page_id as varchar), 4, '0') || '.npz' as flow from pages),
+li as (select 'd/train/images/s' || s || '/' || lpad(cast(page_id as varchar), 4, '0') || case when page_id % 2 = 0 then '.png' else '.jpg' end as path
+  from pages, (select unnest(range(0, 7)) as s) where page_id % 5 <> 0)"""
+
+
+@query(f""", {_FLOWS}, im as (select flow, 'd/train/images/s' || page_id % 7 || '/' as dir, page_id as f from fl)
+select flow, coalesce(a.path, b.path) as source, coalesce(c.path, d.path) as target from im
+  left join li a on a.path = dir || lpad(cast(f as varchar), 4, '0') || '.png' left join li b on b.path = dir || lpad(cast(f as varchar), 4, '0') || '.jpg'
+  left join li c on c.path = dir || lpad(cast(f + 1 as varchar), 4, '0') || '.png' left join li d on d.path = dir || lpad(cast(f + 1 as varchar), 4, '0') || '.jpg'
+  where coalesce(a.path, b.path) is not null and coalesce(c.path, d.path) is not null""")
+def images_of_flows(t):
+    """Images beside flow files, as png or else jpg."""
+    name = F.lpad(F.col("page_id").cast("string"), 4, "0")
+    flows = t.pages.select(F.concat(F.lit("d/train/flows/s"), (F.col("page_id") % 7).cast("string"), F.lit("/data/data_"), name, F.lit(".npz")).alias("flow"))
+    ext = F.when(F.col("page_id") % 2 == 0, F.lit(".png")).otherwise(F.lit(".jpg"))
+    listing = t.pages.where("page_id % 5 <> 0").select("page_id", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("s"))
+    listing = listing.select(F.concat(F.lit("d/train/images/s"), F.col("s").cast("string"), F.lit("/"), name, ext).alias("path"))
+    return indexing.images_of_flows(flows, listing)

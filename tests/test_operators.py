@@ -168,3 +168,59 @@ def test_annotation_pipeline_finds_a_moving_block(spark):
     out = {r["episode"]: r for r in annotate(d, BlockMatching(), min_area=20).collect()}
     assert sum(out[1]["mask"]) > 60 and out[1]["error"] is None and out[2]["error"] and sum(out[2]["mask"]) == 0
     assert motion_mask(np.zeros((4, 4)), np.zeros((4, 4))).sum() == 0
+
+
+def test_padded_code_of_a_large_frame_is_linear(spark):
+    import time
+
+    from flowframe.operators import rle
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    bits = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (i % 7 < 3).cast("int")).alias("b"))
+    began = time.perf_counter()
+    row = bits.select(rle.padded(F.col("b")).alias("c"), "b").select("c", (rle.unpadded(F.col("c"), F.lit(n)) == F.col("b")).alias("same")).first()
+    assert row["same"] and sum(row["c"]) == n + 2 and time.perf_counter() - began < 20
+
+
+def test_triplets_with_a_short_offset_beyond_the_long_one(spark):
+    from flowframe.operators import planning
+
+    frames = spark.createDataFrame([(1, i) for i in range(8)], "user_id int, idx int")
+    for long_, short in ((5, 2), (2, 5), (1, 3), (3, 3)):
+        got = sorted((r["src"], r["tgt_long"], r["tgt_short"]) for r in planning.triplets(frames, ["user_id"], 1, long_, short).collect())
+        assert got == [(i, i + long_, max(0, i + long_ - short)) for i in range(8 - long_)]
+
+
+def test_components_of_a_large_mask(spark):
+    import numpy as np
+    from flowframe.operators import masks
+
+    h, w = 250, 400
+    rng = np.random.default_rng(0)
+    on = rng.random((h, w)) < 0.3
+    df = spark.createDataFrame([(1, int(y), int(x), 1) for y, x in zip(*np.nonzero(on))], "k int, y int, x int, mask int")
+    lab = masks.labels(on.astype(np.uint8))
+    area = np.bincount(lab.ravel())
+    got = {(r["y"], r["x"]): (r["label"], r["area"]) for r in masks.large_components(df, "k", h, w, 3).collect()}
+    assert got == {(int(y), int(x)): (lab[y, x], area[lab[y, x]]) for y, x in zip(*np.nonzero(on)) if area[lab[y, x]] > 3}
+
+
+def test_colours_by_their_definition(spark):
+    import math
+
+    from flowframe.functions import colour
+
+    rows = [(1, 0, i, math.cos(i) * (i + 0.3), math.sin(i) * (i + 0.3)) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, y int, x int, u double, v double")
+    wheel = [r[1:] for r in colour.wheel_rows()]
+    for clip in (None, 5.0):
+        uv = [(u, v) if clip is None else tuple(min(max(c, 0.0), clip) for c in (u, v)) for *_, u, v in rows]
+        top = max(math.hypot(*c) for c in uv) + 1e-5
+        for r in colour.coloured(df, "k", clip).collect():
+            u, v = (c / top for c in uv[r["x"]])
+            at = (math.atan2(-v, -u) / math.pi + 1) / 2 * (len(wheel) - 1)
+            k, rad = int(at), math.hypot(u, v)
+            for name, i in zip("rgb", range(3)):
+                c = ((1 - at + k) * wheel[k][i] + (at - k) * wheel[(k + 1) % len(wheel)][i]) / 255
+                assert abs(r[name] - math.floor((1 - rad * (1 - c)) * 255)) <= 1
