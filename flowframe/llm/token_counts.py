@@ -8,6 +8,8 @@ maximum, document ordinals by prefix count.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,12 +59,32 @@ def scan(blocks: DataFrame, end: int = END, width: int = 4) -> DataFrame:
     return whole.unionByName(tail.select("file", "ordinal", "start", (F.col("n") - F.col("start")).alias("n_tokens")))
 
 
-def read_token_files(spark: SparkSession, path: str, width: int = 4, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of binary token files through Spark's reader; a file of up to 2 GB is cut into blocks in the JVM."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length", "content")
+def read_token_files(spark: SparkSession, path: str, width: int = 4, block_tokens: int = BLOCK_TOKENS, whole: int = 1 << 30) -> DataFrame:
+    """Blocks of binary token files of any size.
+
+    Files of up to ``whole`` bytes are read by Spark's reader, which gives a file as one row, and cut into blocks in the JVM.
+    Of larger ones each task reads the ranges of its blocks, so a file is spread over many tasks.
+    """
     size = block_tokens * width
-    cut = files.where("length > 0").select("file", "content", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("length") - 1).cast("long"), F.lit(size).cast("long"))).alias("at"))
-    return cut.select("file", (F.col("at") / size).cast("long").alias("block"), F.substring(F.col("content"), (F.col("at") + 1).cast("int"), F.lit(size)).alias("tokens"))
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length", "content")
+    small = files.where((F.col("length") > 0) & (F.col("length") <= whole))
+    cut = small.select("file", "content", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("length") - 1).cast("long"), F.lit(size).cast("long"))).alias("at"))
+    blocks = cut.select("file", (F.col("at") / size).cast("long").alias("block"), F.substring(F.col("content"), (F.col("at") + 1).cast("int"), F.lit(size)).alias("tokens"))
+    # the length alone does not read the content
+    large = files.where(F.col("length") > whole).select("file", "length")
+    ranges = large.select("file", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("length") - 1).cast("long"), F.lit(size).cast("long"))).alias("at"))
+
+    def read(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for file, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                store, name = fs.FileSystem.from_uri(file.replace("file:/", "file:///", 1) if re.match("file:/[^/]", file) else file)
+                with store.open_input_file(name) as f:
+                    f.seek(at)
+                    yield pa.RecordBatch.from_pydict({"file": [file], "block": [at // size], "tokens": [f.read(size)]})
+
+    return blocks.unionByName(ranges.repartition("file", "at").mapInArrow(read, _BLOCKS))
 
 
 def token_stream(docs: DataFrame, path: str | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
