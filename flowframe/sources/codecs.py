@@ -37,42 +37,86 @@ def read_pfm(raw: bytes) -> np.ndarray:
     return data.reshape((h, w, n) if n == 3 else (h, w))[::-1].astype(np.float32)
 
 
-def read_png16(raw: bytes) -> np.ndarray:
-    """(h, w, 3) uint16 of a 16-bit RGB PNG without interlace."""
+def read_png(raw: bytes) -> np.ndarray:
+    """(h, w) or (h, w, channels) of uint8 or uint16: a PNG of 8 or 16 bits without palette and interlace."""
     if raw[:8] != PNG:
         raise ValueError("not a PNG file")
-    at, idat, head = 8, b"", b""
+    at, idat, head = 8, [], b""
     while at < len(raw):
         n, kind = struct.unpack(">I", raw[at : at + 4])[0], raw[at + 4 : at + 8]
         body = raw[at + 8 : at + 8 + n]
-        head, idat = (body if kind == b"IHDR" else head), idat + (body if kind == b"IDAT" else b"")
+        if kind == b"IHDR":
+            head = body
+        elif kind == b"IDAT":
+            idat.append(body)
         at += 12 + n
     w, h, depth, colour, _, _, lace = struct.unpack(">IIBBBBB", head)
-    if (depth, colour, lace) != (16, 2, 0):
-        raise ValueError("only 16-bit RGB without interlace is read")
-    rows = np.frombuffer(zlib.decompress(idat), np.uint8).reshape(h, 1 + 6 * w)
-    out = np.zeros((h + 1, 6 * w + 6), np.int32)
+    channels = {0: 1, 2: 3, 4: 2, 6: 4}.get(colour)
+    if depth not in (8, 16) or channels is None or lace:
+        raise ValueError("only 8 or 16 bits without palette and interlace are read")
+    step = channels * depth // 8
+    rows = np.frombuffer(zlib.decompress(b"".join(idat)), np.uint8).reshape(h, 1 + step * w)
+    out = np.zeros((h + 1, step * w), np.uint8)
     for y in range(h):
-        kind, line, up, cur = rows[y, 0], rows[y, 1:].astype(np.int32), out[y], out[y + 1]
+        kind, line, up = rows[y, 0], rows[y, 1:], out[y]
         if kind == 0:
-            cur[6:] = line
+            out[y + 1] = line
+        elif kind == 1:
+            out[y + 1] = np.cumsum(line.reshape(w, step), axis=0, dtype=np.uint8).ravel()
         elif kind == 2:
-            cur[6:] = (line + up[6:]) & 255
+            out[y + 1] = line + up
         else:
-            for i in range(6 * w):
-                a, b, c = int(cur[i]), int(up[i + 6]), int(up[i])
-                p = a + b - c
-                guess = a if kind == 1 else (a + b) // 2 if kind == 3 else min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
-                cur[i + 6] = (line[i] + guess) & 255
-    return out[1:, 6:].astype(np.uint8).reshape(h, w, 6).view(">u2").astype(np.uint16)
+            out[y + 1] = _unfiltered(int(kind), line.tolist(), up.tolist(), step)
+    image = out[1:].view(">u2").astype(np.uint16) if depth == 16 else out[1:]
+    return image.reshape((h, w) if channels == 1 else (h, w, channels))
+
+
+def _unfiltered(kind: int, line: list[int], up: list[int], step: int) -> list[int]:
+    """A line predicted by the mean of left and upper byte (3), or by the nearest of left, upper and corner to their plane (4)."""
+    cur, corner = [0] * step + line, [0] * step + up
+    for i, b in enumerate(up):
+        a = cur[i]
+        if kind == 3:
+            guess = (a + b) >> 1
+        else:
+            c = corner[i]
+            to_a, to_b, to_c = abs(b - c), abs(a - c), abs(a + b - 2 * c)
+            guess = a if to_a <= to_b and to_a <= to_c else b if to_b <= to_c else c
+        cur[i + step] = (cur[i + step] + guess) & 255
+    return cur[step:]
 
 
-def write_png16(image: np.ndarray) -> bytes:
+def write_png(image: np.ndarray) -> bytes:
+    """(h, w) or (h, w, 3) of uint8 or uint16."""
     h, w = image.shape[:2]
-    rows = np.zeros((h, 1 + 6 * w), np.uint8)
-    rows[:, 1:] = np.ascontiguousarray(image.astype(">u2")).view(np.uint8).reshape(h, -1)
+    depth = 8 * image.dtype.itemsize
+    body = np.ascontiguousarray(image.astype(f">u{image.dtype.itemsize}")).view(np.uint8).reshape(h, -1)
+    rows = np.concatenate([np.zeros((h, 1), np.uint8), body], axis=1)
     chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-    return PNG + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 16, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b"")
+    head = struct.pack(">IIBBBBB", w, h, depth, 2 if image.ndim == 3 else 0, 0, 0, 0)
+    return PNG + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b"")
+
+
+def from_disparity(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Field (-disparity, 0) and validity of 16-bit values of 256 steps a pixel; 0 is unknown."""
+    d = raw.astype(np.float32) / 256
+    return np.dstack([-d, np.zeros_like(d)]), d > 0
+
+
+def read_pnm(raw: bytes) -> np.ndarray:
+    """(h, w) or (h, w, 3) of a binary PGM or PPM of 8 bits."""
+    m = re.match(rb"P([56])(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)\s", raw)
+    if not m or int(m[4]) > 255:
+        raise ValueError("not a binary PGM or PPM file of 8 bits")
+    w, h, n = int(m[2]), int(m[3]), 3 if m[1] == b"6" else 1
+    return np.frombuffer(raw, np.uint8, w * h * n, m.end()).reshape((h, w, n) if n == 3 else (h, w))
+
+
+def three_bytes(image: np.ndarray) -> np.ndarray:
+    """(h, w, 3) of uint8: gray repeated, alpha dropped, 16 bits cut to 8."""
+    a = (image >> 8).astype(np.uint8) if image.dtype == np.uint16 else image
+    a = a[..., None] if a.ndim == 2 else a
+    return np.repeat(a[..., :1], 3, axis=2) if a.shape[2] < 3 else np.ascontiguousarray(a[..., :3])
 
 
 def from_kitti(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +143,8 @@ def read_field(path: str, raw: bytes) -> np.ndarray | None:
         x = read_pfm(raw)
         return x[..., :2] if x.ndim == 3 else np.dstack([x, np.zeros_like(x)])
     if kind == "png":
-        return from_kitti(read_png16(raw))[0]
+        image = read_png(raw)
+        return (from_disparity if image.ndim == 2 else from_kitti)(image)[0]
     if kind == "npz":
         return np.moveaxis(read_npz(raw)[0], 0, -1)
     if kind in ("npy", "bin", "raw"):

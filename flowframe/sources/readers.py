@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.planning import unpivot_cameras
-from .codecs import read_field
+from .codecs import read_field, read_png, read_pnm, three_bytes
 
 FIELD = "path string, h int, w int, u array<float>, v array<float>, error string"
 
@@ -31,6 +31,26 @@ def read_fields(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInPandas(run, FIELD)
 
 
+IMAGE = "path string, h int, w int, channels int, pixels binary, error string"
+
+
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    """PNG and binary PPM or PGM images as three bytes a pixel; a file that cannot be read keeps its row and its error."""
+
+    def run(parts):
+        for pdf in parts:
+            rows = []
+            for p, raw in zip(pdf.path, pdf.content):
+                try:
+                    a = three_bytes(read_pnm(raw) if p.lower().endswith((".ppm", ".pgm")) else read_png(raw))
+                    rows.append((p, *a.shape, a.tobytes(), None))
+                except Exception as x:  # the row tells
+                    rows.append((p, None, None, None, None, str(x) or type(x).__name__))
+            yield pd.DataFrame(rows, columns=["path", "h", "w", "channels", "pixels", "error"]).astype({c: "Int32" for c in ("h", "w", "channels")})
+
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInPandas(run, IMAGE)
+
+
 def read_info(spark: SparkSession, path: str) -> DataFrame:
     """Dataset descriptions (robot_type, fps, video_path) with their defaults."""
     info = spark.read.schema("robot_type string, fps double, video_path string").json(path, multiLine=True)
