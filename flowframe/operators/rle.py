@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -47,13 +48,9 @@ def unpadded(counts: Column, n: Column) -> Column:
 
 def coco(bits: list[int], h: int, w: int) -> str:
     """The string code of a row-major mask: column-major runs, zeros first, each as the difference to the run two before."""
-    col = [bits[y * w + x] for x in range(w) for y in range(h)]
-    counts, last = [0], 0
-    for b in col:
-        if b != last:
-            counts.append(0)
-            last = b
-        counts[-1] += 1
+    col = np.asarray(bits, np.uint8).reshape(h, w).T.ravel()
+    ends = [0] * int(col[:1].any()) + (np.flatnonzero(np.diff(col)) + 1).tolist() + [len(col)]
+    counts = np.diff([0, *ends]).tolist()
     out = []
     for i, c in enumerate(counts):
         x = c - counts[i - 2] if i > 2 else c
@@ -78,5 +75,4 @@ def from_coco(code: str, h: int, w: int) -> list[int]:
                 x -= (c & 0x10) and 1 << 5 * k
                 break
         counts.append(x + counts[-2] if len(counts) > 2 else x)
-    col = [b % 2 for b, c in enumerate(counts) for _ in range(c)]
-    return [col[x * h + y] for y in range(h) for x in range(w)]
+    return np.repeat(np.arange(len(counts)) % 2, counts).reshape(w, h).T.ravel().tolist()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import colour
-from ..operators import fields, geometry, indexing, masks, metrics, planning, rle, splat
+from ..operators import augment, fields, geometry, indexing, masks, metrics, planning, rle, splat
 from ..streaming import replay
 
 H, WIDTH = 4, 8
@@ -525,14 +525,21 @@ def kitti_disp(t):
     return t.pix().select("vec_id", "y", "x", (-F.abs("u") * 100 / 256).alias("u"), (F.abs("u") > 0).alias("valid"))
 
 
-@query()
+_WHEEL = """wheel as (select i as row, case when i < 15 then 255 when i < 21 then 255 - 255 * (i - 15) // 6 when i < 36 then 0 when i < 49 then 255 * (i - 36) // 13 else 255 end as r,
+  case when i < 15 then 255 * i // 15 when i < 25 then 255 when i < 36 then 255 - 255 * (i - 25) // 11 else 0 end as g,
+  case when i < 21 then 0 when i < 25 then 255 * (i - 21) // 4 when i < 49 then 255 else 255 - 255 * (i - 49) // 6 end as b from (select unnest(range(0, 55)) as i))"""
+
+
+@query(f""", {_WHEEL}, nm as (select p.vec_id, y, x, u / (top + 1e-5::double) as u, v / (top + 1e-5::double) as v from pix p join (select vec_id, max(sqrt(u * u + v * v)) as top from pix group by 1) using (vec_id)),
+an as (select vec_id, y, x, sqrt(u * u + v * v) as rad, (case when v = 0 and u >= 0 then -pi() else atan2(-v, -u) end / pi() + 1) / 2 * 54 as turn from nm),
+k as (select *, cast(floor(turn) as bigint) as k0, turn - floor(turn) as f from an)
+select k.vec_id, k.y, k.x, """ + ", ".join(f"cast(floor(255 * case when rad <= 1 then 1 - rad * (1 - ((1 - f) * a.{c}::double + f * z.{c}::double) / 255) else ((1 - f) * a.{c}::double + f * z.{c}::double) / 255 * 0.75::double end) as bigint) as {c}" for c in "rgb") + """
+  from k join wheel a on a.row = k.k0 join wheel z on z.row = case when k.k0 + 1 = 55 then 0 else k.k0 + 1 end""")
 def flow_to_color(t):
     return colour.coloured(t.pix(), "vec_id")
 
 
-@query("""select i as row, case when i < 15 then 255 when i < 21 then 255 - 255 * (i - 15) // 6 when i < 36 then 0 when i < 49 then 255 * (i - 36) // 13 else 255 end as r,
-  case when i < 15 then 255 * i // 15 when i < 25 then 255 when i < 36 then 255 - 255 * (i - 25) // 11 else 0 end as g,
-  case when i < 21 then 0 when i < 25 then 255 * (i - 21) // 4 when i < 49 then 255 else 255 - 255 * (i - 49) // 6 end as b from (select unnest(range(0, 55)) as i)""")
+@query(f", {_WHEEL} select row, r, g, b from wheel")
 def colorwheel(t):
     return colour.wheel(t.spark)
 
@@ -796,3 +803,85 @@ def images_of_flows(t):
     listing = t.pages.where("page_id % 5 <> 0").select("page_id", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("s"))
     listing = listing.select(F.concat(F.lit("d/train/images/s"), F.col("s").cast("string"), F.lit("/"), name, ext).alias("path"))
     return indexing.images_of_flows(flows, listing)
+
+
+# -- frames, documents, evaluation and training mixes
+
+
+@query("""with t as (select distinct user_id, 20 + user_id % 11 as fps, (user_id % 7) * 0.25::double as start from events)
+select user_id, cast(i * 3 as bigint) as idx, 4::bigint as h, 8::bigint as w, cast(floor((start + i * 3 / fps::double) * fps + 0.5) as bigint) % 256 as first_pixel from t, (select unnest(range(0, 5)) as i)""".replace("with t", ", t", 1))
+def frame_decode(t):
+    """Every third frame of a clip from a start on, decoded by time; the first opener fails and the second one reads."""
+    from ..sources.frames import Pattern, decoded
+
+    def broken(path):
+        raise OSError("no codec")
+
+    user = F.col("user_id")
+    tasks = t.events.select("user_id").distinct().withColumns({"path": F.concat(F.lit("clip"), (user % 5).cast("string")), "fps": (F.lit(20) + user % 11).cast("double"), "start": (user % 7) * F.lit(0.25), "idx": F.array(*[F.lit(3 * i) for i in range(5)])})
+    out = decoded(tasks, ["user_id"], [broken, lambda path: Pattern(0.0, 500)])
+    return out.select("user_id", "idx", "h", "w", F.conv(F.hex(F.substring("pixels", 1, 1)), 16, 10).cast("long").alias("first_pixel"))
+
+
+@query("""select user_id, count(*) as num_frames, '{"frames":{' || string_agg('"' || idx || '":{"counts":[' || cast(floor(value) as bigint) || '],"size":[1,2]}', ',' order by idx) || '},"metadata":{"num_frames":' || count(*) || ',"frame_indices":[' || string_agg(cast(idx as varchar), ',' order by idx) || '],"image_size":[1,2]}}' as doc from frames group by 1""")
+def mask_document(t):
+    """Masks of a sequence as one document that maps frames to codes, with its metadata."""
+    from ..sources.exports import mask_documents
+
+    m = t.frames().select("user_id", F.col("idx").cast("long").alias("frame_idx"), F.array(F.floor("value")).alias("counts"), F.array(F.lit(1), F.lit(2)).alias("size"))
+    return mask_documents(m, _USER)
+
+
+@query("""select '{"total_tasks":' || sum(n) || ',"cameras":[' || string_agg('{"camera":"' || event_type || '","total":' || n || ',"success":' || s || ',"failed":' || f || ',"frames":' || fr || ',"bytes":' || b || '}', ',' order by event_type) || ']}' as doc
+from (select event_type, count(*) as n, count(*) filter (event_id % 4 < 2) as s, count(*) filter (event_id % 4 = 2) as f, sum(event_id % 9) as fr, cast(sum(floor(value)) as bigint) as b from events group by 1)""")
+def run_summary(t):
+    """The summary document of a run, each event as a task."""
+    from ..sources.exports import run_summary
+
+    k = F.col("event_id") % 4
+    o = t.events.select(F.col("event_type").alias("camera"), F.when(k < 2, "success").when(k == 2, "failed").otherwise("skipped").alias("status"), (F.col("event_id") % 9).alias("frames"), F.floor("value").alias("bytes"))
+    return run_summary(o)
+
+
+@query(f""", {_IMAGES}, ds as (select *, ['sintel', 'kitti', 'spring'][vec_id % 3 + 1] as dataset, case when vec_id % 2 = 0 then 'clean' else 'final' end as pass from im)
+select dataset, pass, count(*) as images, round(avg(epe), 6) as epe, round(100 * (1 - avg(px1)), 6) as px1_fail, round(100.0 * sum(n_out) / sum(n_valid), 6) as fl_all, count(*) filter (n_valid = 0) as n_empty from ds group by 1, 2""")
+def evaluation(t):
+    """Meters of each dataset and pass."""
+    from .inference import evaluated
+
+    k = F.col("vec_id")
+    dataset = F.get(F.array(F.lit("sintel"), F.lit("kitti"), F.lit("spring")), (k % 3).cast("int"))
+    return evaluated(t.truth().withColumns({"dataset": dataset, "pass": F.when(k % 2 == 0, "clean").otherwise("final")}), ["dataset", "pass"], "vec_id")
+
+
+_MIX = """mx(dataset, pass, copies, lo, hi) as (values ('sintel', 'clean', 20, -0.2, 0.6), ('sintel', 'final', 20, -0.2, 0.6), ('kitti', null, 80, -0.3, 0.5), ('hd1k', null, 30, -0.5, 0.2), ('things', 'clean', 1, -0.4, 0.8), ('things', 'final', 1, -0.4, 0.8)),
+sm as (select vec_id, ['sintel', 'kitti', 'hd1k', 'things', 'chairs'][vec_id % 5 + 1] as dataset, case when vec_id % 5 in (0, 3) then case when vec_id % 2 = 0 then 'clean' else 'final' end end as pass from embeddings)"""
+
+
+@query(f""", {_MIX} select vec_id, dataset, pass, unnest(range(1, copies + 1)) as copy, lo::double as min_scale, hi::double as max_scale, true as do_flip from sm join mx using (dataset) where sm.pass is not distinct from mx.pass""".replace("pass, unnest", "sm.pass as pass, unnest"))
+def training_mix(t):
+    """Samples of the mix of four datasets, each in as many copies as its part has."""
+    k = F.col("vec_id")
+    dataset = F.get(F.array(*[F.lit(x) for x in ("sintel", "kitti", "hd1k", "things", "chairs")]), (k % 5).cast("int"))
+    both = F.when((k % 5).isin(0, 3), F.when(k % 2 == 0, "clean").otherwise("final"))
+    samples = t.embeddings.select("vec_id", dataset.alias("dataset"), both.alias("pass"))
+    return augment.mixed(samples, augment.mix(t.spark, "TSKH"))
+
+
+@query("select event_id, 's' || user_id || '/flow_FW_left/flow_FW_left_' || lpad(cast(idx as varchar), 4, '0') || '.flo5' as spring, 'clean/s' || user_id || '/frame' || lpad(cast(idx + 1 as varchar), 4, '0') || '.flo' as sintel from frames")
+def leaderboard_paths(t):
+    from ..sources.exports import sintel_path, spring_path
+
+    scene = F.concat(F.lit("s"), F.col("user_id").cast("string"))
+    return t.frames().select("event_id", spring_path(scene, F.lit("FW"), F.lit("left"), F.col("idx")).alias("spring"), sintel_path(F.lit("clean"), scene, F.col("idx")).alias("sintel"))
+
+
+@query("select vec_id, cast(sum(mask) as bigint) as area, true as same from moving group by 1")
+def coco_rle(t):
+    """Masks through the column-major string code and back, by the functions of SQL."""
+    from ..functions.registry import register
+
+    register(t.spark)
+    rows = t.moving().groupBy("vec_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "mask"))), lambda s: s["mask"]).alias("bits"))
+    back = rows.selectExpr("vec_id", "bits", f"coco_decode(coco_encode(bits, {H}, {WIDTH}), {H}, {WIDTH}) as back")
+    return back.select("vec_id", F.aggregate("back", F.lit(0), lambda a, b: a + b).alias("area"), (F.col("back") == F.col("bits")).alias("same"))
