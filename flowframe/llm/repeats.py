@@ -31,16 +31,18 @@ _END = b"\xff"  # in no UTF-8 text
 _GRAM_KEYS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def _least(h: np.ndarray, w: int) -> np.ndarray:
-    """Least of each w consecutive values, by block prefixes and suffixes."""
-    n = len(h) - w + 1
-    pad = -len(h) % w
-    x = np.append(h, np.full(pad, np.iinfo(np.uint64).max, np.uint64)).reshape(-1, w).T.copy()
-    left, right = x.copy(), x
-    for i in range(1, w):  # a row holds one place of every block
-        np.minimum(left[i], left[i - 1], out=left[i])
-        np.minimum(right[w - 1 - i], right[w - i], out=right[w - 1 - i])
-    return np.minimum(right.T.ravel()[:n], left.T.ravel()[w - 1 : w - 1 + n])
+def _least(h: np.ndarray, w: int, of: np.ufunc = np.minimum) -> np.ndarray:
+    """Least (or what ``of`` takes) of each w consecutive values: windows double until two of them cover w."""
+    n, step = len(h) - w + 1, 1 << 14  # a stretch at a time stays in cache
+    out = np.empty(n, h.dtype)
+    for i in range(0, n, step):
+        m = min(step, n - i)
+        t, k = h[i : i + m + w - 1], 1
+        while 2 * k <= w:
+            t = of(t[:-k], t[k:])
+            k *= 2
+        of(t[:m], t[w - k : w - k + m], out=out[i : i + m])
+    return out
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -73,7 +75,7 @@ def segments(data: np.ndarray, offs: np.ndarray, least: int = LEAST):
     first, stop = first[keep], stop[keep]
     file, starts = low[first], np.minimum(np.append(first[1:], len(low)), stop) - first
     # places that are the least of some window around them; two of a segment's file in its reach can repeat a string inside it
-    top = ~_least(~np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)]), width)
+    top = _least(np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)]), width, np.maximum)
     place = np.flatnonzero(h == top[: len(h)])
     a, b = np.searchsorted(place, first), np.searchsorted(place, first + starts + least - GRAM)
     p, segment = place[ragged(a, b - a)], np.repeat(np.arange(len(file)), b - a)

@@ -587,3 +587,15 @@ def test_near_dedup_keeps_one_row_of_a_class_with_null_and_repeated_ids(spark):
             want[key] = min(want.get(key, (True, 0)), (i is None, i or 0))
         kept = [((r["text"] or "").removesuffix(" tail"), (r["doc_id"] is None, r["doc_id"] or 0)) for r in got.collect()]
         assert sorted(kept) == sorted(want.items())
+
+
+@pytest.mark.parametrize("of, want", [(np.minimum, np.min), (np.maximum, np.max)])
+def test_sliding_least_is_brute_force(of, want):
+    from flowframe.llm.repeats import _least
+
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 9, 100, 40_000):
+        h = rng.integers(0, 50, n).astype(np.uint64)
+        for w in (1, 2, 3, 7, 8, 225):
+            if w <= n:
+                assert (_least(h, w, of) == want(np.lib.stride_tricks.sliding_window_view(h, w), axis=1)).all()
