@@ -123,9 +123,14 @@ def give_back() -> None:
 
 
 def map_blocks(df: DataFrame, fn: Callable, schema: str, max_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``blockwise`` in small Arrow batches."""
+    small_batches(df.sparkSession)
+    return blockwise(df, fn, schema, max_bytes)
+
+
+def blockwise(df: DataFrame, fn: Callable, schema: str, max_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``fn(ids, data, offs) -> list of Arrow arrays or None`` over every block of (doc_id, text)."""
     out = pa.schema(_arrow(df.sparkSession, schema))
-    small_batches(df.sparkSession)
 
     def run(batches):
         for batch in gathered(batches, max_bytes):
