@@ -5,19 +5,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import pandas_udf, udtf
 
 from ..operators import rle
 from ..sources import codecs
-
-
-def coco_encode(bits: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
-    """The string code of row-major bits; null for a null mask."""
-    return pd.Series([None if b is None else rle.coco(list(b), int(n), int(m)) for b, n, m in zip(bits, h, w)])
-
-
-def coco_decode(code: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
-    return pd.Series([None if c is None else rle.from_coco(c, int(n), int(m)) for c, n, m in zip(code, h, w)])
+from . import tables
 
 
 def flo_decode(raw: pd.Series) -> pd.DataFrame:
@@ -32,15 +24,24 @@ def flo_encode(h: pd.Series, w: pd.Series, u: pd.Series, v: pd.Series) -> pd.Ser
 
 
 FUNCTIONS = {
-    "coco_encode": (coco_encode, "string"),
-    "coco_decode": (coco_decode, "array<int>"),
     "flo_decode": (flo_decode, "struct<h int, w int, u array<float>, v array<float>>"),
     "flo_encode": (flo_encode, "binary"),
 }
 
 
+#: Functions written in SQL: parameters, type and body.
+SQL_FUNCTIONS = {
+    "coco_encode": ("bits array<int>, h int, w int", "string", rle.coco_sql("bits", "h", "w")),
+    "coco_decode": ("code string, h int, w int", "array<int>", rle.from_coco_sql("code", "h", "w")),
+}
+
+
 def register(spark: SparkSession) -> list[str]:
-    """Makes the functions known to SQL and tells their names."""
+    """Makes the functions known to SQL, those that make tables too, and tells their names."""
     for name, (f, kind) in FUNCTIONS.items():
         spark.udf.register(name, pandas_udf(f, kind))
-    return list(FUNCTIONS)
+    for name, (takes, gives, body) in SQL_FUNCTIONS.items():
+        spark.sql(f"create or replace temporary function {name}({takes}) returns {gives} return {body}")
+    for name, f in tables.FUNCTIONS.items():
+        spark.udtf.register(name, udtf(f))
+    return [*FUNCTIONS, *SQL_FUNCTIONS, *tables.FUNCTIONS]

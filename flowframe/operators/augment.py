@@ -1,21 +1,24 @@
-"""Training mixes and seeded augmentation of samples: what a sample becomes hangs on its id and the seed alone."""
+"""Training mixes and seeded augmentation of samples, as column plans.
 
-from __future__ import annotations
+What happens to a sample is a *recipe*, a struct of numbers that are drawn from hashes of its key, the seed and the epoch
+(``recipes``), or given by the caller. Recipes are carried out by expressions: colours and erased rectangles on the packed
+image, and scale, stretch, mirroring and cut by looking up, for each pixel that is kept, the four source pixels around the
+place it comes from. Nothing is shuffled, no pixel that is cut away is made, and a task that runs again gives the same rows.
+"""
 
-from collections.abc import Iterator
-from zlib import crc32
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .imaging import resized
+from .rle import _let
 
 # fixed values: strengths and chances of the augmentations
 BRIGHTNESS, CONTRAST, SATURATION, HUE = 0.4, 0.4, 0.4, 0.5 / 3.14
 APART, ERASE, SPATIAL, STRETCH, FLIP_X, FLIP_Y = 0.2, 0.5, 0.8, 0.8, 0.5, 0.1
 MAX_STRETCH = 0.2
+# fixed values: the least side of an erased rectangle, and how many sides there are from it on
+HOLE = (50, 50)
 
 # fixed values: parts of each training mix as (dataset, pass, copies, least scale, greatest scale, flips)
 MIXES = {
@@ -51,106 +54,126 @@ def shuffled(samples: DataFrame, key: list[str], seed: int, epoch: int = 0) -> D
     return samples.orderBy(F.xxhash64(*key, F.lit(seed), F.lit(epoch)), *key)
 
 
-def jittered(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Brightness, contrast, saturation and hue changed in a random order."""
-    gray = lambda a: a @ np.array([0.299, 0.587, 0.114])
-    near = lambda reach: rng.uniform(max(0.0, 1 - reach), 1 + reach)
-    out = image.astype(float)
-    for kind in rng.permutation(4):
-        if kind == 0:
-            out = out * near(BRIGHTNESS)
-        elif kind == 1:
-            f = near(CONTRAST)
-            out = out * f + gray(out).mean() * (1 - f)
-        elif kind == 2:
-            f = near(SATURATION)
-            out = out * f + gray(out)[..., None] * (1 - f)
-        else:
-            out = turned(out, rng.uniform(-HUE, HUE))
-        out = np.clip(out, 0, 255)
-    return out.astype(np.uint8)
-
-
-def turned(image: np.ndarray, turn: float) -> np.ndarray:
-    """Hue moved by a share of the circle; largest and smallest channel stay as they are."""
-    top, low = image.max(axis=-1), image.min(axis=-1)
-    span = np.where(top > low, top - low, 1.0)
-    r, g, b = np.moveaxis(image, -1, 0)
-    hue = np.where(top == r, (g - b) / span, np.where(top == g, 2 + (b - r) / span, 4 + (r - g) / span)) / 6 + turn
-    away = lambda middle: np.abs((hue - middle + 0.5) % 1 - 0.5) * 6
-    share = np.stack([np.clip(2 - away(m), 0, 1) for m in (0, 1 / 3, 2 / 3)], axis=-1)
-    return low[..., None] + (top - low)[..., None] * share
-
-
-def erased(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """One or two rectangles of 50 to 99 pixels in the mean colour."""
-    h, w = image.shape[:2]
-    out, mean = image.copy(), image.reshape(-1, image.shape[-1]).mean(axis=0)
-    for _ in range(rng.integers(1, 3)):
-        y, x, dy, dx = rng.integers(0, h), rng.integers(0, w), rng.integers(50, 100), rng.integers(50, 100)
-        out[y : y + dy, x : x + dx] = mean.astype(out.dtype)
-    return out
-
-
-def field_resized(field: np.ndarray, valid: np.ndarray, h: int, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """A field (h, w, 2) at another size, made of valid pixels only: their weighted mean, and 0 where they weigh half or less."""
-    sy, sx = h / field.shape[0], w / field.shape[1]
-    share = resized(valid.astype(float), h, w)
-    out = resized(np.where(valid[..., None], field, 0.0), h, w) * [sx, sy] / (share + 1e-5)[..., None]
-    return np.where((share > 0.5)[..., None], out, 0.0), share > 0.5
-
-
-def augmented(first, second, field, valid, crop: tuple[int, int], scales: tuple[float, float], do_flip: bool, rng: np.random.Generator):
-    """Colours, erasing, padding, scale and stretch, mirroring, then a random cut of ``crop``."""
-    if rng.random() < APART:
-        first, second = jittered(first, rng), jittered(second, rng)
-    else:
-        first, second = np.split(jittered(np.concatenate([first, second]), rng), 2)
-    if rng.random() < ERASE:
-        second = erased(second, rng)
-    valid = valid > 0.5
-    down, right = (max(c - n, 0) for c, n in zip(crop, valid.shape))
-    if down or right:
-        first, second, field = (np.pad(a, ((0, down), (0, right), (0, 0))) for a in (first, second, field))
-        valid = np.pad(valid, ((0, down), (0, right)))
-    h, w = valid.shape
-    least = max((crop[0] + 1) / h, (crop[1] + 1) / w)
-    by = np.full(2, 2 ** rng.uniform(*scales))
-    if rng.random() < STRETCH:
-        by = by * 2 ** rng.uniform(-MAX_STRETCH, MAX_STRETCH, 2)
-    if rng.random() < SPATIAL:
-        to = [max(c, int(round(n * max(f, least)))) for c, n, f in zip(crop, (h, w), by)]
-        first, second = (resized(a.astype(float), *to).round().astype(np.uint8) for a in (first, second))
-        field, valid = field_resized(field, valid, *to)
-    if do_flip and rng.random() < FLIP_X:
-        first, second, field, valid = first[:, ::-1], second[:, ::-1], field[:, ::-1] * [-1.0, 1.0], valid[:, ::-1]
-    if do_flip and rng.random() < FLIP_Y:
-        first, second, field, valid = first[::-1], second[::-1], field[::-1] * [1.0, -1.0], valid[::-1]
-    y, x = (int(rng.integers(0, n - c)) if n > c else 0 for n, c in zip(valid.shape, crop))
-    at = np.s_[y : y + crop[0], x : x + crop[1]]
-    return first[at], second[at], field[at], valid[at]
+def drawn(key: str, seed: int, epoch: int, name: str) -> Column:
+    """A number from 0 to below 1 that hangs on these alone."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed), F.lit(epoch), F.lit(name)), 11) / F.lit(float(1 << 53))
+
+
+def recipes(samples: DataFrame, key: str, crop: tuple[int, int], seed: int, epoch: int = 0) -> DataFrame:
+    """``samples`` (key, h, w, min_scale, max_scale, do_flip, ...) with ``first`` and ``second`` colours as ``colours``, the
+    rectangles of the second image to be erased as ``holes``, and ``place``: the size that the sample takes, whether it is
+    mirrored, and where the cut of size ``crop`` begins.
+
+    A sample smaller than the cut counts as padded below and on the right; no axis gets smaller than the cut.
+    """
+    u = lambda name: drawn(key, seed, epoch, name)
+    within = lambda name, a, b: F.lit(a) + u(name) * (F.lit(b) - F.lit(a)) if not isinstance(a, str) else F.col(a) + u(name) * (F.col(b) - F.col(a))
+    near = lambda name, reach: within(name, max(0.0, 1 - reach), 1 + reach)
+    colour = lambda i: F.struct(near(f"brightness{i}", BRIGHTNESS).alias("brightness"), near(f"contrast{i}", CONTRAST).alias("contrast"), near(f"saturation{i}", SATURATION).alias("saturation"), within(f"hue{i}", -HUE, HUE).alias("hue"))
+    whole = lambda name, a, n: (F.lit(a) + F.floor(u(name) * n)).cast("int")
+    hole = lambda i: F.struct(whole(f"top{i}", 0, F.col("h")).alias("y"), whole(f"left{i}", 0, F.col("w")).alias("x"), whole(f"height{i}", *HOLE).alias("dy"), whole(f"width{i}", *HOLE).alias("dx"))
+    holes = F.when(u("erase") < ERASE, F.when(u("twice") < 0.5, F.array(hole(0), hole(1))).otherwise(F.array(hole(0)))).otherwise(F.array().cast("array<struct<y:int,x:int,dy:int,dx:int>>"))
+    sides = {}
+    for n, c in zip("hw", crop):
+        full = F.greatest(F.col(n), F.lit(c))
+        by = F.pow(F.lit(2.0), within("scale", "min_scale", "max_scale") + F.when(u("stretch") < STRETCH, within(f"stretch {n}", -MAX_STRETCH, MAX_STRETCH)).otherwise(0.0))
+        to = F.greatest(F.round(full * F.greatest(by, (c + 1) / full)).cast("int"), F.lit(c))
+        sides[n] = F.when(u("spatial") < SPATIAL, to).otherwise(full).cast("int")
+    start = lambda n, c: F.floor(u(f"cut {n}") * F.greatest(sides[n] - c, F.lit(1))).cast("int")
+    flip = lambda name, chance: F.col("do_flip") & (u(name) < chance)
+    place = F.struct(sides["h"].alias("h"), sides["w"].alias("w"), flip("mirror x", FLIP_X).alias("flip_x"), flip("mirror y", FLIP_Y).alias("flip_y"), start("h", crop[0]).alias("top"), start("w", crop[1]).alias("left"))
+    second = F.when(u("apart") < APART, colour(1)).otherwise(colour(0))
+    return samples.withColumns({"colours": F.struct(colour(0).alias("first"), second.alias("second")), "holes": holes, "place": place})
+
+
+_GRAY = (0.299, 0.587, 0.114)
+
+
+def _gray(p: Column) -> Column:
+    return p["r"] * _GRAY[0] + p["g"] * _GRAY[1] + p["b"] * _GRAY[2]
+
+
+def _each(p: Column, f) -> Column:
+    return F.struct(*[F.greatest(F.lit(0.0), F.least(F.lit(255.0), f(p[c]))).alias(c) for c in "rgb"])
+
+
+def _mean(pixels: Column, f) -> Column:
+    return F.aggregate(pixels, F.lit(0.0), lambda a, p: a + f(p)) / F.size(pixels)
+
+
+def turned(p: Column, turn: Column) -> Column:
+    """A colour moved by a share of the colour circle; its largest and its smallest channel stay what they are."""
+    top, low = F.greatest(p["r"], p["g"], p["b"]), F.least(p["r"], p["g"], p["b"])
+    span = F.when(top > low, top - low).otherwise(1.0)
+    hue = F.when(top == p["r"], (p["g"] - p["b"]) / span).when(top == p["g"], 2 + (p["b"] - p["r"]) / span).otherwise(4 + (p["r"] - p["g"]) / span) / 6 + turn
+
+    def channel(middle: float) -> Column:
+        away = F.abs(F.pmod(hue - middle + 0.5, F.lit(1.0)) - 0.5) * 6
+        return low + (top - low) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 - away))
+
+    return F.struct(channel(0.0).alias("r"), channel(1 / 3).alias("g"), channel(2 / 3).alias("b"))
+
+
+def coloured(pixels: Column, colour: Column) -> Column:
+    """Packed pixels (array of struct r, g, b, from 0 to 255) under brightness, contrast around the mean gray, saturation and
+    hue, in this order; every step stays within the range."""
+    bright = F.transform(pixels, lambda p: _each(p, lambda c: c * colour["brightness"]))
+    flat = _let(bright, lambda a: _let(_mean(a, _gray), lambda m: F.transform(a, lambda p: _each(p, lambda c: c * colour["contrast"] + m * (1 - colour["contrast"])))))
+    deep = F.transform(flat, lambda p: _each(p, lambda c: c * colour["saturation"] + _gray(p) * (1 - colour["saturation"])))
+    return F.transform(deep, lambda p: turned(p, colour["hue"]))
+
+
+def erased(pixels: Column, holes: Column, w: Column) -> Column:
+    """Packed pixels of an image ``w`` wide with each rectangle (y, x, dy, dx) in the mean colour of the image."""
+
+    def hit(i: Column) -> Column:
+        y, x = F.floor(i / w), i % w
+        return F.exists(holes, lambda r: (y >= r["y"]) & (y < r["y"] + r["dy"]) & (x >= r["x"]) & (x < r["x"] + r["dx"]))
+
+    mean = lambda a: F.struct(*[_mean(a, lambda p, c=c: p[c]).alias(c) for c in "rgb"])
+    gone = lambda a: _let(mean(a), lambda m: F.transform(a, lambda p, i: F.when(hit(i), m).otherwise(p)))
+    return F.when(F.size(holes) == 0, pixels).otherwise(_let(pixels, gone))
+
+
+def placed(samples: DataFrame, key: str, crop: tuple[int, int], images: tuple[str, ...] = ()) -> DataFrame:
+    """(key, y, x, u, v, valid, images) of the cut that ``place`` makes of packed fields (h, w, u, v, valid) and images.
+
+    A displacement is the mean of the valid ones around it by their weights, times the scale of its axis, with the sign that
+    mirroring gives it; where valid pixels weigh half or less, and in padding, it is 0 and not valid.
+    """
+    ch, cw = crop
+    rows = samples.select(key, "h", "w", "u", "v", "valid", "place", *images, F.explode(F.sequence(F.lit(0), F.lit(ch * cw - 1))).alias("q"))
+    y, x = F.floor(F.col("q") / cw).cast("int"), (F.col("q") % cw).cast("int")
+    rows = rows.withColumns({"y": y, "x": x, "full_h": F.greatest("h", F.lit(ch)), "full_w": F.greatest("w", F.lit(cw))})
+
+    def source(n: str, at: str, start: str, flip: str) -> Column:
+        to, full = F.col(f"place.{n}"), F.col(f"full_{n}")
+        i = F.col(f"place.{start}") + F.col(at)
+        i = F.when(F.col(f"place.{flip}"), to - 1 - i).otherwise(i)
+        return F.least(F.greatest((i + 0.5) * (full / to) - 0.5, F.lit(0.0)), (full - 1).cast("double"))
+
+    rows = rows.withColumns({"sy": source("h", "y", "top", "flip_y"), "sx": source("w", "x", "left", "flip_x")})
+    rows = rows.withColumns({"y0": F.floor("sy").cast("int"), "x0": F.floor("sx").cast("int")}).withColumns({"fy": F.col("sy") - F.col("y0"), "fx": F.col("sx") - F.col("x0")})
+    corners = [(a, b, (F.col("fy") if a else 1 - F.col("fy")) * (F.col("fx") if b else 1 - F.col("fx"))) for a in (0, 1) for b in (0, 1)]
+
+    def at(name: str, a: int, b: int) -> Column:
+        yy, xx = F.least(F.col("y0") + a, F.col("full_h") - 1), F.least(F.col("x0") + b, F.col("full_w") - 1)
+        return F.when((yy < F.col("h")) & (xx < F.col("w")), F.get(F.col(name), yy * F.col("w") + xx))
+
+    good = [wt * F.when(F.coalesce(at("valid", a, b) > 0.5, F.lit(False)), 1.0).otherwise(0.0) for a, b, wt in corners]
+    rows = rows.withColumns({f"g{i}": c for i, c in enumerate(good)}).withColumn("share", F.col("g0") + F.col("g1") + F.col("g2") + F.col("g3"))
+    mean = lambda name: sum((F.col(f"g{i}") * F.coalesce(at(name, a, b), F.lit(0.0)) for i, (a, b, _) in enumerate(corners)), F.lit(0.0)) / (F.col("share") + 1e-5)
+    signed = lambda name, n, flip: F.when(F.col("share") > 0.5, mean(name) * F.col(f"place.{n}") / F.col(f"full_{n}") * F.when(F.col(f"place.{flip}"), -1.0).otherwise(1.0)).otherwise(0.0).alias(name)
+    shade = lambda name: F.struct(*[sum((wt * F.coalesce(at(name, a, b)[c], F.lit(0.0)) for a, b, wt in corners), F.lit(0.0)).alias(c) for c in "rgb"]).alias(name)
+    return rows.select(key, "y", "x", signed("u", "w", "flip_x"), signed("v", "h", "flip_y"), (F.col("share") > 0.5).alias("valid"), *[shade(n) for n in images])
 
 
 def augment(samples: DataFrame, key: str, crop: tuple[int, int], seed: int, epoch: int = 0) -> DataFrame:
-    """(key, h, w, first, second, u, v, valid) of samples with these columns and min_scale, max_scale, do_flip: narrow.
+    """(key, y, x, u, v, valid, first, second) of the cut of each sample, a row a pixel; ``fields.packed`` packs them again.
 
-    Images are three bytes a pixel; random numbers come from seed, epoch and the key's text, so a task that runs again
-    gives the same rows.
+    ``samples`` has (key, h, w, first, second, u, v, valid, min_scale, max_scale, do_flip); images are packed pixels, arrays of
+    struct (r, g, b). Keys that repeat get the same recipe.
     """
-    kind = samples.schema[key].dataType.simpleString()
-    names = [key, "h", "w", "first", "second", "u", "v", "valid"]
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            rows = []
-            for r in pdf.to_dict("records"):
-                h, w = r["h"], r["w"]
-                a, b = (np.frombuffer(r[c], np.uint8).reshape(h, w, 3) for c in ("first", "second"))
-                field = np.stack([np.asarray(r[c], float).reshape(h, w) for c in "uv"], axis=-1)
-                rng = np.random.default_rng([seed, epoch, crc32(str(r[key]).encode())])
-                a, b, field, valid = augmented(a, b, field, np.asarray(r["valid"], float).reshape(h, w), crop, (r["min_scale"], r["max_scale"]), r["do_flip"], rng)
-                rows.append((r[key], *crop, a.tobytes(), b.tobytes(), field[..., 0].ravel(), field[..., 1].ravel(), valid.ravel().astype(np.float32)))
-            yield pd.DataFrame(rows, columns=names)
-
-    out = f"`{key}` {kind}, h int, w int, first binary, second binary, u array<double>, v array<double>, valid array<float>"
-    return samples.select(*names, "min_scale", "max_scale", "do_flip").mapInPandas(run, out)
+    rows = recipes(samples, key, crop, seed, epoch)
+    rows = rows.withColumns({"first": coloured(F.col("first"), F.col("colours.first")), "second": erased(coloured(F.col("second"), F.col("colours.second")), F.col("holes"), F.col("w"))})
+    return placed(rows, key, crop, ("first", "second"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 
 def pixels(df: DataFrame, id_: str, array: str, h: int, w: int, scale: float = 1.0) -> DataFrame:
@@ -15,6 +14,11 @@ def pixels(df: DataFrame, id_: str, array: str, h: int, w: int, scale: float = 1
     return p.select(F.col(id_), (F.col("p") / w).cast("int").alias("y"), (F.col("p") % w).alias("x"), d(F.col("u")).alias("u"), d(F.get("vs", F.col("p"))).alias("v"))
 
 
+def coordinates(h: Column, w: Column) -> Column:
+    """Array of (y, x) of an image's pixels, row by row."""
+    return F.transform(F.sequence(F.lit(0), (h * w).cast("int") - 1), lambda i: F.struct(F.floor(i / w).cast("int").alias("y"), (i % w).cast("int").alias("x")))
+
+
 def magnitude(u: Column | str = "u", v: Column | str = "v") -> Column:
     u, v = (F.col(c) if isinstance(c, str) else c for c in (u, v))
     return F.sqrt(u * u + v * v)
@@ -103,6 +107,28 @@ def packed(df: DataFrame, id_: str, parts: list[str]) -> DataFrame:
     return df.groupBy(id_).agg(s.alias("s")).select(id_, *[F.col(f"s.{p}").alias(p) for p in parts])
 
 
+def kitti_raw(c: Column) -> Column:
+    """A displacement as the whole number of its 16-bit channel: 64 steps a pixel around 2**15."""
+    return F.floor(F.lit(64.0) * c + 2**15)
+
+
+def kitti_value(raw: Column) -> Column:
+    return (raw - 2**15) / 64
+
+
+def disparity_field(raw: Column) -> tuple[Column, Column]:
+    """The horizontal displacement and validity of a 16-bit disparity of 256 steps a pixel; 0 is unknown."""
+    return -raw / 256, raw > 0
+
+
+def blended(tiles: DataFrame, id_: str, parts: list[str], tile_h: int, tile_w: int) -> DataFrame:
+    """(id, y, x, parts): means of the tiles (id, oy, ox, y, x, parts) over each pixel, weighted by a bell around each tile's
+    middle, one tile's side wide. Sums are made in each task first."""
+    off = lambda c, o, n: F.pow((F.col(c) - F.col(o) - F.lit((n - 1) / 2)) / n, F.lit(2.0))
+    rows = tiles.withColumn("__wt", F.exp(-(off("y", "oy", tile_h) + off("x", "ox", tile_w)) / 2))
+    return rows.groupBy(id_, "y", "x").agg(*[(F.sum(F.col("__wt") * F.col(p)) / F.sum("__wt")).alias(p) for p in parts])
+
+
 def mask_share(c: Column) -> Column:
     """Validity of a mask in percent of what is hidden."""
     return 1 - c / 100
@@ -121,13 +147,6 @@ def image_normalised(c: Column, channel: int) -> Column:
     return (c / 255 - MEANS[channel]) / DEVIATIONS[channel]
 
 
-def min_max(c: str, key: str) -> Column:
-    """(c - min) / (max - min) within the key; 0 where the key holds one value."""
-    w = W.partitionBy(key)
-    lo, hi = F.min(c).over(w), F.max(c).over(w)
-    return F.when(hi > lo, (F.col(c) - lo) / F.nullif(hi - lo, F.lit(0.0))).otherwise(F.lit(0.0))
-
-
 def sampled_bilinear(image: DataFrame, at: DataFrame, id_: str, h: int, w: int, value: str = "value") -> DataFrame:
     """``image`` (id, y, x, value) sampled at (id, y, x, py, px); zero outside. One equi-join for four corners."""
     y0, x0 = F.floor("py").cast("int"), F.floor("px").cast("int")

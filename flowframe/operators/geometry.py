@@ -36,7 +36,7 @@ def inverse_pose(r: list[Column], t: list[Column]) -> list[Column]:
     return [c for row in rows for c in (*row, -(row[0] * t[0] + row[1] * t[1] + row[2] * t[2]))]
 
 
-def induced_flow(y: Column, x: Column, depth: Column, k: list[float], pose: list[float]) -> tuple[Column, Column]:
+def induced_flow(y: Column, x: Column, depth: Column, k: list[float], pose: list) -> tuple[Column, Column]:
     """Displacement of a pixel of known depth under a relative pose (12 entries) with intrinsics fx, fy, cx, cy."""
     fx, fy, cx, cy = k
     p = [(x - cx) / fx * depth, (y - cy) / fy * depth, depth]
@@ -44,6 +44,46 @@ def induced_flow(y: Column, x: Column, depth: Column, k: list[float], pose: list
     return F.try_divide(q[0] * fx, q[2]) + cx - x, F.try_divide(q[1] * fy, q[2]) + cy - y
 
 
+# fixed values: rows of a pose whose axes are forward, right, down, in the order right, down, forward of a camera
+AXES = (1, 2, 0)
+
+
+def camera_pose(t: list[Column], q: list[Column], axes: tuple[int, int, int] = AXES) -> Column:
+    """Twelve entries, row-major, that take a point of the world into a camera at ``t`` turned by the quaternion ``q``."""
+    m = inverse_pose(rotation(*q), t)
+    return F.array(*[m[4 * i + j] for i in axes for j in range(4)])
+
+
+def relative_pose(a: Column, b: Column) -> Column:
+    """Twelve entries that take a point from camera ``a`` into camera ``b``, each given by ``camera_pose``."""
+    at = lambda m, i, j: F.get(m, F.lit(4 * i + j))
+    turn = [[sum((at(b, i, k) * at(a, j, k) for k in range(1, 3)), at(b, i, 0) * at(a, j, 0)) for j in range(3)] for i in range(3)]
+    move = [at(b, i, 3) - (turn[i][0] * at(a, 0, 3) + turn[i][1] * at(a, 1, 3) + turn[i][2] * at(a, 2, 3)) for i in range(3)]
+    return F.array(*[c for i in range(3) for c in (*turn[i], move[i])])
+
+
+def pair_flows(pairs: DataFrame, poses: DataFrame, depths: DataFrame, h: int, w: int, k: list[float], share: float = 0.1) -> DataFrame:
+    """(i, j, y, x, u, v, valid): how the pixels of frame i move towards frame j, from depth and pose alone.
+
+    ``pairs`` is (i, j), ``poses`` (frame, pose) by ``camera_pose``, ``depths`` (frame, y, x, depth); k is fx, fy, cx, cy. Flow
+    is induced both ways; a pixel whose way there and back does not end within ``share`` of the shorter side is not valid and
+    its flow is zero. A point without a place in the other image is not valid either.
+    """
+    pose = lambda x: poses.select(F.col("frame").alias(x), F.col("pose").alias(f"pose_{x}"))
+    both = pairs.select("i", "j").join(pose("i"), "i").join(pose("j"), "j")
+
+    def one_way(a: str, b: str) -> DataFrame:
+        rows = both.select(F.struct("i", "j").alias("pair"), F.col(a).alias("frame"), relative_pose(F.col(f"pose_{a}"), F.col(f"pose_{b}")).alias("m"))
+        rows = rows.join(depths, "frame")
+        u, v = induced_flow(F.col("y"), F.col("x"), F.col("depth"), k, [F.get("m", F.lit(n)) for n in range(12)])
+        return rows.select("pair", "y", "x", u.alias("u"), v.alias("v"))
+
+    there, back = one_way("i", "j"), one_way("j", "i")
+    ok = cycle_consistent(there, back.select("pair", "y", "x", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("u", "v")]), "pair", h, w, share)
+    out = there.join(ok, ["pair", "y", "x"], "left").withColumn("valid", F.coalesce("ok", F.lit(False)))
+    return out.select("pair.i", "pair.j", "y", "x", *[F.when(F.col("valid"), F.col(c)).otherwise(F.lit(0.0)).alias(c) for c in ("u", "v")], "valid")
+
+
 def homography_residual(hm: list[float], y: Column, x: Column, u: Column, v: Column) -> tuple[Column, Column]:
     """What is left of a displacement after the motion of a homography (9 entries)."""
     d = x * hm[6] + y * hm[7] + hm[8]

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from . import ordering
+
 # fixed values: row widths of the elliptic structuring elements of 3, 7 and 9 pixels
 ELLIPSE = {3: (1, 3, 1), 7: (1, 5, 7, 7, 7, 5, 1), 9: (1, 7, 7, 9, 9, 9, 7, 7, 1)}
 
@@ -18,12 +20,12 @@ def element(size: int) -> list[tuple[int, int]]:
     return [(i - r, dx) for i, w in enumerate(ELLIPSE[size]) for dx in range(-(w // 2), w // 2 + 1)]
 
 
-def percentile_mask(df: DataFrame, key: str, m: str = "m", floor: float = 1.0, q: float = 10.0, noise: float = 5.0) -> DataFrame:
+def percentile_mask(df: DataFrame, key: str, m: str = "m", floor: float = 1.0, q: float = 10.0, noise: float = 5.0, whole: int = ordering.WHOLE) -> DataFrame:
     """Candidates above ``floor`` that pass the exact q-th percentile of the candidates, or the noise level."""
-    w = W.partitionBy(key)
     cand = F.col(m) > floor
-    cut = F.coalesce(F.percentile(F.when(cand, F.col(m)), F.lit(q / 100)).over(w), F.lit(0.0))
-    return df.withColumn("threshold", cut).withColumn("mask", (cand & ((F.col(m) > F.col("threshold")) | (F.col(m) > noise))).cast("int"))
+    cut = ordering.quantiles(df.where(cand), key, m, [q / 100], whole).select(key, F.get("quantiles", F.lit(0)).alias("threshold"))
+    rows = ordering.beside(df, key, cut).withColumn("threshold", F.coalesce("threshold", F.lit(0.0)))
+    return rows.withColumn("mask", (cand & ((F.col(m) > F.col("threshold")) | (F.col(m) > noise))).cast("int"))
 
 
 def otsu(df: DataFrame, key: str, level: Column) -> DataFrame:
@@ -41,28 +43,37 @@ def otsu(df: DataFrame, key: str, level: Column) -> DataFrame:
 
 def robust_mask(df: DataFrame, key: str, m: str = "m", floor: float = 1.0) -> DataFrame:
     """``mask``: above the floor and above Otsu's threshold of the min-max levels; all zero on a static field."""
-    w = W.partitionBy(key)
-    lo, hi = F.min(m).over(w), F.max(m).over(w)
+    rows = ordering.beside(df, key, df.groupBy(key).agg(F.min(m).alias("__lo"), F.max(m).alias("__hi")))
+    lo, hi = F.col("__lo"), F.col("__hi")
     level = F.when(hi > lo, F.floor((F.col(m) - lo) / F.nullif(hi - lo, F.lit(0.0)) * 255)).otherwise(0).cast("int")
-    rows = df.withColumn("level", level).withColumn("peak", hi)
-    cut = otsu(rows, key, F.col("level"))
-    hit = (F.col("peak") >= floor) & (F.col("level") > F.col("threshold")) & (F.col(m) > floor)
-    return rows.join(cut, key).withColumn("mask", hit.cast("int")).drop("peak")
+    rows = rows.withColumn("level", level)
+    hit = (hi >= floor) & (F.col("level") > F.col("threshold")) & (F.col(m) > floor)
+    return ordering.beside(rows, key, otsu(rows, key, F.col("level"))).withColumn("mask", hit.cast("int")).drop("__lo", "__hi")
+
 
+def _slid(df: DataFrame, key: str, size: int, how) -> DataFrame:
+    """Least or largest value under the structuring element, by windows that slide along rows, then along columns.
 
-def _neighbours(df: DataFrame, key: str, size: int, h: int, w: int, how) -> DataFrame:
-    at = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in element(size)])
-    near = df.select(key, "y", "x", "mask", F.inline(at)).select(key, (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"), "mask")
-    return near.where(F.col("y").between(0, h - 1) & F.col("x").between(0, w - 1)).groupBy(key, "y", "x").agg(how("mask").alias("mask"))
+    A row of the element is no wider than the rows nearer to its centre, so the element is the union of one rectangle for
+    each of its widths: a window of that width in each row, and one over the rows that are as wide.
+    """
+    r = size // 2
+    tall = {w: max(abs(i - r) for i, v in enumerate(ELLIPSE[size]) if v >= w) for w in ELLIPSE[size]}
+    row, col = W.partitionBy(key, "y").orderBy("x"), W.partitionBy(key, "x").orderBy("y")
+    wide = df.select(key, "y", "x", *[how("mask").over(row.rangeBetween(-(w // 2), w // 2)).alias(f"m{w}") for w in tall])
+    parts = [how(f"m{w}").over(col.rangeBetween(-n, n)) for w, n in tall.items()]
+    least = F.least if how is F.min else F.greatest
+    return wide.select(key, "y", "x", (least(*parts) if len(parts) > 1 else parts[0]).alias("mask"))
 
 
-def opened(df: DataFrame, key: str, size: int, h: int, w: int) -> DataFrame:
-    """Erosion, then dilation; what lies outside never decides."""
-    return _neighbours(_neighbours(df, key, size, h, w, F.min), key, size, h, w, F.max)
+def opened(df: DataFrame, key: str, size: int) -> DataFrame:
+    """Erosion, then dilation of the pixels of ``df``; what is not among them never decides."""
+    return _slid(_slid(df, key, size, F.min), key, size, F.max)
 
 
-def closed(df: DataFrame, key: str, size: int, h: int, w: int) -> DataFrame:
-    return _neighbours(_neighbours(df, key, size, h, w, F.max), key, size, h, w, F.min)
+def closed(df: DataFrame, key: str, size: int) -> DataFrame:
+    """Dilation, then erosion."""
+    return _slid(_slid(df, key, size, F.max), key, size, F.min)
 
 
 def morph(mask: np.ndarray, size: int, dilate: bool) -> np.ndarray:
@@ -75,17 +86,33 @@ def morph(mask: np.ndarray, size: int, dilate: bool) -> np.ndarray:
 
 
 def labels(mask: np.ndarray) -> np.ndarray:
-    """8-connected components, each named by its least pixel + 1; 0 off the mask."""
+    """8-connected components, each named by its least pixel + 1; 0 off the mask.
+
+    Runs of set pixels in a row are nodes, linked to the runs of the next row that they touch. Each round hangs the larger
+    root of every link below the smaller one and shortens all paths, so rounds grow with the logarithm of the runs.
+    """
     h, w = mask.shape
-    own = np.where(mask > 0, np.arange(1, h * w + 1).reshape(h, w), 0)
-    big = h * w + 1
-    while True:
-        p = np.pad(np.where(own > 0, own, big), 1, constant_values=big)
-        low = np.minimum.reduce([p[a : a + h, b : b + w] for a in range(3) for b in range(3)])
-        new = np.where(own > 0, low, 0)
-        if (new == own).all():
-            return own
-        own = new
+    edge = np.diff(np.pad((mask > 0).astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    y, start = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
+    n, wide = len(y), w + 2
+    first = np.searchsorted(y * wide + end, (y + 1) * wide + start, "left")
+    count = np.maximum(np.searchsorted(y * wide + start, (y + 1) * wide + end, "right") - first, 0)
+    a = np.repeat(np.arange(n), count)
+    b = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(len(a))
+    root = np.arange(n)
+    while len(a):
+        p, q = root[a], root[b]
+        np.minimum.at(root, np.maximum(p, q), np.minimum(p, q))
+        while (root[root] != root).any():
+            root = root[root]
+        open_ = root[a] != root[b]
+        a, b = a[open_], b[open_]
+    out = np.zeros(h * w, np.int64)
+    size = end - start
+    at = np.repeat(y * w + start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    out[at] = np.repeat((y * w + start)[root] + 1, size)  # runs are in order of pixels, so the least run holds the least pixel
+    return out.reshape(h, w)
 
 
 def large_components(df: DataFrame, key: str, h: int, w: int, min_area: int) -> DataFrame:

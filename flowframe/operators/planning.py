@@ -44,9 +44,18 @@ def triplets(frames: DataFrame, key: list[str], step: int, long_: int, short: in
     return out.where("tgt_long is not null")
 
 
+def task_triplets(n: Column, fps: Column, cap: Column, long_s: float, short_s: float) -> Column:
+    """Array of (src, tgt_long, tgt_short) of a task with ``n`` frames at ``fps``, sampled at ``cap`` a second at most."""
+    step = stride(fps, cap)
+    long_, short = offsets(fps, step, long_s, short_s)
+    last = F.floor((n + step - 1) / step) - long_ - 1  # the last sample that has a long target
+    frame = lambda i: F.struct((i * step).alias("src"), ((i + long_) * step).alias("tgt_long"), (F.greatest(F.lit(0), i + long_ - short) * step).alias("tgt_short"))
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0).cast("long"), last), frame))
+
+
 def needed_frames(trip: DataFrame, key: list[str]) -> DataFrame:
     """Distinct frames that any triplet uses: what a decoder has to read."""
-    return trip.select(*key, F.explode(F.array("src", "tgt_long", "tgt_short")).alias("idx")).distinct()
+    return trip.select(*key, F.explode(F.array("src", "tgt_long", "tgt_short")).alias("idx")).distinct().orderBy(*key, "idx")
 
 
 def typed_pairs(trip: DataFrame, key: list[str], bidirectional: bool = True) -> DataFrame:
@@ -111,7 +120,6 @@ def train_pad(h: Column, w: Column, train_h: int, train_w: int) -> Column:
     return F.struct(half(ph).alias("top"), (ph - half(ph)).alias("bottom"), half(pw).alias("left"), (pw - half(pw)).alias("right"))
 
 
-def tile_origins(h: int, w: int, tile_h: int, tile_w: int, df: DataFrame) -> DataFrame:
-    """Distinct (y, x) of overlapping tiles, the last ones moved inside; ``df`` is any one-row table."""
-    side = lambda n, t: F.transform(F.sequence(F.lit(0), F.lit(n - 1), F.lit(max(1, t // 4 * 3))), lambda i: F.least(i, F.lit(n - t)))
-    return df.limit(1).select(F.explode(F.array_distinct(side(h, tile_h))).alias("y")).select("y", F.explode(F.array_distinct(side(w, tile_w))).alias("x"))
+def tile_starts(n: Column, tile: int) -> Column:
+    """Where overlapping tiles begin along a side of ``n``, three quarters of a tile apart, the last ones moved inside."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), n.cast("int") - 1, F.lit(max(1, tile // 4 * 3))), lambda i: F.least(i, n.cast("int") - tile)))

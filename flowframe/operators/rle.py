@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -46,33 +45,40 @@ def unpadded(counts: Column, n: Column) -> Column:
     return _let(flat, lambda f: F.slice(f, F.when(F.size(f) == n + 2, F.lit(2)).otherwise(F.lit(1)), n))
 
 
-def coco(bits: list[int], h: int, w: int) -> str:
-    """The string code of a row-major mask: column-major runs, zeros first, each as the difference to the run two before."""
-    col = np.asarray(bits, np.uint8).reshape(h, w).T.ravel()
-    ends = [0] * int(col[:1].any()) + (np.flatnonzero(np.diff(col)) + 1).tolist() + [len(col)]
-    counts = np.diff([0, *ends]).tolist()
-    out = []
-    for i, c in enumerate(counts):
-        x = c - counts[i - 2] if i > 2 else c
-        while True:
-            low, x = x & 0x1F, x >> 5
-            more = x != (-1 if low & 0x10 else 0)
-            out.append(chr(low + 0x20 * more + 48))
-            if not more:
-                break
-    return "".join(out)
-
-
-def from_coco(code: str, h: int, w: int) -> list[int]:
-    counts, i = [], 0
-    while i < len(code):
-        x = k = 0
-        while True:
-            c = ord(code[i]) - 48
-            x |= (c & 0x1F) << 5 * k
-            i, k = i + 1, k + 1
-            if not c & 0x20:
-                x -= (c & 0x10) and 1 << 5 * k
-                break
-        counts.append(x + counts[-2] if len(counts) > 2 else x)
-    return np.repeat(np.arange(len(counts)) % 2, counts).reshape(w, h).T.ravel().tolist()
+# The string code in the language of SQL, for DataFrames and for functions of SQL alike. Runs are column-major, zeros first;
+# from the fourth on each is the difference to the run two before. A number is cut into groups of five bits, lowest first;
+# 32 marks that another group follows, and bit 16 of the last one is the sign. Groups are characters from 48 on.
+_ENCODE = """case when size({bits}) = 0 then '0' else
+element_at(transform(array(transform(sequence(0, size({bits}) - 1), i -> get({bits}, (i % {h}) * {w} + i div {h}))), c ->
+element_at(transform(array(filter(sequence(1, size(c)), i -> i = size(c) or get(c, i) <> get(c, i - 1))), e ->
+element_at(transform(array(concat(if(get(c, 0) <> 0, array(0), cast(array() as array<int>)), transform(e, (x, i) -> x - if(i > 0, get(e, i - 1), 0)))), n ->
+array_join(transform(transform(n, (x, i) -> if(i > 2, x - get(n, i - 2), x)), x ->
+element_at(transform(array(case when x between -16 and 15 then 0 when x between -512 and 511 then 1 when x between -16384 and 16383 then 2
+  when x between -524288 and 524287 then 3 when x between -16777216 and 16777215 then 4 when x between -536870912 and 536870911 then 5 else 6 end), g ->
+array_join(transform(sequence(0, g), k -> chr(48 + (shiftright(cast(x as bigint), 5 * k) & 31) + if(k < g, 32, 0))), '')), 1)), '')), 1)), 1)), 1) end"""
+_DECODE = """element_at(transform(array(aggregate(transform(filter(split({code}, ''), c -> c <> ''), c -> ascii(c) - 48),
+  named_struct('n', cast(array() as array<bigint>), 'x', 0L, 'k', 0),
+  (s, c) -> if((c & 32) <> 0, named_struct('n', s.n, 'x', s.x | shiftleft(cast(c & 31 as bigint), 5 * s.k), 'k', s.k + 1),
+    named_struct('n', concat(s.n, array((s.x | shiftleft(cast(c & 31 as bigint), 5 * s.k) | if((c & 16) <> 0, shiftleft(-1L, 5 * (s.k + 1)), 0L))
+      + if(size(s.n) > 2, get(s.n, size(s.n) - 2), 0L))), 'x', 0L, 'k', 0)),
+  s -> flatten(transform(s.n, (x, i) -> array_repeat(cast(i % 2 as int), cast(x as int)))))), b ->
+if(size(b) = 0, b, transform(sequence(0, size(b) - 1), p -> get(b, (p % {w}) * {h} + p div {w})))), 1)"""
+
+
+def coco_sql(bits: str, h: str, w: str) -> str:
+    """SQL of the string code of row-major ``bits`` (array of int); null for a null mask."""
+    return _ENCODE.format(bits=bits, h=h, w=w)
+
+
+def from_coco_sql(code: str, h: str, w: str) -> str:
+    """SQL of the row-major bits of a string code; null for a null code."""
+    return _DECODE.format(code=code, h=h, w=w)
+
+
+def coco(bits: str, h: int, w: int) -> Column:
+    """The string code of the mask in column ``bits``."""
+    return F.expr(coco_sql(bits, str(h), str(w)))
+
+
+def from_coco(code: str, h: int, w: int) -> Column:
+    return F.expr(from_coco_sql(code, str(h), str(w)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import colour
-from ..operators import augment, fields, geometry, indexing, masks, metrics, planning, rle, splat
+from ..operators import augment, fields, geometry, indexing, masks, metrics, ordering, planning, rle, splat
 from ..streaming import replay
 
 H, WIDTH = 4, 8
@@ -236,12 +236,12 @@ def percentile_mask(t):
 
 @query("select event_id, round(coalesce((value - min(value) over w) / nullif(max(value) over w - min(value) over w, 0), 0), 6) as level from events window w as (partition by event_type)")
 def minmax_norm(t):
-    return t.events.select("event_id", fields.min_max("value", "event_type").alias("level"))
+    return ordering.min_max(t.events.select("event_id", "event_type", "value"), "event_type", "value").select("event_id", "level")
 
 
 @query("select event_id, round(value / (max(value) over (partition by event_type) + 1e-6) * 255, 6) as level from events")
 def max_norm(t):
-    return t.events.select("event_id", (F.col("value") / (F.max("value").over(W.partitionBy("event_type")) + F.lit(1e-6)) * 255).alias("level"))
+    return ordering.max_share(t.events.select("event_id", "event_type", "value"), "event_type", "value").select("event_id", "level")
 
 
 @query("""select user_id, idx, round(sum(value / 7 * (1 + idx % 3)) over w / sum(1 + idx % 3) over w, 6) as mean from frames window w as (partition by user_id, idx // 20 order by idx rows unbounded preceding)""")
@@ -345,12 +345,12 @@ def _near(name: str, src: str, how: str) -> str:
 
 @query(f", {_E3}, {_near('a', 'moving', 'min')}, {_near('b', 'a', 'max')} select * from b")
 def morph_open(t):
-    return masks.opened(t.moving(), "vec_id", 3, H, WIDTH)
+    return masks.opened(t.moving(), "vec_id", 3)
 
 
 @query(f", {_E3}, {_near('a', 'moving', 'max')}, {_near('b', 'a', 'min')} select * from b")
 def morph_close(t):
-    return masks.closed(t.moving(), "vec_id", 3, H, WIDTH)
+    return masks.closed(t.moving(), "vec_id", 3)
 
 
 _COMPONENTS = """with recursive pix as (select vec_id, p // 8 as y, p % 8 as x from (select vec_id, embedding, unnest(range(0, 32)) as p from embeddings)
@@ -415,15 +415,14 @@ def mixture_nll(t):
     return t.pix().select("vec_id", "y", "x", metrics.mixture_nll(u, v, u, v, u - v).alias("nll"))
 
 
-@query("select user_id, round(sum(pow(0.8::double, n - 1 - idx) * value), 6) as loss from frames join (select user_id, count(*) as n from frames group by 1) using (user_id) where n - 1 - idx < 12 group by 1")
+@query("select user_id, round(sum(pow(0.8::double, n - 1 - idx) * value), 6) as loss from frames join (select user_id, count(*) as n from frames group by 1) using (user_id) group by 1")
 def sequence_loss(t):
-    last = F.count(F.lit(1)).over(W.partitionBy("user_id")) - 1 - F.col("idx") < 12
-    return metrics.sequence_loss(t.frames().withColumn("late", last).where("late"), "user_id", "idx", "value", 0.8)
+    return metrics.sequence_loss(t.frames(), "user_id", "idx", "value", 0.8)
 
 
 @query("select user_id, round(sum(pow(0.8::double, n - 1 - idx) * value), 6) as loss from frames join (select user_id, count(*) as n from frames group by 1) using (user_id) group by 1")
 def sequence_loss_all(t):
-    """Every frame of a user, where ``sequence_loss`` and its SQL take the last 12."""
+    """The same sum under its second name."""
     return metrics.sequence_loss(t.frames(), "user_id", "idx", "value", 0.8)
 
 
@@ -466,10 +465,11 @@ def forward_splat_nn(t):
     return splat.splatted(t.pix(), "vec_id", H, WIDTH)
 
 
-@query(", g as (select unnest(range(0, 4)) as y) select y, x from g, (select unnest(range(0, 8)) as x)")
+@query("select p_partkey, y, x from (select p_partkey, 1 + p_partkey % 5 as h, 1 + p_partkey % 7 as w, unnest(range(0, 5)) as y from part) join (select unnest(range(0, 7)) as x) on y < h and x < w")
 def coords_grid(t):
-    one = t.spark.range(1)
-    return one.select(F.explode(F.sequence(F.lit(0), F.lit(H - 1))).alias("y")).select("y", F.explode(F.sequence(F.lit(0), F.lit(WIDTH - 1))).alias("x"))
+    """The pixels of images of many sizes."""
+    key = F.col("p_partkey")
+    return t.part.select("p_partkey", F.inline(fields.coordinates(1 + key % 5, 1 + key % 7)))
 
 
 @query(""", r as (select vec_id, y, x, x * 1.01 + y * 0.02 + 0.3 as a, y * 0.99 - x * 0.01 - 0.2 as b, x * 0.001 + y * 0.002 + 1 as d, u, v from pix)
@@ -508,21 +508,21 @@ def pose_normalize(t):
 @query(""", o as (select vec_id, y, x, ox, u, exp(-(pow((y - 1.5) / 4, 2) + pow((x - ox - 2.5) / 6, 2)) / 2) as wt from pix, (values (0), (2)) k(ox) where x >= ox and x < ox + 6)
 select vec_id, y, x, round(sum(wt * u) / sum(wt), 6) as u from o group by 1, 2, 3""")
 def tile_blend(t):
+    """Two overlapping tiles of 4 x 6 blended by the weights of their bells."""
     o = t.pix().withColumn("ox", F.explode(F.array(F.lit(0), F.lit(2)))).where((F.col("x") >= F.col("ox")) & (F.col("x") < F.col("ox") + 6))
-    d = F.pow((F.col("y") - F.lit(1.5)) / 4, F.lit(2.0)) + F.pow((F.col("x") - F.col("ox") - F.lit(2.5)) / 6, F.lit(2.0))
-    o = o.withColumn("wt", F.exp(-d / 2))
-    return o.groupBy("vec_id", "y", "x").agg((F.sum(F.col("wt") * F.col("u")) / F.sum("wt")).alias("u"))
+    return fields.blended(o.withColumn("oy", F.lit(0)), "vec_id", ["u"], 4, 6)
 
 
 @query("select vec_id, y, x, cast(floor(64 * u + 32768) as bigint) as raw, round((floor(64 * u + 32768) - 32768) / 64, 6) as u from pix")
 def kitti_codec(t):
-    raw = F.floor(F.lit(64.0) * F.col("u") + 32768)
-    return t.pix().select("vec_id", "y", "x", raw.alias("raw"), ((raw - 32768) / 64).alias("u"))
+    rows = t.pix().select("vec_id", "y", "x", fields.kitti_raw(F.col("u")).alias("raw"))
+    return rows.withColumn("u", fields.kitti_value(F.col("raw")))
 
 
 @query("select vec_id, y, x, round(-abs(u) * 100 / 256, 6) + 0 as u, abs(u) > 0 as valid from pix")
 def kitti_disp(t):
-    return t.pix().select("vec_id", "y", "x", (-F.abs("u") * 100 / 256).alias("u"), (F.abs("u") > 0).alias("valid"))
+    u, valid = fields.disparity_field(F.abs("u") * 100)
+    return t.pix().select("vec_id", "y", "x", u.alias("u"), valid.alias("valid"))
 
 
 _WHEEL = """wheel as (select i as row, case when i < 15 then 255 when i < 21 then 255 - 255 * (i - 15) // 6 when i < 36 then 0 when i < 49 then 255 * (i - 36) // 13 else 255 end as r,
@@ -539,14 +539,17 @@ def flow_to_color(t):
     return colour.coloured(t.pix(), "vec_id")
 
 
-@query(f", {_WHEEL} select row, r, g, b from wheel")
+@query(f", {_WHEEL} select event_id, r, g, b from events join wheel on row = event_id % 55")
 def colorwheel(t):
-    return colour.wheel(t.spark)
+    """A colour of the wheel for each event."""
+    e = t.events.select("event_id", (F.col("event_id") % 55).cast("int").alias("row"))
+    return e.join(F.broadcast(colour.wheel(t.spark)), "row").select("event_id", "r", "g", "b")  # 55 rows, whatever the input
 
 
-@query("select distinct least(i * 48, 36) as y, least(j * 48, 36) as x from (select unnest(range(0, 3)) as i), (select unnest(range(0, 3)) as j)")
+@query("""select distinct p_partkey, least(i * 48, h - 64) as y, least(j * 48, w - 64) as x from (select p_partkey, 100 + p_partkey % 381 as h, 90 + p_partkey % 457 as w from part) join (select unnest(range(0, 10)) as i) on i * 48 < h join (select unnest(range(0, 12)) as j) on j * 48 < w""")
 def tile_origins(t):
-    return planning.tile_origins(100, 100, 64, 64, t.spark.range(1))
+    """Tiles of 64 x 64 that cover images of many sizes."""
+    return _sizes(t).select("p_partkey", F.explode(planning.tile_starts(F.col("h"), 64)).alias("y"), "w").select("p_partkey", "y", F.explode(planning.tile_starts(F.col("w"), 64)).alias("x"))
 
 
 # -- catalogs, tasks and lists
@@ -585,7 +588,18 @@ def config_overlay(t):
 
 @query("select n_name from nation where n_name like 'I%' or n_name like 'N%'")
 def dataset_discovery(t):
-    return t.nation.where(F.col("n_name").startswith("I") | F.col("n_name").startswith("N")).select("n_name").orderBy("n_name")
+    from ..sources.discovery import selected
+
+    return selected(t.nation.select(F.col("n_name").alias("name")), prefixes=["I", "N"]).select(F.col("name").alias("n_name")).orderBy("n_name")
+
+
+@query("""select w.name, cast(n_nationkey as bigint) as key, n_name is null as missing from (values ('NATION_3'), ('ATLANTIS'), ('NATION_11'), ('NOWHERE'), ('NATION_24')) w(name) left join nation on n_name = w.name""")
+def dataset_selection(t):
+    """An explicit list, one of whose names is given twice and two of which are not there."""
+    from ..sources.discovery import selected
+
+    found = t.nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key"))
+    return selected(found, ["NATION_3", "ATLANTIS", "NATION_11", "NATION_3", "NOWHERE", "NATION_24"]).select("name", "key", "missing")
 
 
 @query("select n_name from nation where n_nationkey in (select s_nationkey from supplier where s_acctbal > 5000)")
@@ -808,19 +822,75 @@ def images_of_flows(t):
 # -- frames, documents, evaluation and training mixes
 
 
-@query("""with t as (select distinct user_id, 20 + user_id % 11 as fps, (user_id % 7) * 0.25::double as start from events)
-select user_id, cast(i * 3 as bigint) as idx, 4::bigint as h, 8::bigint as w, cast(floor((start + i * 3 / fps::double) * fps + 0.5) as bigint) % 256 as first_pixel from t, (select unnest(range(0, 5)) as i)""".replace("with t", ", t", 1))
+def _clips(t) -> DataFrame:
+    """(user_id, n, clip): the events of a user as frames of 4 x 8, the first pixel from the value; every eleventh is black."""
+    import io
+
+    import numpy as np
+    import pandas as pd
+
+    def run(parts):
+        for pdf in parts:
+            clips = []
+            for user, values in zip(pdf.user_id, pdf.shades):
+                a = (np.asarray(values, np.int64)[:, None] + np.arange(H * WIDTH)) % 256 * (user % 11 != 5)
+                out = io.BytesIO()
+                np.save(out, a.astype(np.uint8).reshape(-1, H, WIDTH))
+                clips.append(out.getvalue())
+            yield pd.DataFrame({"user_id": pdf.user_id, "n": pdf.n, "clip": clips})
+
+    shades = F.transform(F.sort_array(F.collect_list(F.struct("idx", F.floor("value").alias("s")))), lambda s: s["s"])
+    rows = t.frames().groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), shades.alias("shades"))
+    return rows.mapInPandas(run, "user_id long, n long, clip binary")
+
+
+def _no_codec(clip):
+    raise OSError("no codec")
+
+
+def _first(column: str):
+    return F.conv(F.hex(F.substring(column, 1, 1)), 16, 10).cast("long")
+
+
+_SHADE = "case when user_id % 11 = 5 then 0 else cast(floor(value) as bigint) % 256 end"
+
+
+@query(f"select user_id, idx - user_id % 3 as idx, 4::bigint as h, 8::bigint as w, {_SHADE} as first_pixel from frames where idx >= user_id % 3 and (idx - user_id % 3) % 3 = 0")
 def frame_decode(t):
-    """Every third frame of a clip from a start on, decoded by time; the first opener fails and the second one reads."""
-    from ..sources.frames import Pattern, decoded
+    """Every third frame of clips from a start on, decoded by time; the first opener fails and the second one reads."""
+    from ..sources.frames import Stack, decoded
+
+    late = F.col("user_id") % 3
+    tasks = _clips(t).where(late < F.col("n")).withColumns({"fps": (F.lit(20) + F.col("user_id") % 11).cast("double"), "idx": F.sequence(F.lit(0).cast("long"), F.col("n") - 1 - late, F.lit(3).cast("long"))}).withColumn("start", late / F.col("fps"))
+    out = decoded(tasks, _USER, [_no_codec, Stack], source="clip")
+    return out.select("user_id", "idx", "h", "w", _first("pixels").alias("first_pixel"))
+
+
+_PREFETCH = """pt as (select user_id, count(*) as n, cast(5 + user_id % 7 as double) as fps from events group by 1), ps as (select user_id, n, fps, cast(case when fps > 5 then ceil(fps / 5) else 1 end as bigint) as step from pt),
+po as (select *, cast(floor(fps / step) as bigint) as l, greatest(1, cast(floor(0.3::double * (fps / step)) as bigint)) as s, (n + step - 1) // step as m from ps),
+pe as (select user_id, step, l, s, unnest(range(0, greatest(0, m - l))) as i from po), pq as (select user_id, i * step as src, (i + l) * step as tgt_long, greatest(0, i + l - s) * step as tgt_short from pe)"""
+
+
+def _prefetched(t):
+    from ..sources.frames import Stack
+    from .prefetch import prefetched
+
+    tasks = _clips(t).withColumn("fps", (5 + F.col("user_id") % 7).cast("double")).withColumns({"start": F.lit(0.0), "end": (F.col("n") + 0.5) / F.col("fps")})
+    done = t.events.select("user_id").where("user_id % 10 = 3").distinct()
+    return prefetched(tasks, done, _USER, [_no_codec, Stack], source="clip")
+
 
-    def broken(path):
-        raise OSError("no codec")
+@query(f""", {_PREFETCH}, pp as (select user_id, tgt_long, 'long' as pair_type, tgt_long as a, src as b from pq union all select user_id, tgt_long, 'short_fwd', tgt_long, tgt_short from pq where tgt_short <> tgt_long union all select user_id, tgt_long, 'short_bwd', tgt_short, tgt_long from pq where tgt_short <> tgt_long),
+fs as (select user_id, idx, {_SHADE} as shade from frames)
+select user_id, tgt_long, pair_type, a.shade as first_pixel, b.shade as second_pixel from pp join fs a using (user_id) join fs b using (user_id) where a.idx = pp.a and b.idx = pp.b and user_id % 10 <> 3 and user_id % 11 <> 5""")
+def prefetch_pairs(t):
+    """Tasks to pairs of decoded frames in one plan; done and black ones are left out."""
+    return _prefetched(t)[0].select("user_id", "tgt_long", "pair_type", _first("first_image").alias("first_pixel"), _first("second_image").alias("second_pixel"))
 
-    user = F.col("user_id")
-    tasks = t.events.select("user_id").distinct().withColumns({"path": F.concat(F.lit("clip"), (user % 5).cast("string")), "fps": (F.lit(20) + user % 11).cast("double"), "start": (user % 7) * F.lit(0.25), "idx": F.array(*[F.lit(3 * i) for i in range(5)])})
-    out = decoded(tasks, ["user_id"], [broken, lambda path: Pattern(0.0, 500)])
-    return out.select("user_id", "idx", "h", "w", F.conv(F.hex(F.substring("pixels", 1, 1)), 16, 10).cast("long").alias("first_pixel"))
+
+@query(f", {_PREFETCH} select user_id, case when user_id % 10 = 3 then 'skipped' when user_id not in (select user_id from pq) then 'empty' when user_id % 11 = 5 then 'black' else 'ready' end as status from pt")
+def prefetch_outcomes(t):
+    return _prefetched(t)[1].select("user_id", "status")
 
 
 @query("""select user_id, count(*) as num_frames, '{"frames":{' || string_agg('"' || idx || '":{"counts":[' || cast(floor(value) as bigint) || '],"size":[1,2]}', ',' order by idx) || '},"metadata":{"num_frames":' || count(*) || ',"frame_indices":[' || string_agg(cast(idx as varchar), ',' order by idx) || '],"image_size":[1,2]}}' as doc from frames group by 1""")
@@ -876,12 +946,140 @@ def leaderboard_paths(t):
     return t.frames().select("event_id", spring_path(scene, F.lit("FW"), F.lit("left"), F.col("idx")).alias("spring"), sintel_path(F.lit("clean"), scene, F.col("idx")).alias("sintel"))
 
 
-@query("select vec_id, cast(sum(mask) as bigint) as area, true as same from moving group by 1")
+@query("""
+, cm as (select vec_id, x * 4 + y as q, mask from moving), ed as (select *, case when lag(mask) over w is distinct from mask then 1 else 0 end as cut from cm window w as (partition by vec_id order by q)),
+rn as (select *, sum(cut) over (partition by vec_id order by q) as run from ed), rc as (select vec_id, run, mask, count(*) as n from rn group by all),
+ls as (select vec_id, list(n order by run) as ns, arg_min(mask, run) as head, cast(sum(n * mask) as bigint) as area from rc group by 1), ct as (select vec_id, area, case when head = 1 then list_prepend(0, ns) else ns end as c from ls),
+df as (select vec_id, area, list_transform(c, lambda x, i: case when i > 3 then x - c[i - 2] else x end) as d from ct)
+select vec_id, area, array_to_string(list_transform(d, lambda x: case when x between -16 and 15 then chr(cast(48 + (x & 31) as int)) else chr(cast(80 + (x & 31) as int)) || chr(cast(48 + (cast(floor(x / 32.0) as bigint) & 31) as int)) end), '') as code, true as same from df""")
 def coco_rle(t):
-    """Masks through the column-major string code and back, by the functions of SQL."""
+    """Masks as the column-major string code and back, by the functions of SQL."""
     from ..functions.registry import register
 
     register(t.spark)
     rows = t.moving().groupBy("vec_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "mask"))), lambda s: s["mask"]).alias("bits"))
-    back = rows.selectExpr("vec_id", "bits", f"coco_decode(coco_encode(bits, {H}, {WIDTH}), {H}, {WIDTH}) as back")
-    return back.select("vec_id", F.aggregate("back", F.lit(0), lambda a, b: a + b).alias("area"), (F.col("back") == F.col("bits")).alias("same"))
+    back = rows.selectExpr("vec_id", "bits", f"coco_encode(bits, {H}, {WIDTH}) as code").selectExpr("*", f"coco_decode(code, {H}, {WIDTH}) as back")
+    return back.select("vec_id", F.aggregate("bits", F.lit(0), lambda a, b: a + b).alias("area"), "code", (F.col("back") == F.col("bits")).alias("same"))
+
+
+@query("select * from trips")
+def frame_triplets_sql(t):
+    """The triplets by a function of SQL that takes the frames as a table."""
+    from ..functions.registry import register
+
+    register(t.spark)
+    return t.spark.sql("select * from frame_triplets(table(select user_id, cast(idx as bigint) as idx from {frames}) partition by user_id order by (idx), 6, 5, 1)", frames=t.frames())
+
+
+@query(""", t as (select user_id, count(*) as n, cast(5 + user_id % 40 as double) as fps from events group by 1), p as (select user_id, n, cast(case when fps > 5 then ceil(fps / 5) else 1 end as bigint) as step, fps from t),
+o as (select *, cast(floor(fps / step) as bigint) as l, greatest(1, cast(floor(0.3::double * (fps / step)) as bigint)) as s, (n + step - 1) // step as m from p),
+e as (select *, unnest(range(0, greatest(0, m - l))) as i from o)
+select user_id, i * step as src, (i + l) * step as tgt_long, greatest(0, i + l - s) * step as tgt_short from e""")
+def task_triplets(t):
+    """Triplets straight from tasks (frames, rate), without a row for each frame."""
+    tasks = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).withColumn("fps", (5 + F.col("user_id") % 40).cast("double"))
+    return tasks.select("user_id", F.inline(planning.task_triplets(F.col("n"), F.col("fps"), F.lit(5.0), 1.0, 0.3)))
+
+
+@query("""select l_returnflag, round(quantile_cont(l_extendedprice, 0.1), 6) as p10, round(quantile_cont(l_extendedprice, 0.5), 6) as p50, round(quantile_cont(l_extendedprice, 0.999), 6) as p999 from lineitem group by 1""")
+def price_quantiles(t):
+    """Exact quantiles of keys that hold a third of all rows each, by counts of ranges."""
+    out = ordering.quantiles(t.lineitem, "l_returnflag", "l_extendedprice", [0.1, 0.5, 0.999], whole=1000)
+    return out.select("l_returnflag", *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(("p10", "p50", "p999"))])
+
+
+def _pair_sql() -> str:
+    """SQL of the pairs' flow: poses as m00 to m23, relative ones as r00 to r23, both ways."""
+    turned = {(i, j): f"r{3 * j + i}" for i in range(3) for j in range(3)} | {(i, 3): f"-(r{i} * t0 + r{3 + i} * t1 + r{6 + i} * t2)" for i in range(3)}
+    pose = ", ".join(f"{turned[a, j]} as m{i}{j}" for i, a in enumerate((1, 2, 0)) for j in range(4))
+    rel = lambda a, b: ", ".join(" + ".join(f"{b}.m{i}{k} * {a}.m{j}{k}" for k in range(3)) + f" as r{i}{j}" for i in range(3) for j in range(3)) + ", " + ", ".join(f"{b}.m{i}3 as d{i}, {a}.m{i}3 as s{i}" for i in range(3))
+    q = [f"(r{i}0 * (x - 3.5) / 8 * z + r{i}1 * (y - 1.5) / 8 * z + r{i}2 * z + d{i} - (r{i}0 * s0 + r{i}1 * s1 + r{i}2 * s2))" for i in range(3)]
+    way = lambda name, a, b, frame: f"{name} as (select i, j, y, x, {q[0]} * 8 / {q[2]} + 3.5 - x as u, {q[1]} * 8 / {q[2]} + 1.5 - y as v from (select p.i, p.j, {rel(a, b)} from pr p join po a on a.vec_id = p.i join po b on b.vec_id = p.j) g join dp on dp.vec_id = g.{frame})"
+    warp = lambda n, c: f"{n} as (select a.i, a.j, a.y, a.x, sum((case when dy = 1 then fy else 1 - fy end) * (case when dx = 1 then fx else 1 - fx end) * coalesce(b.{c}, 0)) as value from (select i, j, y, x, floor(y + v) as y0, floor(x + u) as x0, y + v - floor(y + v) as fy, x + u - floor(x + u) as fx from fw) a, (values (0, 0), (0, 1), (1, 0), (1, 1)) k(dy, dx) left join bw b on b.i = a.i and b.j = a.j and b.y = y0 + dy and b.x = x0 + dx group by 1, 2, 3, 4)"
+    return f""", e as (select vec_id, label, list_transform(embedding, lambda v: cast(v as double)) as e from embeddings),
+qn as (select vec_id, e[1] as t0, e[2] as t1, e[3] as t2, sqrt(e[4] * e[4] / 100 + e[5] * e[5] / 100 + e[6] * e[6] / 100 + 1) as n, e from e), qq as (select *, e[4] / 10 / n as x, e[5] / 10 / n as y, e[6] / 10 / n as z, 1 / n as w from qn),
+rot as (select *, 1 - 2 * (y * y + z * z) as r0, 2 * (x * y - z * w) as r1, 2 * (x * z + y * w) as r2, 2 * (x * y + z * w) as r3, 1 - 2 * (x * x + z * z) as r4, 2 * (y * z - x * w) as r5, 2 * (x * z - y * w) as r6, 2 * (y * z + x * w) as r7, 1 - 2 * (x * x + y * y) as r8 from qq),
+po as (select vec_id, {pose} from rot), dp as (select vec_id, y, x, 2 + abs(u) as z from pix),
+sq as (select vec_id, label, row_number() over (partition by label order by vec_id) as s from embeddings), pr as (select a.vec_id as i, b.vec_id as j from sq a join sq b on a.label = b.label and b.s > a.s and b.s <= a.s + 2),
+{way('fw', 'a', 'b', 'i')}, {way('bw', 'b', 'a', 'j')}, {warp('wu', 'u')}, {warp('wv', 'v')},
+ck as (select fw.*, coalesce(sqrt(pow(u + wu.value, 2) + pow(v + wv.value, 2)) < 0.1 * 4, false) as valid from fw join wu using (i, j, y, x) join wv using (i, j, y, x))
+select i, j, y, x, round(case when valid then u else 0 end, 6) as u, round(case when valid then v else 0 end, 6) as v, valid from ck"""
+
+
+@query(_pair_sql())
+def pair_flows(t):
+    """Flow of all pairs up to two frames apart, by depth and pose; a vector's first numbers are its pose."""
+    e = [F.get("embedding", F.lit(i)).cast("double") for i in range(6)]
+    poses = t.embeddings.select(F.col("vec_id").alias("frame"), geometry.camera_pose(e[:3], [e[3] / 10, e[4] / 10, e[5] / 10, F.lit(1.0)]).alias("pose"))
+    depths = t.pix().select(F.col("vec_id").alias("frame"), "y", "x", (2 + F.abs("u")).alias("depth"))
+    seq = planning.indexed(t.embeddings.select("label", "vec_id"), ["label"], ["vec_id"], "s")
+    near = indexing.band_pairs(seq, ["label"], "s", 2)
+    name = lambda s, x: seq.select("label", F.col("s").alias(s), F.col("vec_id").alias(x))
+    pairs = near.withColumnsRenamed({"i": "a", "j": "b"}).join(name("a", "i"), ["label", "a"]).join(name("b", "j"), ["label", "b"])
+    return geometry.pair_flows(pairs, poses, depths, H, WIDTH, [8.0, 8.0, 3.5, 1.5])
+
+
+# -- holes and augmentation
+
+_HOLES = "hv as (select *, (vec_id + (y * 8 + x) * 7) % 5 <> 0 as ok from pix)"
+
+
+def _with_holes(t) -> DataFrame:
+    """Packed fields, about a fifth of whose pixels are not valid."""
+    ok = F.transform(F.sequence(F.lit(0), F.lit(H * WIDTH - 1)), lambda p: ((F.col("vec_id") + p * 7) % 5 != 0).cast("double"))
+    return _lists(t).select("vec_id", F.lit(H).alias("h"), F.lit(WIDTH).alias("w"), "u", "v", ok.alias("valid"))
+
+
+@query(f""", {_HOLES}, tr as (select o.vec_id, o.y, o.x, a.y - o.y as ay, a.x - o.x as ax, b.y - o.y as by_, b.x - o.x as bx, c.y - o.y as cy, c.x - o.x as cx, a.u as au, b.u as bu, c.u as cu, a.v as av, b.v as bv, c.v as cv
+  from hv o join hv a on a.vec_id = o.vec_id and a.ok join hv b on b.vec_id = o.vec_id and b.ok and b.y * 8 + b.x > a.y * 8 + a.x join hv c on c.vec_id = o.vec_id and c.ok and c.y * 8 + c.x > b.y * 8 + b.x where not o.ok),
+de as (select *, cast((by_ - ay) * (cx - ax) - (cy - ay) * (bx - ax) as double) as det from tr),
+wt as (select *, (by_ * cx - bx * cy) / det as l0, (cy * ax - cx * ay) / det as l1 from de where det <> 0), ins as (select *, 1 - l0 - l1 as l2 from wt where l0 > -1e-9::double and l1 > -1e-9::double and l0 + l1 < 1 + 1e-9::double),
+zs as (select vec_id, y, x, l0 * au + l1 * bu + l2 * cu as u, l0 * av + l1 * bv + l2 * cv as v, """ + " + ".join(f"l{i} * ({n}y * {n}y + (1 + 1e-6::double) * {m}x * {m}x + 1e-7::double * {m}x * {n}y)" for i, n, m in ((0, "a", "a"), (1, "by_", "b"), (2, "c", "c"))).replace("by_y", "by_") + """ as z from ins),
+best as (select vec_id, y, x, arg_min(u, z) as u, arg_min(v, z) as v from zs group by 1, 2, 3)
+select p.vec_id, p.y, p.x, round(case when ok then p.u else coalesce(best.u, 0) end, 6) as u, round(case when ok then p.v else coalesce(best.v, 0) end, 6) as v from hv p left join best using (vec_id, y, x)""")
+def hole_fill(t):
+    """Fields with the holes filled from the triangles of valid pixels around them."""
+    from ..operators.holes import without_holes
+
+    done = without_holes(_with_holes(t), "vec_id", ["u", "v"])
+    return done.select("vec_id", F.posexplode(F.arrays_zip("u", "v")).alias("p", "f")).select("vec_id", F.floor(F.col("p") / WIDTH).cast("int").alias("y"), (F.col("p") % WIDTH).alias("x"), "f.u", "f.v")
+
+
+@query(f""", {_HOLES}, pk as (select vec_id, list(u order by y, x) as u, list(v order by y, x) as v, list(case when ok then 1.0::double else 0.0::double end order by y, x) as g from hv group by 1),
+pl as (select *, 4 + vec_id % 3 as th, 8 + vec_id % 5 as tw, vec_id % 2 = 1 as mx, vec_id % 3 = 0 as my, vec_id % 2 as top, vec_id % 3 as lft, unnest(range(0, 18)) as q from pk),
+ps as (select *, q // 6 as y, q % 6 as x, case when my then th - 1 - (top + q // 6) else top + q // 6 end as i, case when mx then tw - 1 - (lft + q % 6) else lft + q % 6 end as j from pl),
+ss as (select *, least(greatest((i + 0.5::double) * (4.0::double / th) - 0.5::double, 0), 3) as sy, least(greatest((j + 0.5::double) * (8.0::double / tw) - 0.5::double, 0), 7) as sx from ps),
+co as (select *, cast(floor(sy) as int) as y0, cast(floor(sx) as int) as x0, sy - floor(sy) as fy, sx - floor(sx) as fx from ss),
+fo as (select vec_id, y, x, th, tw, mx, my, u, v, unnest([{{'wt': (1 - fy) * (1 - fx), 'p': y0 * 8 + x0 + 1}}, {{'wt': (1 - fy) * fx, 'p': y0 * 8 + least(x0 + 1, 7) + 1}}, {{'wt': fy * (1 - fx), 'p': least(y0 + 1, 3) * 8 + x0 + 1}}, {{'wt': fy * fx, 'p': least(y0 + 1, 3) * 8 + least(x0 + 1, 7) + 1}}]) as c, g from co),
+su as (select vec_id, y, x, any_value(th) as th, any_value(tw) as tw, any_value(mx) as mx, any_value(my) as my, sum(c.wt * g[c.p]) as share, sum(c.wt * g[c.p] * u[c.p]) as u, sum(c.wt * g[c.p] * v[c.p]) as v from fo group by 1, 2, 3)
+select vec_id, y, x, round(case when share > 0.5 then u / (share + 1e-5::double) * tw / 8 * case when mx then -1 else 1 end else 0 end, 6) + 0 as u, round(case when share > 0.5 then v / (share + 1e-5::double) * th / 4 * case when my then -1 else 1 end else 0 end, 6) + 0 as v, share > 0.5 as valid from su""")
+def placed_fields(t):
+    """Fields scaled, stretched, mirrored and cut by recipes that hang on the vector's id; invalid pixels count for nothing."""
+    k = F.col("vec_id")
+    place = F.struct((4 + k % 3).cast("int").alias("h"), (8 + k % 5).cast("int").alias("w"), (k % 2 == 1).alias("flip_x"), (k % 3 == 0).alias("flip_y"), (k % 2).cast("int").alias("top"), (k % 3).cast("int").alias("left"))
+    return augment.placed(_with_holes(t).withColumn("place", place), "vec_id", (3, 6))
+
+
+_CLIP = "greatest(0, least(255, {}))"
+
+
+@query(""", px as (select vec_id, p, """ + ", ".join(_CLIP.format(f"abs(cast(embedding[3 * p + {i + 1}] as double)) * 800") + f" as {c}" for i, c in enumerate("rgb")) + """ from (select vec_id, embedding, unnest(range(0, 16)) as p from embeddings)),
+br as (select vec_id, p, """ + ", ".join(_CLIP.format(f"{c} * (0.7::double + vec_id % 7 / 10::double)") + f" as {c}" for c in "rgb") + """ from px),
+mn as (select *, avg(r * 0.299::double + g * 0.587::double + b * 0.114::double) over (partition by vec_id) as m, 0.6::double + vec_id % 5 / 5::double as f from br),
+cn as (select vec_id, p, """ + ", ".join(_CLIP.format(f"{c} * f + m * (1 - f)") + f" as {c}" for c in "rgb") + """ from mn),
+sg as (select *, r * 0.299::double + g * 0.587::double + b * 0.114::double as gray, 0.6::double + vec_id % 4 / 4::double as f from cn),
+st as (select vec_id, p, """ + ", ".join(_CLIP.format(f"{c} * f + gray * (1 - f)") + f" as {c}" for c in "rgb") + """ from sg),
+hu as (select *, greatest(r, g, b) as hi, least(r, g, b) as lo from st), hs as (select *, case when hi > lo then hi - lo else 1 end as span from hu),
+ha as (select *, case when hi = r then (g - b) / span when hi = g then 2 + (b - r) / span else 4 + (r - g) / span end / 6 + (vec_id % 9 - 4) / 25::double as hue from hs),
+hc as (select vec_id, p, """ + ", ".join(f"lo + (hi - lo) * greatest(0, least(1, 2 - abs((hue - {m!r}::double + 0.5) - floor(hue - {m!r}::double + 0.5) - 0.5) * 6)) as {c}" for c, m in zip("rgb", (0.0, 1 / 3, 2 / 3))) + """ from ha),
+av as (select *, avg(r) over w as ar, avg(g) over w as ag, avg(b) over w as ab, p // 4 between 1 and 2 and p % 4 between vec_id % 4 and vec_id % 4 + 1 as gone from hc window w as (partition by vec_id))
+select vec_id, p, round(case when gone then ar else r end, 5) as r, round(case when gone then ag else g end, 5) as g, round(case when gone then ab else b end, 5) as b from av""")
+def coloured_pixels(t):
+    """Images of 4 x 4 pixels under colours and an erased rectangle that hang on the vector's id."""
+    k, c = F.col("vec_id"), lambda p, i: F.least(F.lit(255.0), F.abs(F.get("embedding", 3 * p + i).cast("double")) * 800)
+    image = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda p: F.struct(*[c(p, i).alias(n) for i, n in enumerate("rgb")]))
+    colour = F.struct((F.lit(0.7) + k % 7 / 10).alias("brightness"), (F.lit(0.6) + k % 5 / 5).alias("contrast"), (F.lit(0.6) + k % 4 / 4).alias("saturation"), ((k % 9 - 4) / 25).alias("hue"))
+    hole = F.array(F.struct(F.lit(1).alias("y"), (k % 4).cast("int").alias("x"), F.lit(2).alias("dy"), F.lit(2).alias("dx")))
+    rows = t.embeddings.select("vec_id", augment.coloured(image, colour).alias("image"), hole.alias("holes"))
+    rows = rows.select("vec_id", F.posexplode(augment.erased(F.col("image"), F.col("holes"), F.lit(4))).alias("p", "c"))
+    return rows.select("vec_id", "p", *[F.round(f"c.{n}", 5).alias(n) for n in "rgb"])

@@ -134,19 +134,23 @@ def read_npz(raw: bytes) -> tuple[np.ndarray, np.ndarray | None]:
         return z["flow"], z["covisibility"] if "covisibility" in z else None
 
 
-def read_field(path: str, raw: bytes) -> np.ndarray | None:
-    """(h, w, 2) of a file by its extension; null for one that is not a field."""
+def read_field_valid(path: str, raw: bytes) -> tuple[np.ndarray, np.ndarray | None]:
+    """(h, w, 2) of a file by its extension, and the validity or covisibility of its pixels where the format has one."""
     kind = path.rpartition(".")[2].lower()
     if kind == "flo":
-        return read_flo(raw)
+        field = read_flo(raw)
+        if field is None:
+            raise ValueError("not a FLO file")
+        return field, None
     if kind == "pfm":
         x = read_pfm(raw)
-        return x[..., :2] if x.ndim == 3 else np.dstack([x, np.zeros_like(x)])
+        return (x[..., :2] if x.ndim == 3 else np.dstack([x, np.zeros_like(x)])), None
     if kind == "png":
         image = read_png(raw)
-        return (from_disparity if image.ndim == 2 else from_kitti)(image)[0]
+        return (from_disparity if image.ndim == 2 else from_kitti)(image)
     if kind == "npz":
-        return np.moveaxis(read_npz(raw)[0], 0, -1)
+        flow, seen = read_npz(raw)
+        return np.moveaxis(flow, 0, -1), seen
     if kind in ("npy", "bin", "raw"):
-        return np.load(io.BytesIO(raw))
-    return None
+        return np.load(io.BytesIO(raw)), None
+    raise ValueError("unknown format")

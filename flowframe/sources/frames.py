@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -21,35 +21,23 @@ class Clip(Protocol):
     def read(self, i: int) -> np.ndarray: ...
 
 
-Opener = Callable[[str], Clip]
+Opener = Callable[[str | bytes], Clip]
 
 
 class Stack:
-    """A clip in a .npy file of (n, h, w[, c]), mapped instead of read; its rate is not stored."""
+    """A clip in .npy form of (n, h, w[, c]): the path of a file, which is mapped instead of read, or its bytes. Its rate is
+    not stored."""
 
     fps = 0.0
 
-    def __init__(self, path: str):
-        self.frames = np.load(path, mmap_mode="r")
+    def __init__(self, source: str | bytes):
+        self.frames = np.load(source, mmap_mode="r") if isinstance(source, str) else np.load(io.BytesIO(source))
         self.n = len(self.frames)
 
     def read(self, i: int) -> np.ndarray:
         return np.asarray(self.frames[i])
 
 
-@dataclass
-class Pattern:
-    """A test clip without a file: pixel p of frame i is (i + p) modulo 256."""
-
-    fps: float
-    n: int
-    h: int = 4
-    w: int = 8
-
-    def read(self, i: int) -> np.ndarray:
-        return ((i + np.arange(self.h * self.w)) % 256).astype(np.uint8).reshape(self.h, self.w)
-
-
 def byte_image(frame: np.ndarray) -> np.ndarray:
     """Bytes as they are, floats up to 1 times 255, other numbers cut off."""
     if frame.dtype == np.uint8:
@@ -82,11 +70,11 @@ def clip_path(root: Column, camera: Column, chunk: Column, file: Column) -> Colu
     return F.concat(root, F.lit("/videos/"), camera, F.format_string("/chunk-%03d/file-%03d.mp4", chunk.cast("int"), file.cast("int")))
 
 
-def decoded(tasks: DataFrame, key: list[str], openers: Sequence[Opener], by: str = "times", batch: int = 32) -> DataFrame:
+def decoded(tasks: DataFrame, key: list[str], openers: Sequence[Opener], by: str = "times", batch: int = 32, source: str = "path") -> DataFrame:
     """(key, idx, h, w, channels, pixels, error): one row a frame of each task (key, path, fps, ...).
 
     ``times`` takes columns ``idx`` (array) and ``start``: frame i lies at start + i / fps. ``range`` takes ``start`` and
-    ``end`` and numbers frames from 0. Openers are tried in order, and a task that none can read is one row with its
+    ``end`` and numbers frames from 0. Openers get the column ``source``, a path or the clip's bytes; they are tried in order, and a task that none can read is one row with its
     error. Tasks are dealt by ranges of path and start: neighbours share an open clip, and a clip with many tasks is
     split. At most ``batch`` frames are held at once, so the task's frames, once given out, are not taken back: an
     opener that fails midway is replaced from the frame that it failed on.
@@ -99,8 +87,8 @@ def decoded(tasks: DataFrame, key: list[str], openers: Sequence[Opener], by: str
         done, errors = 0, []
         for n, opener in enumerate(openers):
             try:
-                if clips.get(n, (None,))[0] != task["path"]:
-                    clips[n] = (task["path"], opener(task["path"]))
+                if clips.get(n, (None,))[0] != task[source]:
+                    clips[n] = (task[source], opener(task[source]))
                 clip = clips[n][1]
                 if by == "times":
                     out = at_times(clip, [task["start"] + i / task["fps"] for i in numbers[done:]], task["fps"])
@@ -131,4 +119,5 @@ def decoded(tasks: DataFrame, key: list[str], openers: Sequence[Opener], by: str
         if rows:
             yield table()
 
-    return tasks.repartitionByRange("path", "start").mapInPandas(run, f"{fields}, idx long, h int, w int, channels int, pixels binary, error string")
+    dealt = tasks.repartitionByRange(source, "start") if tasks.schema[source].dataType.simpleString() == "string" else tasks
+    return dealt.mapInPandas(run, f"{fields}, idx long, h int, w int, channels int, pixels binary, error string")

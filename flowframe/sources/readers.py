@@ -8,25 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.planning import unpivot_cameras
-from .codecs import read_field, read_png, read_pnm, three_bytes
+from .codecs import read_field_valid, read_png, read_pnm, three_bytes
 
-FIELD = "path string, h int, w int, u array<float>, v array<float>, error string"
+FIELD = "path string, h int, w int, u array<float>, v array<float>, valid array<float>, error string"
 
 
 def read_fields(spark: SparkSession, path: str) -> DataFrame:
-    """Field files of any known format as packed rows; a file that cannot be read keeps its row and its error."""
+    """Field files of any known format as packed rows; ``valid`` is the validity or covisibility of formats that have one. A
+    file that cannot be read keeps its row and its error."""
 
     def run(parts):
         for pdf in parts:
             rows = []
             for p, raw in zip(pdf.path, pdf.content):
                 try:
-                    f = read_field(p, raw)
-                    f, e = (f, None) if f is not None else (None, "unknown format")
+                    f, ok = read_field_valid(p, raw)
+                    rows.append((p, *f.shape[:2], *[np.ravel(f[..., i]).astype(np.float32) for i in (0, 1)], None if ok is None else np.ravel(ok).astype(np.float32), None))
                 except Exception as x:  # the row tells
-                    f, e = None, str(x) or type(x).__name__
-                rows.append((p, *(f.shape[:2] if f is not None else (None, None)), *([np.ravel(f[..., i]).astype(np.float32) for i in (0, 1)] if f is not None else (None, None)), e))
-            yield pd.DataFrame(rows, columns=["path", "h", "w", "u", "v", "error"]).astype({"h": "Int32", "w": "Int32"})
+                    rows.append((p, None, None, None, None, None, str(x) or type(x).__name__))
+            yield pd.DataFrame(rows, columns=["path", "h", "w", "u", "v", "valid", "error"]).astype({"h": "Int32", "w": "Int32"})
 
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInPandas(run, FIELD)
 

@@ -46,7 +46,7 @@ def test_png_filters(kind, channels, kind_of_number):
 def test_disparity():
     field, valid = codecs.from_disparity(np.array([[0, 512]], np.uint16))
     assert field.tolist() == [[[0, 0], [-2, 0]]] and valid.tolist() == [[False, True]]
-    assert codecs.read_field("a.png", codecs.write_png(np.array([[256]], np.uint16))).tolist() == [[[-1, 0]]]
+    assert codecs.read_field_valid("a.png", codecs.write_png(np.array([[256]], np.uint16)))[0].tolist() == [[[-1, 0]]]
 
 
 def test_frames_by_time_range_and_fallback(spark, tmp_path):
