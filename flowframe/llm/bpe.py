@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -111,36 +112,38 @@ class Encoder:
 
     # -- pre-tokens
 
-    def pretokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of each pre-token in code points, and the UTF-8 offset of each code point."""
-        cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    def pretokens(self, raw: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of each pre-token of a block in bytes, and the offsets of documents in them; none spans two documents."""
+        cp = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
         n = len(cp)
+        utf8 = np.zeros(n + 1, np.int64)
+        np.cumsum(1 + (cp >= 0x80) + (cp >= 0x800) + (cp >= 0x10000), out=utf8[1:])
+        cuts = np.searchsorted(utf8, offs)
+        edge = np.zeros(n + 1, bool)
+        edge[cuts] = edge[n] = True
         kind = self.classes[cp]
-        first = np.empty(n + 1, bool)
-        first[0] = first[n] = True
-        first[1:n] = kind[1:] != kind[:-1]
+        first = edge.copy()
+        first[0] = True
+        first[1:n] |= kind[1:] != kind[:-1]
         starts = np.flatnonzero(first[:n])
         ends = np.append(starts[1:], n)
-        k = kind[starts]
+        k, inner = kind[starts], ~edge[ends]
         # a white run before something else gives up its last character: to the next token if it is a blank, else as one
-        white = np.flatnonzero((k == _SPACE) & (ends < n))
+        white = np.flatnonzero((k == _SPACE) & inner)
         blank = cp[ends[white] - 1] == 0x20
         first[ends[white] - 1] = True
         first[ends[white[blank]]] = False
         # contractions: a lone apostrophe that starts a token, with the letters behind it
-        lone = np.flatnonzero((k == _OTHER) & (cp[starts] == 0x27) & (ends - starts == 1) & (ends < n))
+        lone = np.flatnonzero((k == _OTHER) & (cp[starts] == 0x27) & (ends - starts == 1) & inner)
         for i in starts[lone].tolist():
             if not first[i]:
                 continue
-            m = 2 if n > i + 2 and (chr(cp[i + 1]) + chr(cp[i + 2])) in ("re", "ve", "ll") else 1 if chr(cp[i + 1]) in "stmd" else 0
+            m = 2 if not edge[i + 2] and (chr(cp[i + 1]) + chr(cp[i + 2])) in ("re", "ve", "ll") else 1 if chr(cp[i + 1]) in "stmd" else 0
             if m:
                 first[i + 1] = False
                 first[i + 1 + m] = True
         at = np.flatnonzero(first[:n])
-        width = 1 + (cp >= 0x80) + (cp >= 0x800) + (cp >= 0x10000)
-        utf8 = np.zeros(n + 1, np.int64)
-        np.cumsum(width, out=utf8[1:])
-        return at, np.append(at[1:], n), utf8
+        return utf8[at], utf8[np.append(at[1:], n)], np.searchsorted(at, cuts)
 
     # -- merging
 
@@ -242,18 +245,9 @@ class Encoder:
 
     def plain(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Like ``encode``, special tokens being ordinary text."""
-        n = len(offs) - 1
-        s, e, owner = [], [], np.zeros(n + 1, np.int64)
-        raw = data.tobytes()
-        for d in range(n):
-            if offs[d + 1] > offs[d]:
-                a, b, utf8 = self.pretokens(raw[offs[d] : offs[d + 1]].decode())
-                s.append(utf8[a] + offs[d])
-                e.append(utf8[b] + offs[d])
-                owner[d + 1] = len(a)
-        if not s:
-            return np.empty(0, np.uint32), np.zeros(n + 1, np.int64)
-        starts, ends, owner = np.concatenate(s), np.concatenate(e), np.cumsum(owner)
+        if not len(data):
+            return np.empty(0, np.uint32), np.zeros(len(offs), np.int64)
+        starts, ends, owner = self.pretokens(data.tobytes(), offs)
         h = span_hashes(data, starts, ends)
         order = np.argsort(h)
         ordered = h[order]
@@ -279,20 +273,25 @@ class Encoder:
         return ids[ragged(cut[:-1][at], count)].astype(np.uint32), np.append(0, np.cumsum(count))[owner]
 
     def _with_special(self, raw: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parts, ends = [], [0]
-        for d in range(len(offs) - 1):
-            text, out = raw[offs[d] : offs[d + 1]], []
-            while text:
-                hit = min(((text.find(t.encode()), -len(t), t) for t in self.special if t.encode() in text), default=None)
-                plain = np.frombuffer(text if hit is None else text[: hit[0]], np.uint8)
-                out.append(self.plain(plain, np.array([0, len(plain)]))[0])
-                if hit is None:
-                    break
-                out.append(np.array([self.special[hit[2]]], np.uint32))
-                text = text[hit[0] + len(hit[2].encode()) :]
-            parts += out
-            ends.append(ends[-1] + sum(map(len, out)))
-        return np.concatenate(parts) if parts else np.empty(0, np.uint32), np.array(ends)
+        """The texts between special tokens as documents of one ``plain`` call, with the tokens put in between."""
+        find = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(self.special, key=len, reverse=True)))
+        names = {t.encode(): i for t, i in self.special.items()}
+        cuts, put, last = [], [], []  # (start, end) of each text between, the token behind it, and each document's last one
+        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+            for m in find.finditer(raw, a, b):
+                cuts.append((a, m.start()))
+                put.append(names[m[0]])
+                a = m.end()
+            cuts.append((a, b))
+            put.append(-1)
+            last.append(len(cuts))
+        cut, token = np.array(cuts, np.int64).reshape(-1, 2), np.array(put, np.int64)
+        size = cut[:, 1] - cut[:, 0]
+        ids, at = self.plain(np.frombuffer(raw, np.uint8)[ragged(cut[:, 0], size)], np.append(0, np.cumsum(size)))
+        behind = np.flatnonzero(token >= 0)
+        out = np.insert(ids, at[behind + 1], token[behind].astype(np.uint32))
+        whole = at + np.append(0, np.cumsum(token >= 0))
+        return out, whole[np.append(0, np.array(last, np.int64))]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: their bytes joined, what is not UTF-8 replaced."""

@@ -9,12 +9,13 @@ documents, so what a task holds is bounded however many items there are.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import blocks, lower, map_blocks, mix, small_batches, span_hashes, texts, tidy
+from .common import blocks, discard, lower, map_blocks, mix, small_batches, span_hashes, staged, texts, tidy
 from .licenses import license_words
 
 RATE = 0.2
@@ -48,6 +49,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], rate: float):
         self.words: list[tuple[int, list[int], int]] = []
+        self.hashes: list[np.ndarray] = []
         pieces: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         for item, text in rows:
             data = lower(np.frombuffer((text or "").encode(), np.uint8))
@@ -59,22 +61,29 @@ class Items:
             k = int(rate * n)
             at = len(self.words)
             self.words.append((item, h.tolist(), k))
+            self.hashes.append(h)
             cuts = [n * i // (k + 1) for i in range(k + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 pieces[b - a][int(rolled(h[a:b], b - a)[0])].append((at, a))
+        self.sets = [np.unique(h) for h in self.hashes]
         self.tables = {n: (np.array(sorted(x), np.uint64), [x[v] for v in sorted(x)]) for n, x in sorted(pieces.items())}
 
     def matches(self, data: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(row, item, distance, end word) of the best place of each item in each document."""
+        """(row, item, distance, end word) of the best place of each item in each document.
+
+        A place with at most k edits keeps all but k words of the item. So an item is dropped where the document lacks more of
+        its words than that, and a window in which fewer words than the rest belong to the item is never searched: a piece that
+        many items and many places share costs a vector operation for each item, not a step for each pair.
+        """
         low = lower(data)
         s, e, first = license_words(low, offs)
         if not len(s):
             return []
         h = span_hashes(low, s, e)
         last = np.repeat(first[1:], np.diff(first))  # the end of each word's document
-        windows: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        places: dict[int, dict[tuple[int, int], np.ndarray]] = defaultdict(dict)
         g, width = h, 1
-        for n, (table, owners) in self.tables.items():
+        for n, (table, _) in self.tables.items():
             while width < n and len(g):
                 g = g[:-1] * _STEP + h[width:]
                 width += 1
@@ -83,34 +92,51 @@ class Items:
             x = mix(g)
             at = np.minimum(np.searchsorted(table, x), len(table) - 1)
             hit = np.flatnonzero((table[at] == x) & (np.arange(len(x)) + n <= last[: len(x)]))
-            rows = np.searchsorted(first, hit, "right") - 1
-            for w, d, t in zip(hit.tolist(), rows.tolist(), at[hit].tolist()):
-                for i, o in owners[t]:
-                    k = self.words[i][2]
-                    a = max(int(first[d]), w - o - k)
-                    b = min(int(first[d + 1]), w - o + len(self.words[i][1]) + k)
-                    spans = windows[d, i]
-                    if spans and spans[-1][0] <= a <= spans[-1][1]:  # hits come in order, so a window mostly widens the last one
-                        spans[-1] = (spans[-1][0], max(spans[-1][1], b))
-                    else:
-                        spans.append((a, b))
+            if not len(hit):
+                continue
+            rows, piece = np.searchsorted(first, hit, "right") - 1, at[hit]
+            order = np.lexsort((hit, piece, rows))
+            hit, rows, piece = hit[order], rows[order], piece[order]
+            cut = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (piece[1:] != piece[:-1])))
+            for a, b in zip(cut.tolist(), np.append(cut[1:], len(hit)).tolist()):
+                places[int(rows[a])][n, int(piece[a])] = hit[a:b]
+        out = []
+        for d in sorted(places):
+            out += self._within(d, h, int(first[d]), int(first[d + 1]), places[d])
+        return out
+
+    def _within(self, d: int, h: np.ndarray, begin: int, end: int, places: dict[tuple[int, int], np.ndarray]) -> list[tuple[int, int, int, int]]:
+        words = h[begin:end]
+        opened: dict[int, list[np.ndarray]] = defaultdict(list)
+        for (n, t), at in places.items():
+            for i, o in self.tables[n][1][t]:
+                opened[i].append(at - o)
+        items = sorted(opened)
+        have = np.unique(words)
+        size = np.array([len(self.words[i][1]) for i in items])
+        flat = np.concatenate([self.hashes[i] for i in items])
+        known = have[np.minimum(np.searchsorted(have, flat), len(have) - 1)] == flat
+        enough = np.add.reduceat(known, np.cumsum(size) - size) >= size - np.array([self.words[i][2] for i in items])
         out = []
-        for (d, i), spans in sorted(windows.items()):
-            item, words, k = self.words[i]
-            best, end = None, -1
-            spans.sort()
-            merged = [list(spans[0])]
-            for a, b in spans[1:]:
-                if a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
-            for a, b in merged:
-                found = myers(words, h[a:b].tolist(), k)
+        for i in np.array(items)[enough].tolist():
+            item, pattern, k = self.words[i]
+            n, own = len(pattern), self.sets[i]
+            from_ = np.unique(np.concatenate(opened[i])) - k
+            a, b = np.maximum(from_, begin), np.minimum(from_ + n + 2 * k, end)
+            mine = own[np.minimum(np.searchsorted(own, words), len(own) - 1)] == words
+            seen = np.append(0, np.cumsum(mine))
+            full = seen[b - begin] - seen[a - begin] >= n - k
+            a, b = a[full], b[full]
+            if not len(a):
+                continue
+            cut = np.flatnonzero(np.append(True, a[1:] > b[:-1]))  # windows come in order and are equally long
+            best, stop = None, -1
+            for x, y in zip(a[cut].tolist(), b[np.append(cut[1:], len(a)) - 1].tolist()):
+                found = myers(pattern, h[x:y].tolist(), k)
                 if found and (best is None or found[0] < best):
-                    best, end = found[0], a + found[1] - int(first[d])
+                    best, stop = found[0], x + found[1] - begin
             if best is not None:
-                out.append((d, item, best, end))
+                out.append((d, item, best, stop))
         return out
 
 
@@ -122,25 +148,44 @@ def rolled(h: np.ndarray, n: int) -> np.ndarray:
     return mix(g)
 
 
-def passes(items: DataFrame, rate: float) -> list[Items]:
-    rows, out = [], []
+def passes(items: DataFrame, rate: float) -> Iterator[Items]:
+    """Items in passes of ``ITEMS_PER_PASS``, one at a time; at least one."""
+    rows, n = [], 0
     for r in items.select("item_id", "text").toLocalIterator():
         rows.append((r["item_id"], r["text"]))
         if len(rows) == ITEMS_PER_PASS:
-            out.append(Items(rows, rate))
-            rows = []
-    return out + [Items(rows, rate)] if rows or not out else out
+            yield Items(rows, rate)
+            rows, n = [], n + 1
+    if rows or not n:
+        yield Items(rows, rate)
+
+
+def _by_pass(items: DataFrame, rate: float, step: Callable[[Items, DataFrame | None], DataFrame]) -> DataFrame:
+    """``step`` (items of a pass, what the passes before it made) carried through all passes.
+
+    What a pass made is written before the next one's items are read, so the driver holds those of one pass.
+    """
+    out, held = None, None
+    for one in passes(items, rate):
+        if out is not None:
+            out = staged(out, "items-pass")
+            if held is not None:
+                discard(held)
+            held = out
+        out = step(one, out)
+    return out
 
 
 def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """(doc_id, item_id, distance, end_word) of every document and item within the item's error budget.
 
-    Null or empty texts and items without a word match nothing; repeated rows each give their matches.
+    The best place of each item in each row, the first of equal distances; items that tie each have a row. Null or empty texts
+    and items without a word match nothing; repeated rows, repeated items and items without an id each give their matches. Texts
+    of any length are searched whole; other columns are not read.
     """
-    out = None
-    for one in passes(items, rate):
 
-        def find(ids, data, offs, one=one):
+    def step(one: Items, before: DataFrame | None) -> DataFrame:
+        def find(ids, data, offs):
             got = one.matches(data, offs)
             if not got:
                 return None
@@ -148,8 +193,9 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
             return [ids.take(pa.array(d)), pa.array(i, pa.int64()), pa.array(k, pa.int32()), pa.array(e, pa.int64())]
 
         part = map_blocks(texts(docs), find, "doc_id long, item_id long, distance int, end_word long")
-        out = part if out is None else out.unionByName(part)
-    return out
+        return part if before is None else before.unionByName(part)
+
+    return _by_pass(items, rate, step)
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
@@ -159,9 +205,9 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     its own text; a text of any length is searched whole.
     """
     small_batches(docs.sparkSession)
-    for one in passes(items, rate):
 
-        def keep(batches, one=one):
+    def step(one: Items, before: DataFrame | None) -> DataFrame:
+        def keep(batches):
             for batch in batches:
                 at = batch.schema.get_field_index("text")
                 filled = pa.RecordBatch.from_arrays([batch.column(at).fill_null("")], ["text"])
@@ -171,5 +217,6 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
                         bad[row + d] = True
                 yield batch.filter(pa.array(~bad))
 
-        docs = docs.mapInArrow(tidy(keep), docs.schema)
-    return docs
+        return (docs if before is None else before).mapInArrow(tidy(keep), docs.schema)
+
+    return _by_pass(items, rate, step)

@@ -208,3 +208,81 @@ def test_query_equals_sql(spark, name, sql):
     cols = [x[0] for x in want.description]
     assert sorted(got.columns) == sorted(cols)
     assert Counter(map(tuple, got.select(*cols).collect())) == Counter(want.fetchall())
+
+
+# -- stalls
+
+
+def test_many_items_that_share_a_piece_with_many_places():
+    import time
+
+    from flowframe.llm import decontamination
+
+    rng = np.random.default_rng(0)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    items = [(i, " ".join([*word(4), "of", "the", *word(4)])) for i in range(2000)]
+    text = " ".join(f"x{i} of the" for i in range(2000)) + " " + items[7][1] + " tail " + items[9][1].replace("of the", "of a") + " end"
+    held = decontamination.Items(items, 0.2)
+    data = np.frombuffer(text.encode(), np.uint8)
+    began = time.perf_counter()
+    got = held.matches(data, np.array([0, len(data)]))
+    assert time.perf_counter() - began < 1
+    assert [(d, i, k) for d, i, k, _ in got] == [(0, 7, 0), (0, 9, 1)]
+
+
+def test_matches_equal_a_table_of_distances(spark):
+    """Repeated and tied items, items without an id or a word, repeated and null rows, against the distance by its definition."""
+    from flowframe.llm import decontamination
+
+    rng = np.random.default_rng(3)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 9, n))
+    items = [(i % 40 if i % 13 else None, word(int(rng.integers(1, 16)))) for i in range(60)] + [(1, None), (2, ""), (3, "..."), (5, "a b c d e f"), (5, "a b c d e f"), (6, "a b c d e g")]
+    docs = [(i % 50 if i % 11 else None, word(int(rng.integers(0, 60)))) for i in range(70)] + [(1, None), (2, ""), (3, "x a b c d e f y"), (3, "x a b c d e f y"), (4, "a b x d e g")]
+
+    def best(p, t):
+        row = [0] * (len(t) + 1)
+        for i, c in enumerate(p, 1):
+            new = [i]
+            for j, d in enumerate(t, 1):
+                new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+            row = new
+        low = min(row[1:], default=len(p))
+        return low, next((j for j in range(1, len(row)) if row[j] == low), None)
+
+    want = Counter()
+    for i, t in docs:
+        for j, p in items:
+            pattern, text = re.findall(r"[a-z0-9]+", p or ""), (t or "").split()
+            if pattern and text:
+                k, end = best(pattern, text)
+                if k <= int(0.2 * len(pattern)):
+                    want[i, j, k, end] += 1
+    d = spark.createDataFrame([(*x, 1, "i") for x in docs], "doc_id long, text string, distance int, item_id string").repartition(3)
+    m = spark.createDataFrame([(*x, 2) for x in items], "item_id long, text string, doc_id int")
+    assert Counter(map(tuple, decontamination.matches(d, m).collect())) == want
+    kept = decontamination.clean(d, m).select("doc_id", "text").collect()
+    held = {(i, t) for i, t in docs if any(best(re.findall(r"[a-z0-9]+", p or ""), (t or "").split())[0] <= int(0.2 * len(re.findall(r"[a-z0-9]+", p or ""))) for _, p in items if re.findall(r"[a-z0-9]+", p or "")) and t}
+    assert Counter(map(tuple, kept)) == Counter(x for x in docs if x not in held)
+    few, decontamination.ITEMS_PER_PASS = decontamination.ITEMS_PER_PASS, 7
+    try:
+        assert Counter(map(tuple, decontamination.matches(d, m).collect())) == want
+        assert Counter(map(tuple, decontamination.clean(d, m).select("doc_id", "text").collect())) == Counter(map(tuple, kept))
+    finally:
+        decontamination.ITEMS_PER_PASS = few
+
+
+def test_many_special_tokens():
+    import time
+
+    from tokenizers import Tokenizer
+
+    from flowframe.llm import bpe
+
+    t, enc = Tokenizer.from_file(bpe.vocabulary_path()), bpe.encoder(bpe.vocabulary_path())
+    texts = ["<|endoftext|>ab" * 32000, "", "<|endoftext|>", "a <|endoftext|><|endoftext|> b<|endoftext", "|> c", "plain", "<|endoftext|>" * 3 + "\n ü"]
+    raw = [x.encode() for x in texts]
+    offs = np.append(0, np.cumsum([len(x) for x in raw]))
+    began = time.perf_counter()
+    ids, at = enc.encode(np.frombuffer(b"".join(raw), np.uint8), offs)
+    assert time.perf_counter() - began < 3
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
