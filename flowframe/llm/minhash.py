@@ -15,6 +15,7 @@ then the documents of buckets that still hold different classes are joined acros
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ BANDS, ROWS = 32, 8
 M = BANDS * ROWS
 #: Most ids that are broadcast to pick candidates out of a scan (8 bytes each); more of them are joined by shuffle.
 BROADCAST_IDS = 1 << 20
+#: Ratio of the largest to the least size of a class of bags.
+CLASS = 1.04
 _GOLD, _CELL, _PICK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _STEP = np.uint64(0xD1B54A32D192ED03)
 
@@ -152,12 +155,19 @@ def across(left: DataFrame, bag: DataFrame, threshold: float) -> tuple[DataFrame
     prefix = ranked.select("rep", "size", "label", F.posexplode(F.slice("es", F.lit(1), wide)).alias("i", "x"))
     prefix = staged(prefix.where("x.df > 1").select("rep", "size", "label", "i", F.col("x.e").alias("e")), "near-prefix")
     mixed = prefix.groupBy("e").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("e")
-    one = prefix.join(mixed, "e")
-    two = one.select("e", *[F.col(c).alias(f"{c}2") for c in ("rep", "size", "label", "i")])
-    need = F.lit(threshold / (1 + threshold)) * (F.col("size") + F.col("size2")) - F.lit(1e-9)
+    # a place is offered only to the classes of size in which a partner could still share enough behind it: of equally large
+    # bags that is a ninth of the elements, so what more bags than that have in common joins none of them
+    size, share = F.col("size"), threshold / (1 + threshold)
+    of_size = lambda x: F.floor(F.log(x) / math.log(CLASS)).cast("int")
+    one = prefix.join(mixed, "e").withColumn("own", of_size(size))
+    one = one.withColumn("other", F.explode(F.sequence(of_size(size * (threshold * (1 - 1e-9))), of_size(size / (threshold * (1 - 1e-9))))))
+    least = F.greatest(F.pow(F.lit(CLASS), F.col("other")) * (1 - 1e-9), size * threshold)
+    one = one.where(size - F.col("i") >= (size + least) * share - 1e-6).withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    two = one.select("e", "low", "high", F.col("own").alias("other"), *[F.col(c).alias(f"{c}2") for c in ("rep", "size", "label", "i")])
+    need = F.lit(share) * (F.col("size") + F.col("size2")) - F.lit(1e-9)
     fits = (F.col("size") >= F.lit(threshold) * F.col("size2")) & (F.col("size2") >= F.lit(threshold) * F.col("size"))
     enough = (F.col("size") - F.col("i") >= need) & (F.col("size2") - F.col("i2") >= need)
-    pairs = one.join(two, "e").where((F.col("rep") < F.col("rep2")) & (F.col("label") != F.col("label2")) & fits & enough)
+    pairs = one.drop("own").join(two, ["e", "low", "high", "other"]).where((F.col("rep") < F.col("rep2")) & (F.col("label") != F.col("label2")) & fits & enough)
     return pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct(), prefix
 
 

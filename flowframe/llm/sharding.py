@@ -102,6 +102,7 @@ def propagate(members: DataFrame, k: int = K, cap: int | None = None, rounds: in
         moved = moves.join(F.broadcast(quota), ["shard", "want", "cls"], "left")  # at most k*k*64 rows
         state = staged(moved.select("node", "hub", "hubs", "cls", F.when(draw < F.col("upto"), F.col("want")).otherwise(F.col("shard")).alias("shard")), "shard-state")
         discard(old, moves)
+    discard(edges)
     return state
 
 
@@ -127,7 +128,7 @@ def _packed(sizes: list, room: list[int]) -> list[tuple[int, int, list[tuple[int
     return out
 
 
-def _whole(state: DataFrame, target: list[int], k: int) -> DataFrame:
+def _whole(state: DataFrame, target: list[int], k: int) -> tuple[DataFrame, list[DataFrame]]:
     """``state`` with each group that is linked to no other one in one shard, within ``target``.
 
     A group is cut only where it is larger than a shard or, when its turn comes, no shard has as many places left; its
@@ -149,7 +150,7 @@ def _whole(state: DataFrame, target: list[int], k: int) -> DataFrame:
     put = F.get(F.filter("cuts", lambda c: F.col("rank") < c["upto"]), F.lit(0))["shard"]
     settled = staged(ranked.select("hub", put.alias("put"), put.isNull().alias("cut")), "shard-settled")
     cls = F.when(F.col("cut"), F.lit(_LAST)).otherwise(F.col("cls"))
-    return state.join(settled, "hub", "left").select("node", F.coalesce("put", "shard").alias("shard"), cls.alias("cls"), "hub")
+    return state.join(settled, "hub", "left").select("node", F.coalesce("put", "shard").alias("shard"), cls.alias("cls"), "hub"), [state, groups, settled]
 
 
 def balanced_shards(nodes: DataFrame, members: DataFrame, k: int = K, rounds: int | None = None) -> DataFrame:
@@ -161,10 +162,11 @@ def balanced_shards(nodes: DataFrame, members: DataFrame, k: int = K, rounds: in
     """
     total = nodes.count()
     target = [total // k + (s < total % k) for s in range(k)]
-    state = _whole(propagate(members, k, max(1, min(target)) if total else 1, rounds), target, k)
+    state, used = _whole(propagate(members, k, max(1, min(target)) if total else 1, rounds), target, k)
     wide = max(64, math.isqrt(total))
     placed = nodes.join(state.select("node", "shard", "cls", "hub"), "node", "left")
     placed = staged(placed.select("node", F.coalesce("shard", F.lit(k)).alias("part"), F.coalesce("cls", F.lit(0)).alias("cls"), F.pmod(F.xxhash64(F.coalesce(F.col("hub").cast("string"), F.lit("")), F.when(F.col("hub").isNull() | (F.col("cls") > 8), F.col("node"))), F.lit(wide)).alias("bin")), "shard-placed")
+    discard(*used)
     ranked = _ranks(placed, ["cls", "bin"])
     held = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}  # k + 1 rows
     kept = [min(held.get(s, 0), target[s]) for s in range(k)]
@@ -184,7 +186,9 @@ def balanced_shards(nodes: DataFrame, members: DataFrame, k: int = K, rounds: in
         to = F.when(q < ends[s], F.lit(s)).otherwise(to)
         first = F.when(q < ends[s], F.lit(ends[s] - free[s] - kept[s])).otherwise(first)
     out = ranked.select("node", "part", "rank", F.when(F.col("rank") >= limit, F.col("rank") + shift).alias("queue"))
-    return out.select("node", F.when(q.isNull(), F.col("part")).otherwise(to).cast("int").alias("shard"), F.when(q.isNull(), F.col("rank")).otherwise(q - first).cast("long").alias("slot"))
+    out = out.select("node", F.when(q.isNull(), F.col("part")).otherwise(to).cast("int").alias("shard"), F.when(q.isNull(), F.col("rank")).otherwise(q - first).cast("long").alias("slot"))
+    out.staged_at = placed.staged_at
+    return out
 
 
 def _ranks(df: DataFrame, by: list[str]) -> DataFrame:
@@ -200,14 +204,18 @@ def shard_documents(docs: DataFrame, k: int = K, rounds: int | None = None) -> D
     """Documents in k shards by the ``rows`` law; documents of equal text are linked.
 
     Null text counts as empty, and empty texts are equal to each other. Every row is a node, also one that repeats
-    another row or its doc_id, or has no doc_id; equal ones differ in a copy number. Ties are broken by node.
+    another row or its doc_id, or has no doc_id; where ids repeat or are null, rows get a number of their own, so that no task
+    holds all rows of one id. Ties are broken by node.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("hub"))
-    rows = rows.withColumn("copy", F.lit(0)) if _unique(docs) else rows.withColumn("copy", F.row_number().over(W.partitionBy("doc_id").orderBy("hub")))
+    rows = rows.withColumn("copy", F.lit(0).cast("long") if _unique(docs) else F.monotonically_increasing_id())
     rows = staged(rows.select(F.struct("doc_id", "copy").alias("node"), "size", "text_crc32", "hub"), "shard-docs")
     placed = balanced_shards(rows.select("node"), rows.select("node", F.unhex("hub").alias("hub")), k, rounds)
-    return rows.join(placed, "node").select("node.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    out = rows.join(placed, "node").select("node.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    out = staged(out, "shard-rows")
+    discard(rows, placed)
+    return out
 
 
 def _unique(docs: DataFrame) -> bool:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowframe.llm import queries, search, spelling, vectors
 
@@ -286,3 +287,72 @@ def test_many_special_tokens():
     ids, at = enc.encode(np.frombuffer(b"".join(raw), np.uint8), offs)
     assert time.perf_counter() - began < 3
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+# -- flat token files
+
+
+@pytest.mark.parametrize(("block", "chunk", "width"), [(1, 2, 2), (3, 1, 4), (5, 3, 2), (1 << 16, 1 << 12, 4)])
+def test_files_of_odd_names_over_many_tasks(spark, tmp_path, monkeypatch, block, chunk, width):
+    from flowframe.llm import token_counts
+
+    monkeypatch.setattr(token_counts, "CHUNK", chunk)
+    rng, want = np.random.default_rng(block), {}
+    for name, n in (("a b#1%.bin", 60), ("plain.bin", 1), ("ü%20.bin", 37), ("only ends.bin", 9), ("no end.bin", 20), ("empty.bin", 0)):
+        ids = np.zeros(n, int) if name.startswith("only") else rng.integers(1 if name.startswith("no") else 0, 6, n)
+        (tmp_path / name).write_bytes(ids.astype(f"<u{width}").tobytes())
+        start, out = 0, []
+        for i, t in enumerate(ids.tolist()):
+            if t == 0:
+                out.append((len(out), start, i - start))
+                start = i + 1
+        want[name] = out + [(len(out), start, n - start)] * (n > start)
+    blocks = token_counts.read_token_files(spark, str(tmp_path), width, block)
+    assert blocks.count() == sum(-(-len((tmp_path / name).read_bytes()) // (block * width)) for name in want)
+    got = {name: [] for name in want}
+    for r in token_counts.scan(blocks, end=0, width=width).collect():
+        got[r["file"].split("/")[-1]].append((r["ordinal"], r["start"], r["n_tokens"]))
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_counts_come_from_files_that_go_away(spark):
+    import os
+
+    from flowframe.llm import bpe, common, token_counts
+    from tokenizers import Tokenizer
+
+    rows = [(1, "a b c"), (1, None), (None, "<|endoftext|> x"), (None, "<|endoftext|> x"), (5, ""), (6, "word " * 3000)]
+    d = spark.createDataFrame([(*r, "f", 1) for r in rows], "doc_id long, text string, file string, first int").repartition(3)
+    t = Tokenizer.from_file(bpe.vocabulary_path())
+    t.encode_special_tokens = True
+    left = lambda: {x for x in os.listdir(common.shared_dir(spark).removeprefix("file:")) if x.startswith(("tokens-", "token-ends", "token-names"))}
+    before = left()
+    got = token_counts.counts(d)
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in got.collect()) == Counter((i, len(t.encode(x or "", add_special_tokens=False).ids)) for i, x in rows)
+    assert token_counts.counts(d.limit(0)).collect() == []
+    assert not [x for x in left() - before if not x.startswith("token-names")]  # an empty result reads the empty list of names
+
+
+# -- near duplicates around a common passage
+
+
+def test_a_common_passage_below_the_threshold_makes_no_pairs(spark):
+    from flowframe.llm import minhash
+
+    rng = np.random.default_rng(0)
+    common = " ".join(f"c{i}" for i in range(200))
+    own = lambda i, n: " ".join(f"d{i}_{k}" for k in range(n))
+    n = 1200
+    rows = [(i, own(i, int(rng.integers(26, 31))) + " " + common) for i in range(n)]
+    rows += [(n + i, own(i, 12) + " " + own(n + i, 2) + " " + common) for i in range(6)]  # near to one another? the tail alone is shared
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    bag = minhash.elements(d)
+    left = bag.select(F.col("doc_id").alias("rep"), F.size("bag").alias("size"), F.col("doc_id").alias("label"))
+    pairs, _ = minhash.across(left, bag, 0.8)
+    found = {(r["a"], r["b"]) for r in pairs.collect()}
+    assert len(found) < 40 * n  # all pairs would be 727,000
+    bags = {r["doc_id"]: set(r["bag"]) for r in bag.collect()}
+    ids = sorted(bags)
+    true = {(a, b) for k, a in enumerate(ids[-206:]) for b in ids[-206:][k + 1 :] if len(bags[a] & bags[b]) >= 0.8 * len(bags[a] | bags[b])}
+    assert true <= found and len(true) >= 15
+    assert {(r["a"], r["b"]) for r in minhash.verified(pairs, bag, 0.8).collect()} >= true
