@@ -147,6 +147,11 @@ def image_normalised(c: Column, channel: int) -> Column:
     return (c / 255 - MEANS[channel]) / DEVIATIONS[channel]
 
 
+def strictly_inside(y: Column, x: Column, h: int, w: int) -> Column:
+    """Whether a place lies between the centres of the outermost pixels, not on them."""
+    return (y > 0) & (y < h - 1) & (x > 0) & (x < w - 1)
+
+
 def sampled_bilinear(image: DataFrame, at: DataFrame, id_: str, h: int, w: int, value: str = "value") -> DataFrame:
     """``image`` (id, y, x, value) sampled at (id, y, x, py, px); zero outside. One equi-join for four corners."""
     y0, x0 = F.floor("py").cast("int"), F.floor("px").cast("int")

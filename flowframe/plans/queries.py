@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import colour
-from ..operators import augment, fields, geometry, indexing, masks, metrics, ordering, planning, rle, splat
+from ..operators import augment, fields, geometry, indexing, masks, metrics, ordering, panels, planning, rle, splat
 from ..streaming import replay
 
 H, WIDTH = 4, 8
@@ -1083,3 +1083,33 @@ def coloured_pixels(t):
     rows = t.embeddings.select("vec_id", augment.coloured(image, colour).alias("image"), hole.alias("holes"))
     rows = rows.select("vec_id", F.posexplode(augment.erased(F.col("image"), F.col("holes"), F.lit(4))).alias("p", "c"))
     return rows.select("vec_id", "p", *[F.round(f"c.{n}", 5).alias(n) for n in "rgb"])
+
+
+# -- sheets, samplers and paths
+
+
+@query(""", ps as (select vec_id, y, x, mask, cast(least(255, floor(abs(u) * 20)) as bigint) as s, cast(floor((abs(u) * 20) * (1 - 0.5 * mask) + 255 * 0.5 * mask) as bigint) as o from pix join moving using (vec_id, y, x))
+select vec_id, y, x, s as r, s as g, s as b from ps union all select vec_id, y, x + 9, 255 * mask, 255 * mask, 255 * mask from ps union all select vec_id, y + 5, x, least(255, o), least(255, s), least(255, s) from ps""")
+def panel_sheet(t):
+    """Image, mask and image under the mask on one sheet of two rows."""
+    p = t.pix().withColumn("mask", (fields.magnitude() > 1.0).cast("int"))
+    image, tinted = F.abs("u") * 20, masks.overlaid(F.abs("u") * 20, 255.0, F.col("mask"))
+    over = p.select("vec_id", "y", "x", panels.byte(tinted).alias("r"), panels.byte(image).alias("g"), panels.byte(image).alias("b"))
+    return panels.sheet([(0, 0, panels.gray(p, "vec_id", image)), (0, 1, panels.gray(p, "vec_id", 255 * F.col("mask"))), (1, 0, over)], "vec_id", H, WIDTH, 1)
+
+
+@query("select vec_id, y, x, x + u > 0 and x + u < 7 and y + v > 0 and y + v < 3 as inside from pix")
+def sample_inside(t):
+    """Whether a pixel's displaced place lies strictly between the centres of the image's outermost pixels."""
+    return t.pix().select("vec_id", "y", "x", fields.strictly_inside(F.col("y") + F.col("v"), F.col("x") + F.col("u"), H, WIDTH).alias("inside"))
+
+
+@query("""select user_id, a.event_id as first_id, b.event_id as second_id, 's' || user_id || '/flow/' || lpad(cast(a.idx as varchar), 6, '0') || '_' || lpad(cast(b.idx as varchar), 6, '0') || '_flow.npy' as flow,
+  's' || user_id || '/flow/' || lpad(cast(a.idx as varchar), 6, '0') || '_' || lpad(cast(b.idx as varchar), 6, '0') || '_mask.npy' as mask from frames a join frames b using (user_id) where b.idx = a.idx + 1""")
+def adjacent_paths(t):
+    """Neighbouring frames with the files of the flow and the mask between them."""
+    scene = F.concat(F.lit("s"), F.col("user_id").cast("string"))
+    f = t.frames().select("user_id", F.struct("idx", "event_id").alias("f"), "idx")
+    pairs = indexing.adjacent(f, _USER, ["idx"], "f")
+    flow, mask = indexing.between_paths(scene, F.col("a.idx"), F.col("b.idx"))
+    return pairs.select("user_id", F.col("a.event_id").alias("first_id"), F.col("b.event_id").alias("second_id"), flow.alias("flow"), mask.alias("mask"))

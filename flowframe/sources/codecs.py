@@ -97,6 +97,11 @@ def write_png(image: np.ndarray) -> bytes:
     return PNG + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b"")
 
 
+def write_png_bytes(image: np.ndarray) -> bytes:
+    """Any whole numbers from 0 to 255 as an image of 8 bits."""
+    return write_png(image.astype(np.uint8))
+
+
 def from_disparity(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Field (-disparity, 0) and validity of 16-bit values of 256 steps a pixel; 0 is unknown."""
     d = raw.astype(np.float32) / 256

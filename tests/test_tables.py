@@ -329,3 +329,22 @@ def test_a_plane_survives_a_large_hole():
     assert np.allclose(out, plane) and time.perf_counter() - began < 30
     valid[0] = False
     assert (holes.filled([plane], valid)[0][0] == 0).all()
+
+
+def test_sheets_become_files(spark, tmp_path):
+    from flowframe.operators import panels
+    from flowframe.sources import exports
+
+    h, w = 3, 4
+    pixels = [(k, y, x, float(40 * k + 10 * y + x)) for k in (1, 2) for y in range(h) for x in range(w)]
+    d = spark.createDataFrame(pixels, "k int, y int, x int, c double")
+    parts = [(0, 0, panels.gray(d, "k", F.col("c"))), (0, 1, panels.gray(d, "k", F.col("c") * 1000)), (1, 1, panels.gray(d, "k", -F.col("c")).withColumn("r", F.lit(7)))]
+    high, wide = panels.extent(parts, h, w, 1)
+    assert (high, wide) == (7, 9)
+    done = panels.whole(panels.sheet(parts, "k", h, w, 1), "k", high, wide, 9)
+    exports.write_files(exports.encoded(done, F.concat(F.lit("sheets/"), F.col("k").cast("string"), F.lit(".png")), codecs.write_png_bytes, ["r", "g", "b"]), str(tmp_path))
+    for k in (1, 2):
+        image = codecs.read_png((tmp_path / f"sheets/{k}.png").read_bytes())
+        own = np.array([[40 * k + 10 * y + x for x in range(w)] for y in range(h)])
+        assert image.shape == (7, 9, 3) and (image[:3, :4] == own[..., None]).all() and (image[:3, 5:] == 255).all()
+        assert (image[4:, 5:] == [7, 0, 0]).all() and (image[3] == 9).all() and (image[4:, :5] == 9).all()
