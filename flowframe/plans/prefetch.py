@@ -21,13 +21,12 @@ def planned(tasks: DataFrame, done: DataFrame, key: list[str], cap: float | None
     return left.withColumn("idx", F.array_sort(F.array_distinct(F.flatten(F.array("triplets.src", "triplets.tgt_long", "triplets.tgt_short")))))
 
 
-def without_black(frames: DataFrame, key: list[str]) -> DataFrame:
+def without_black(ready: DataFrame, frames: DataFrame, key: list[str]) -> DataFrame:
     """Decoded frames of tasks whose first frame is not black all over; tasks that failed have no frame and are gone too."""
     frames = frames.where("error is null")
-    # the first frame alone is looked at: its number stands beside every task's frames as one small row
-    black = F.col("pixels") == F.unhex(F.repeat(F.lit("00"), F.length("pixels")))
-    first = frames.groupBy(*key).agg(F.min_by(black, "idx").alias("__black")).where("__black").select(*key)
-    return frames.join(first, key, "left_anti")
+    first = frames.join(ready.select(*key, F.get("idx", F.lit(0)).alias("idx")), [*key, "idx"])  # no other frame is looked at
+    black = first.where(F.col("pixels") == F.unhex(F.repeat(F.lit("00"), F.length("pixels")))).select(*key)
+    return frames.join(black, key, "left_anti")
 
 
 def pairs(ready: DataFrame, frames: DataFrame, key: list[str], bidirectional: bool = True) -> DataFrame:
@@ -46,7 +45,7 @@ def prefetched(tasks: DataFrame, done: DataFrame, key: list[str], openers: Seque
     """
     ready = planned(tasks, done, key, cap, long_s, short_s)
     frames = kept(decoded(ready, key, openers, source=source))
-    seen = without_black(frames, key)
+    seen = without_black(ready, frames, key)
     told = frames.groupBy(*key).agg(F.max("error").alias("error"))
     lit = seen.select(*key).distinct().withColumn("__lit", F.lit(True))
     out = tasks.select(*key).join(done.select(*key).distinct().withColumn("__done", F.lit(True)), key, "left").join(told.withColumn("__told", F.lit(True)), key, "left").join(lit, key, "left")

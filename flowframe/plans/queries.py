@@ -530,15 +530,24 @@ _WHEEL = """wheel as (select i as row, case when i < 15 then 255 when i < 21 the
   case when i < 21 then 0 when i < 25 then 255 * (i - 21) // 4 when i < 49 then 255 else 255 - 255 * (i - 49) // 6 end as b from (select unnest(range(0, 55)) as i))"""
 
 
-@query(f""", {_WHEEL}, nm as (select p.vec_id, y, x, u / (top + 1e-5::double) as u, v / (top + 1e-5::double) as v from pix p join (select vec_id, max(sqrt(u * u + v * v)) as top from pix group by 1) using (vec_id)),
+_COLOURED = f""", {_WHEEL}, nm as (select p.vec_id, y, x, u / (top + 1e-5::double) as u, v / (top + 1e-5::double) as v from pix p join (select vec_id, max(sqrt(u * u + v * v)) as top from pix group by 1) using (vec_id)),
 an as (select vec_id, y, x, sqrt(u * u + v * v) as rad, (case when v = 0 and u >= 0 then -pi() else atan2(-v, -u) end / pi() + 1) / 2 * 54 as turn from nm),
 k as (select *, cast(floor(turn) as bigint) as k0, turn - floor(turn) as f from an)
 select k.vec_id, k.y, k.x, """ + ", ".join(f"cast(floor(255 * case when rad <= 1 then 1 - rad * (1 - ((1 - f) * a.{c}::double + f * z.{c}::double) / 255) else ((1 - f) * a.{c}::double + f * z.{c}::double) / 255 * 0.75::double end) as bigint) as {c}" for c in "rgb") + """
-  from k join wheel a on a.row = k.k0 join wheel z on z.row = case when k.k0 + 1 = 55 then 0 else k.k0 + 1 end""")
+  from k join wheel a on a.row = k.k0 join wheel z on z.row = case when k.k0 + 1 = 55 then 0 else k.k0 + 1 end"""
+
+
+@query(_COLOURED)
 def flow_to_color(t):
     return colour.coloured(t.pix(), "vec_id")
 
 
+@query(", cp as (select vec_id, y, x, least(greatest(u, 0), 2) as u, least(greatest(v, 0), 2) as v from pix)" + _COLOURED.replace("from pix", "from cp"))
+def flow_to_color_clipped(t):
+    """Colours of fields whose components are held between 0 and 2 first."""
+    return colour.coloured(t.pix(), "vec_id", 2.0)
+
+
 @query(f", {_WHEEL} select event_id, r, g, b from events join wheel on row = event_id % 55")
 def colorwheel(t):
     """A colour of the wheel for each event."""

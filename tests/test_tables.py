@@ -348,3 +348,50 @@ def test_sheets_become_files(spark, tmp_path):
         own = np.array([[40 * k + 10 * y + x for x in range(w)] for y in range(h)])
         assert image.shape == (7, 9, 3) and (image[:3, :4] == own[..., None]).all() and (image[:3, 5:] == 255).all()
         assert (image[4:, 5:] == [7, 0, 0]).all() and (image[3] == 9).all() and (image[4:, :5] == 9).all()
+
+
+def test_prefetch_skips_before_it_decodes(spark):
+    import io
+
+    from flowframe.plans.prefetch import prefetched
+    from flowframe.sources.frames import Stack
+
+    def clip(n, value):
+        out = io.BytesIO()
+        np.save(out, (np.arange(1, n + 1)[:, None, None] * value + np.zeros((n, 2, 3))).astype(np.uint8))
+        return bytearray(out.getvalue())
+
+    lit = np.zeros((12, 2, 3), np.uint8)
+    lit[1:] = 9  # the first frame alone is black
+    late = io.BytesIO()
+    np.save(late, lit)
+    tasks = [(1, 10.0, 0.0, 1.25, clip(12, 3)), (2, 10.0, 0.0, 1.25, clip(12, 3)), (3, 10.0, 0.0, 0.2, clip(2, 3)), (4, 10.0, 0.0, 1.25, bytearray(b"junk")), (5, 10.0, 0.0, 1.25, clip(12, 0)), (6, 10.0, 0.0, 1.25, bytearray(late.getvalue())), (7, 10.0, 0.5, 1.75, bytearray(clip(17, 7)))]
+    d = spark.createDataFrame(tasks, "k int, fps double, start double, end double, clip binary")
+    opened = spark.sparkContext.accumulator(0)
+
+    def counted(raw):
+        opened.add(1)
+        return Stack(raw)
+
+    pairs, told = prefetched(d, spark.createDataFrame([(2,)], "k int"), ["k"], [counted], source="clip")
+    assert {r["k"]: r["status"] for r in told.collect()} == {1: "ready", 2: "skipped", 3: "empty", 4: "failed", 5: "black", 6: "black", 7: "ready"}
+    assert all((r["error"] is not None) == (r["status"] == "failed") for r in told.collect())
+    got = {(r["k"], r["pair_type"]): (r["tgt_long"], r["first_image"][0], r["second_image"][0]) for r in pairs.collect()}
+    # 10 frames a second sampled at 5: every second one, long offset 5 samples, short offset 1
+    assert got == {(1, "long"): (10, 33, 3), (1, "short_fwd"): (10, 33, 27), (1, "short_bwd"): (10, 27, 33), (7, "long"): (10, 112, 42), (7, "short_fwd"): (10, 112, 98), (7, "short_bwd"): (10, 98, 112)}
+    assert opened.value == 5  # neither the one that is done nor the one without a triplet
+
+
+def test_metadata_and_episodes_of_a_folder(spark, tmp_path):
+    import json
+
+    (tmp_path / "a/meta/episodes/chunk").mkdir(parents=True)
+    (tmp_path / "b/meta").mkdir(parents=True)
+    (tmp_path / "a/meta/info.json").write_text(json.dumps({"robot_type": "arm", "fps": 24, "video_path": "videos/{x}.mp4", "more": [1]}, indent=1))
+    (tmp_path / "b/meta/info.json").write_text("{}")
+    info = {r["file"].split("/")[-3]: (r["robot_type"], r["fps"], r["video_path"]) for r in readers.read_info(spark, str(tmp_path / "*/meta/info.json")).collect()}
+    assert info == {"a": ("arm", 24.0, "videos/{x}.mp4"), "b": ("unknown", 30.0, None)}
+    names = [f"videos/{c}/{f}" for c in ("left.eye", "top") for f in ("chunk_index", "file_index", "from_timestamp", "to_timestamp")]
+    spark.createDataFrame([(0, 9, 1, 2, 0.5, 1.5, 3, 4, 0.0, 2.0), (1, 7, 1, 3, 1.5, 2.5, 3, 5, 2.0, 3.0)], ["episode_index", "length", *names]).write.parquet(str(tmp_path / "a/meta/episodes/chunk/p"))
+    got = sorted(map(tuple, readers.read_episodes(spark, str(tmp_path / "a/meta/episodes")).collect()))
+    assert got == [(0, 9, "left.eye", 1, 2, 0.5, 1.5), (0, 9, "top", 3, 4, 0.0, 2.0), (1, 7, "left.eye", 1, 3, 1.5, 2.5), (1, 7, "top", 3, 5, 2.0, 3.0)]
