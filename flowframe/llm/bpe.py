@@ -25,6 +25,8 @@ VOCABULARY = "byte_bpe_50k.json"
 REMEMBERED = 400_000
 #: Bytes of a block; many new pre-tokens at once share the work of each rank.
 BYTES = 4 << 20
+#: Bytes of documents that are pre-tokenised at once.
+STRETCH = 1 << 18
 _LETTER, _NUMBER, _SPACE, _OTHER = 0, 1, 2, 3
 _WHITE = {*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}
 
@@ -247,7 +249,14 @@ class Encoder:
         """Like ``encode``, special tokens being ordinary text."""
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(len(offs), np.int64)
-        starts, ends, owner = self.pretokens(data.tobytes(), offs)
+        parts, at = [], 0
+        while at < len(offs) - 1:  # some documents at a time, so that what stands beside each character stays small
+            to = max(at + 1, int(np.searchsorted(offs, offs[at] + STRETCH, "right")) - 1)
+            a, b, cut = self.pretokens(data[offs[at] : offs[to]].tobytes(), offs[at : to + 1] - offs[at])
+            parts.append((a + offs[at], b + offs[at], np.diff(cut)))
+            at = to
+        starts, ends, count = (np.concatenate(x) for x in zip(*parts))
+        owner = np.append(0, np.cumsum(count))
         h = span_hashes(data, starts, ends)
         order = np.argsort(h)
         ordered = h[order]
