@@ -186,6 +186,22 @@ def test_unpivot_and_first_match(spark):
     assert sorted(map(tuple, indexing.first_match(left, right, ["k"], "i", [1, 2, 3, 5, 6]).collect())) == [(1, 0, 3), (1, 7, None)]
 
 
+
+def test_images_of_flows_of_more_than_four_digits(spark):
+    flow = lambda n: f"/a/train/flows/s/data/data_{n}.npz"
+    image = lambda n: f"/a/train/images/s/{n}"
+    flows = spark.createDataFrame([(flow(n),) for n in ("9999", "12345", "0007", "1403636579763555584")], "flow string")
+    names = ["9999.png", "1000.png", "1234.png", "1235.png", "10000.jpg", "12345.png", "12345.jpg", "12346.jpg", "0007.jpg", "0007.jpg", "0008.png", "1403636579763555584.png", "1403636579763555585.png"]
+    found = indexing.images_of_flows(flows, spark.createDataFrame([(image(n),) for n in names], "path string"))
+    want = {"9999": ("9999.png", "10000.jpg", 1), "12345": ("12345.png", "12346.jpg", 1), "0007": ("0007.jpg", "0008.png", 2), "1403636579763555584": ("1403636579763555584.png", "1403636579763555585.png", 1)}
+    assert {r["flow"]: tuple(r)[1:] for r in found.collect()} == {flow(n): (int(n), image(a), image(b), c) for n, (a, b, c) in want.items()}
+
+
+def test_repeated_counts_beyond_a_block(spark):
+    d = spark.createDataFrame([(1, 1), (2, 3), (3, indexing.REPEATS), (4, indexing.REPEATS + 1), (5, 3 * indexing.REPEATS), (6, 0)], "k int, n long")
+    assert {r["k"]: r["count"] for r in indexing.repeated(d, "n").groupBy("k").count().collect()} == {1: 1, 2: 3, 3: 4096, 4: 4097, 5: 12288}
+
+
 def test_annotation_pipeline_finds_a_moving_block(spark):
     a, b = np.zeros((32, 32), np.uint8), np.zeros((32, 32), np.uint8)
     a[8:20, 8:20] = b[8:20, 10:22] = np.random.default_rng(0).integers(50, 255, (12, 12))
