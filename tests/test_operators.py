@@ -202,6 +202,14 @@ def test_repeated_counts_beyond_a_block(spark):
     assert {r["k"]: r["count"] for r in indexing.repeated(d, "n").groupBy("k").count().collect()} == {1: 1, 2: 3, 3: 4096, 4: 4097, 5: 12288}
 
 
+@pytest.mark.parametrize("n, most", [(20 << 20, 3 << 20), ((9 << 24) + 5, 1 << 24)])
+def test_repeated_deals_the_copies_of_a_row_to_tasks(spark, n, most):
+    made = indexing.repeated(spark.createDataFrame([(1, n), (2, 1), (3, -1), (4, None)], "k int, n long"), "n")
+    by = [tuple(r) for r in made.groupBy("k", F.spark_partition_id()).count().collect()]
+    assert {k: sum(c for x, _, c in by if x == k) for k, _, _ in by} == {1: n, 2: 1}
+    assert max(c for _, _, c in by) <= most
+
+
 def test_annotation_pipeline_finds_a_moving_block(spark):
     a, b = np.zeros((32, 32), np.uint8), np.zeros((32, 32), np.uint8)
     a[8:20, 8:20] = b[8:20, 10:22] = np.random.default_rng(0).integers(50, 255, (12, 12))
